@@ -48,3 +48,23 @@ def event_readings(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("data_group_"), (group + 1).cast("string"), F.lit(".csv")).alias("_source_file"),
         F.col("event_id"),
     )
+
+
+def event_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The same feed as text, as a landing file would hold it, with values that do not parse."""
+    readings = event_readings(spark, folder)
+    text = {n: F.col(n).cast("string") for n in ("turbine_id", "wind_speed", "wind_direction", "power_output")}
+    text["timestamp"] = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
+    junk = {
+        "timestamp": [(211, "bad")],
+        "turbine_id": [(307, "T-7")],
+        "wind_direction": [(109, "abc"), (113, "180.5")],
+        "power_output": [(223, "n/a")],
+    }
+    for name, marks in junk.items():
+        for step, value in marks:
+            text[name] = F.when(_every(step), F.lit(value)).otherwise(text[name])
+    names = ("timestamp", "turbine_id", "wind_speed", "wind_direction", "power_output")
+    return readings.select(
+        *[text[n].alias(n) for n in names], F.lit(None).cast("string").alias("_line")
+    )
