@@ -27,21 +27,30 @@ from fleetgauge.operators.residuals import warn_remaining, watch_nulls
 from fleetgauge.operators.summary import daily_summary
 from fleetgauge.plans.ingest import bronze_by_day, mark_taken_in, new_batches, read_bronze
 from fleetgauge.session import shared_folder
-from fleetgauge.sources.layers import ANOMALIES, SILVER, SUMMARY, Layers, packed
+from fleetgauge.sources.layers import ANOMALIES, SILVER, SUMMARY, Layers, packed, remove_folder
 
 DAY_VALUES = "day_values"
 BROADCAST_ROWS = 500_000
 
 
-def staged(df: DataFrame, layers: Layers, name: str) -> DataFrame:
-    """Write an intermediate result to the shared folder and read it back."""
-    path = f"{shared_folder(df.sparkSession)}/{layers.schema}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Staging:
+    """Intermediate tables of one run, in a folder of its own below the shared folder."""
+
+    def __init__(self, spark: SparkSession, layers: Layers):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/{layers.schema}-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a result and read it back: computed once, safe from lost executors."""
+        df.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self) -> None:
+        remove_folder(self.spark, self.folder)
 
 
 def checked_busy_days(
-    readings: DataFrame, layers: Layers, cfg: SensorConfig = DEFAULT
+    readings: DataFrame, staging: Staging, cfg: SensorConfig = DEFAULT
 ) -> DataFrame | None:
     """Device-days too big for one task, or None if there are none (the usual case).
 
@@ -49,7 +58,7 @@ def checked_busy_days(
     """
     if cfg.readings_per_day and cfg.readings_per_day <= cfg.busy_day_rows:
         return None
-    found = staged(busy_days(readings, cfg), layers, "busy_days")
+    found = staging.keep(busy_days(readings, cfg), "busy_days")
     rows = found.count()
     if rows == 0:
         return None
@@ -72,7 +81,11 @@ def build_silver(
 ) -> dict[str, int]:
     """Recompute silver from all of bronze."""
     bronze = read_bronze(spark, layers)
-    return write_silver(clean_readings(bronze, cfg, checked_busy_days(bronze, layers, cfg)), layers, cfg)
+    staging = Staging(spark, layers)
+    cleaned = clean_readings(bronze, cfg, checked_busy_days(bronze, staging, cfg))
+    counts = write_silver(cleaned, layers, cfg)
+    staging.drop()
+    return counts
 
 
 def build_gold(spark: SparkSession, layers: Layers, cfg: SensorConfig = DEFAULT) -> None:
@@ -199,25 +212,28 @@ def refresh(spark: SparkSession, layers: Layers, cfg: SensorConfig = DEFAULT) ->
         mark_taken_in(spark, layers, batches)
         return []
 
-    def readings_on(days: Iterable[date | None]) -> DataFrame:
-        return _on_days(bronze, days, cfg).drop("feed", "ingest_batch")
+    def flagged_on(days: Iterable[date | None]) -> DataFrame:
+        return flagged_readings(_on_days(bronze, days, cfg).drop("feed", "ingest_batch"), cfg)
 
-    flagged = flagged_readings(readings_on(touched), cfg)
+    staging = Staging(spark, layers)
+    flagged = staging.keep(flagged_on(touched), "flagged")
     old = layers.read(spark, DAY_VALUES, _day_values_schema(cfg, flagged))
     tails = cell_tails(flagged, [cfg.key, cfg.day], cfg)
-    values = staged(_new_day_values(old, tails, touched, cfg), layers, "day_values")
+    values = staging.keep(_new_day_values(old, tails, touched, cfg), "day_values")
     later = [d for d in _days_of(values, cfg) if d not in touched]
-    days = touched + (_days_with_new_openings(old, values, later, cfg) if later else [])
+    changed = _days_with_new_openings(old, values, later, cfg) if later else []
+    days = touched + changed
 
-    raw = readings_on(days)
+    readings = flagged.unionByName(flagged_on(changed)) if changed else flagged
     openings = _on_days(values, days, cfg).filter("has_rows").select(
         cfg.key, cfg.day, *[F.col(f"open_{n}").alias(n) for n in cfg.value_names]
     )
     cleaned = fill_from_openings(
-        flagged_readings(raw, cfg), openings, cfg, checked_busy_days(raw, layers, cfg)
+        readings, openings, cfg, checked_busy_days(readings, staging, cfg)
     )
     write_silver(cleaned, layers, cfg, only_touched=True)
     _write_gold_days(spark, layers, days, cfg)
     layers.overwrite(packed(values, cfg.day), DAY_VALUES, [cfg.day], only_touched=True)
     mark_taken_in(spark, layers, batches)
+    staging.drop()
     return days

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -14,8 +13,19 @@ SUMMARY, ANOMALIES = "daily_turbine_summary", "turbine_anomalies"
 LAYER_OF = {BRONZE: "bronze", SILVER: "silver", SUMMARY: "gold", ANOMALIES: "gold"}
 
 
-def _never_written(error: AnalysisException) -> bool:
-    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
 
 
 @dataclass(frozen=True)
@@ -51,22 +61,14 @@ class Layers:
         self, spark: SparkSession, table: str, schema: StructType | str | None = None
     ) -> DataFrame:
         """Read a table; with `schema`, a table that was never written reads as empty."""
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        try:
-            return reader.parquet(self.path(table))
-        except AnalysisException as error:
-            if schema is None or not _never_written(error):
-                raise
+        if schema is None:
+            return spark.read.parquet(self.path(table))
+        if not self.exists(spark, table):
             return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(self.path(table))
 
     def exists(self, spark: SparkSession, table: str) -> bool:
-        try:
-            spark.read.parquet(self.path(table))
-            return True
-        except AnalysisException as error:
-            if _never_written(error):
-                return False
-            raise
+        return folder_exists(spark, self.path(table))
 
     def overwrite(
         self, df: DataFrame, table: str, by: Sequence[str] = (), only_touched: bool = False
