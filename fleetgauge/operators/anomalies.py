@@ -57,16 +57,25 @@ def flag_anomalies(df: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
     return _ordered(readings.join(day_stats(df, cfg), [cfg.key, cfg.day]), readings, cfg)
 
 
-def flag_anomalies_windowed(df: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
-    """The same rows in one pass over the input, with the figures as a window.
+def with_verdict(df: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
+    """Every reading with its day's figures over real readings and `is_anomaly`, in one pass.
 
-    For inputs still being computed, which a join would compute twice, and only where a device-day
-    holds a known, moderate number of rows.
+    Filled readings and those without device or day get no verdict. For inputs still being computed,
+    which a join would compute twice, and only where a device-day holds a known, moderate number of rows.
     """
-    readings = real_readings(df, cfg).filter(F.col(cfg.key).isNotNull() & F.col(cfg.day).isNotNull())
+    dated = with_day(df, cfg)
+    judged = (
+        ~F.col(f"{cfg.target}_was_imputed") & F.col(cfg.key).isNotNull() & F.col(cfg.day).isNotNull()
+    )
+    real = F.when(judged, F.col(cfg.target))
     day = Window.partitionBy(cfg.key, cfg.day)
-    with_stats = readings.withColumns({
-        f"mean_{cfg.target}": F.avg(cfg.target).over(day),
-        f"stddev_{cfg.target}": F.stddev_samp(cfg.target).over(day),
-    })
-    return _ordered(with_stats, readings, cfg)
+    return dated.withColumns({
+        f"mean_{cfg.target}": F.avg(real).over(day),
+        f"stddev_{cfg.target}": F.stddev_samp(real).over(day),
+    }).withColumn("is_anomaly", F.when(judged, _verdict(cfg)))
+
+
+def flag_anomalies_windowed(df: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
+    """The rows of `flag_anomalies` from `with_verdict`, under the same condition on the input."""
+    readings = real_readings(df, cfg).filter(F.col(cfg.key).isNotNull() & F.col(cfg.day).isNotNull())
+    return _ordered(with_verdict(readings, cfg), readings, cfg)

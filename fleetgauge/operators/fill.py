@@ -26,10 +26,15 @@ _AT = "_at_"
 
 
 def fill_whole_history(df: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
-    """Forward fill with a single window per device."""
+    """Forward fill with a single window per device.
+
+    Ordering by day and time is ordering by time; naming the day lets later windows over
+    (device, day) use the same sort.
+    """
+    df = with_day(df, cfg)
     history = (
         Window.partitionBy(cfg.key)
-        .orderBy(F.col(cfg.time).asc_nulls_first())
+        .orderBy(F.col(cfg.day).asc_nulls_first(), F.col(cfg.time).asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     made: dict[str, Column] = {}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DataType
 
 from fleetgauge.config import DEFAULT, SensorConfig
@@ -15,22 +15,28 @@ def _hour_start(day: Column, hour: Column, kind: DataType) -> Column:
 def absent_hours(df: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
     """(device, hour) pairs without a reading, between each device's first and last hour.
 
-    The grid is made in two steps, days and then their hours, so that a single wild timestamp cannot
-    put a giant array into one row.
+    Each hour with readings is compared with the device's next one, and the hours between are listed; the
+    full grid is never built. Readings shrink to distinct hours before they meet, so the window holds the
+    hours of a calendar at most. Hours are listed by way of days, so that one wild timestamp cannot put
+    a giant array into one row.
     """
     kind = df.schema[cfg.time].dataType
-    seen = (
-        df.filter(F.col(cfg.time).isNotNull() & F.col(cfg.key).isNotNull())
-        .select(cfg.key, _hour_start(F.to_date(cfg.time), F.hour(cfg.time), kind).alias("_hour"))
-        .distinct()
-    )
-    spans = seen.groupBy(cfg.key).agg(F.min("_hour").alias("_first"), F.max("_hour").alias("_last"))
-    days = spans.withColumn("_day", F.explode(F.sequence(F.to_date("_first"), F.to_date("_last"))))
+    seen = df.select(
+        cfg.key, _hour_start(F.to_date(cfg.time), F.hour(cfg.time), kind).alias("_hour")
+    ).distinct()
+    hour = F.expr("INTERVAL '1' HOUR")
+    following = F.lead("_hour").over(Window.partitionBy(cfg.key).orderBy("_hour"))
+    gaps = seen.select(
+        cfg.key, (F.col("_hour") + hour).alias("_from"), (following - hour).alias("_to")
+    ).filter("_to >= _from")
+    # Rows without device list nothing. A filter on the device would sink to the scan, and the readings
+    # could then not share their dedupe shuffle with this branch in `with_absent_hours`.
+    first_day = F.when(F.col(cfg.key).isNotNull(), F.to_date("_from"))
+    days = gaps.withColumn("_day", F.explode(F.sequence(first_day, F.to_date("_to"))))
     hours = days.withColumn("_h", F.explode(F.sequence(F.lit(0), F.lit(23)))).withColumn(
-        "_hour", _hour_start(F.col("_day"), F.col("_h"), kind)
+        cfg.time, _hour_start(F.col("_day"), F.col("_h"), kind)
     )
-    grid = hours.filter(F.col("_hour").between(F.col("_first"), F.col("_last"))).select(cfg.key, "_hour")
-    return grid.join(seen, [cfg.key, "_hour"], "left_anti").withColumnRenamed("_hour", cfg.time)
+    return hours.filter(F.col(cfg.time).between(F.col("_from"), F.col("_to"))).select(cfg.key, cfg.time)
 
 
 def with_absent_hours(df: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:

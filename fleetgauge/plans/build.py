@@ -25,8 +25,8 @@ from fleetgauge.operators.clean import clean_readings, flagged_readings
 from fleetgauge.operators.fill import busy_days, cell_tails, fill_from_openings, opening_values
 from fleetgauge.operators.residuals import warn_remaining, watch_nulls
 from fleetgauge.operators.summary import daily_summary
-from fleetgauge.plans.ingest import bronze_by_day, mark_taken_in, new_batches, read_bronze
-from fleetgauge.session import shared_folder
+from fleetgauge.plans.ingest import batch_bytes, bronze_by_day, mark_taken_in, new_batches, read_bronze
+from fleetgauge.session import shared_folder, size_shuffles
 from fleetgauge.sources.layers import ANOMALIES, SILVER, SUMMARY, Layers, packed, remove_folder
 
 DAY_VALUES = "day_values"
@@ -80,6 +80,7 @@ def build_silver(
     spark: SparkSession, layers: Layers, cfg: SensorConfig = DEFAULT
 ) -> dict[str, int]:
     """Recompute silver from all of bronze."""
+    size_shuffles(spark, batch_bytes(spark, layers))
     bronze = read_bronze(spark, layers)
     staging = Staging(spark, layers)
     cleaned = clean_readings(bronze, cfg, checked_busy_days(bronze, staging, cfg))
@@ -202,6 +203,7 @@ def refresh(spark: SparkSession, layers: Layers, cfg: SensorConfig = DEFAULT) ->
     batches = new_batches(spark, layers)
     if not batches:
         return []
+    size_shuffles(spark, batch_bytes(spark, layers, batches))
     bronze = bronze_by_day(spark, layers)
     arrived = F.lit(False)
     for feed in {f for f, _ in batches}:

@@ -117,6 +117,20 @@ def bronze_by_day(spark: SparkSession, layers: Layers) -> DataFrame:
     return layers.read(spark, BRONZE, BRONZE_SCHEMA).drop(FILE_TIME, FILE_SIZE)
 
 
+def batch_bytes(
+    spark: SparkSession, layers: Layers, batches: Sequence[tuple[str, int]] | None = None
+) -> int:
+    """Bytes of the landing files behind the given batches, or behind all of bronze."""
+    ledger = layers.read(spark, LEDGER, LEDGER_SCHEMA)
+    if batches is not None:
+        ledger = ledger.join(
+            F.broadcast(spark.createDataFrame(list(batches), PROGRESS_SCHEMA)),
+            ["feed", "ingest_batch"],
+            "left_semi",
+        )
+    return ledger.agg(F.sum(FILE_SIZE)).first()[0] or 0
+
+
 def merge_batches(
     spark: SparkSession, layers: Layers, batches: Sequence[tuple[str, int]], cfg: SensorConfig = DEFAULT
 ) -> int:

@@ -147,7 +147,7 @@ QUERIES: dict[str, Query] = {
     "turbine_daily": lambda s, d: _rounded(reports.turbine_daily(_summary(s, d)), "avg_power_output"),
     "turbine_anomalies": lambda s, d: reports.turbine_anomalies(_anomalies(s, d)),
     "turbine_kpis": lambda s, d: _rounded(
-        reports.turbine_kpis(_summary(s, d), _anomalies(s, d)), "mean_daily_power"
+        reports.turbine_kpis_in_one_pass(_silver(s, d), cfg=HOURLY), "mean_daily_power"
     ),
     "fleet_quality": lambda s, d: reports.fleet_quality(_silver(s, d), HOURLY),
     "anomaly_counts": lambda s, d: reports.anomaly_counts(_anomalies(s, d)),
@@ -158,7 +158,7 @@ QUERIES: dict[str, Query] = {
     "anomalous_rows": lambda s, d: _with_rounded_stats(reports.anomalous_rows(_anomalies(s, d))),
     "imputed_days": lambda s, d: _rounded(reports.imputed_days(_summary(s, d)), "avg_power_output"),
     "chart_feed": lambda s, d: _rounded(
-        reports.chart_feed(_summary(s, d), _anomalies(s, d)), "avg_power_output"
+        reports.chart_feed_in_one_pass(_silver(s, d), cfg=HOURLY), "avg_power_output"
     ),
     # named extensions, off by default
     "absent_hours": lambda s, d: absent_hours(event_readings(s, d), HOURLY),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from fleetgauge.functions.quality import any_flag
 from fleetgauge.config import DEFAULT, SensorConfig
+from fleetgauge.functions.quality import any_flag
+from fleetgauge.operators.anomalies import with_verdict
 
 
 def _one(df: DataFrame, turbine: int | None) -> DataFrame:
@@ -46,6 +47,23 @@ def turbine_kpis(summary: DataFrame, anomalies: DataFrame, turbine: int | None =
     )
 
 
+def turbine_kpis_in_one_pass(
+    silver: DataFrame, turbine: int | None = None, cfg: SensorConfig = DEFAULT
+) -> DataFrame:
+    """`turbine_kpis` straight from clean readings that are not written yet (see `with_verdict`)."""
+    days = with_verdict(_one(silver, turbine), cfg).groupBy(cfg.key, cfg.day).agg(
+        F.avg(cfg.target).alias("_mean"),
+        F.count_if(F.col(f"{cfg.target}_was_imputed")).alias("_imputed"),
+        F.count_if("is_anomaly").alias("_anomalies"),
+    )
+    return days.groupBy(cfg.key).agg(
+        F.count(F.lit(1)).alias("days_of_data"),
+        F.sum("_imputed").alias("total_imputed"),
+        F.sum("_anomalies").alias("anomaly_count"),
+        F.avg("_mean").alias("mean_daily_power"),
+    )
+
+
 def fleet_quality(silver: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
     """Rows per device with any value missing, any value impossible, or a filled target."""
     return silver.groupBy("turbine_id").agg(
@@ -102,6 +120,25 @@ def chart_feed(summary: DataFrame, anomalies: DataFrame, turbine: int | None = N
     ).join(points, ["turbine_id", "date"], "left")
 
 
+def chart_feed_in_one_pass(
+    silver: DataFrame, turbine: int | None = None, cfg: SensorConfig = DEFAULT
+) -> DataFrame:
+    """`chart_feed` straight from clean readings that are not written yet (see `with_verdict`)."""
+    day = Window.partitionBy(cfg.key, cfg.day)
+    value, shown = F.col(cfg.target), F.coalesce("is_anomaly", F.lit(False))
+    rows = with_verdict(_one(silver, turbine), cfg).withColumns({
+        f"min_{cfg.target}": F.min(value).over(day),
+        f"max_{cfg.target}": F.max(value).over(day),
+        f"avg_{cfg.target}": F.avg(value).over(day),
+        "_points": F.count_if(shown).over(day),
+        "_row": F.row_number().over(day.orderBy(F.col(cfg.time).asc_nulls_first())),
+    })
+    return rows.filter(shown | ((F.col("_points") == 0) & (F.col("_row") == 1))).select(
+        cfg.key, cfg.day, f"min_{cfg.target}", f"max_{cfg.target}", f"avg_{cfg.target}",
+        F.when(shown, F.col(cfg.time)).alias("anomaly_time"), F.when(shown, value).alias("anomaly_power"),
+    )
+
+
 def turbine_points(anomalies: DataFrame, turbine: int | None = None) -> DataFrame:
     """The anomalous points a chart draws."""
     return _one(anomalies, turbine).filter("is_anomaly").select(

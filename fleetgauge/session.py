@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -28,6 +28,29 @@ def build_session(app: str = "fleetgauge", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+# Input bytes (compressed) per shuffle partition before adaptive execution merges small ones.
+BYTES_PER_PARTITION = 64 * 1024**2
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the initial number of shuffle partitions to fit the input; never lowers it.
+
+    The default of 200 would put half a terabyte of a 100 TB input into each task. Starting with many is
+    cheap, because adaptive execution merges small partitions once their sizes are known.
+    """
+    present = int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(max(present, input_bytes // BYTES_PER_PARTITION), 200_000)
+    if wanted > present:
+        spark.conf.set(_INITIAL, str(wanted))
+    return wanted
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of a table on disk as the optimizer knows it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 @cache
 def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix="fleetgauge-")

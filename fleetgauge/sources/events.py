@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from fleetgauge.session import input_bytes, size_shuffles
+
 
 def _every(step: int) -> Column:
     return F.col("event_id") % step == 0
@@ -16,6 +18,7 @@ def event_readings(spark: SparkSession, folder: str) -> DataFrame:
     device-day holds at most 24 readings after dedupe, so whole days are safe cells for the fill.
     """
     events = spark.read.parquet(f"{folder}/events.parquet")
+    size_shuffles(spark, input_bytes(events))
     null_double = F.lit(None).cast("double")
     group = F.floor(F.floor(F.col("user_id") / 10) / 5)
     power = (
