@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 from fleetgauge.config import DEFAULT, SensorConfig
-from fleetgauge.functions.quality import newest_first
+from fleetgauge.functions.quality import newest_first, quoted
 
 
 def dedupe_readings(df: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
     """Keep the newest version of every reading.
 
-    The `rank == 1` form lets Spark cut each group to one row per map task before the
+    The `rank = 1` form lets Spark cut each group to one row per map task before the
     shuffle, so a reading with a huge number of copies never meets in one task.
     """
-    versions = Window.partitionBy(cfg.key, cfg.time).orderBy(*newest_first(df, cfg))
-    return (
-        df.withColumn("_version", F.row_number().over(versions))
-        .filter(F.col("_version") == 1)
-        .drop("_version")
-    )
+    reading = f"{quoted(cfg.key)}, {quoted(cfg.time)}"
+    rank = f"row_number() OVER (PARTITION BY {reading} ORDER BY {newest_first(df, cfg)}) AS _version"
+    return df.selectExpr("*", rank).filter("_version = 1").drop("_version")

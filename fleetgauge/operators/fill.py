@@ -15,13 +15,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from fleetgauge.config import DEFAULT, SensorConfig
-from fleetgauge.functions.quality import with_day
+from fleetgauge.functions.quality import quoted, replaced, with_day
 
 CELL = "_cell"
+SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 _AT = "_at_"
 
 
@@ -31,19 +32,14 @@ def fill_whole_history(df: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
     Ordering by day and time is ordering by time; naming the day lets later windows over
     (device, day) use the same sort.
     """
-    df = with_day(df, cfg)
-    history = (
-        Window.partitionBy(cfg.key)
-        .orderBy(F.col(cfg.day).asc_nulls_first(), F.col(cfg.time).asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    made: dict[str, Column] = {}
+    order = f"{quoted(cfg.day)} NULLS FIRST, {quoted(cfg.time)} NULLS FIRST"
+    history = f"PARTITION BY {quoted(cfg.key)} ORDER BY {order} {SO_FAR}"
+    made: dict[str, str] = {}
     for name in cfg.value_names:
-        value = F.col(name)
-        filled = F.last(value, ignorenulls=True).over(history)
+        filled = f"last_value({quoted(name)}) IGNORE NULLS OVER ({history})"
         made[name] = filled
-        made[f"{name}_was_imputed"] = value.isNull() & filled.isNotNull()
-    return df.withColumns(made)
+        made[f"{name}_was_imputed"] = f"({quoted(name)} IS NULL AND {filled} IS NOT NULL)"
+    return replaced(with_day(df, cfg), made)
 
 
 def busy_days(df: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
@@ -94,14 +90,15 @@ def cell_tails(
     Rows without a time form cells of their own and hold one row each after dedupe, so any constant
     serves as their position.
     """
-    position = F.coalesce(F.col(cfg.time), F.lit("1970-01-01").cast(df.schema[cfg.time].dataType))
+    kind = df.schema[cfg.time].dataType.simpleString()
+    position = f"coalesce({quoted(cfg.time)}, CAST('1970-01-01' AS {kind}))"
     found = []
     for name in cfg.value_names:
-        valid = F.col(name).isNotNull()
-        found.append(F.max_by(name, F.when(valid, position)).alias(name))
+        valid = f"{quoted(name)} IS NOT NULL"
+        found.append(f"max_by({quoted(name)}, {position}) FILTER (WHERE {valid}) AS {quoted(name)}")
         if timed:
-            found.append(F.max(F.when(valid, F.col(cfg.time))).alias(_AT + name))
-    return df.groupBy(*cells).agg(*found)
+            found.append(f"max({quoted(cfg.time)}) FILTER (WHERE {valid}) AS {quoted(_AT + name)}")
+    return df.groupBy(*cells).agg(*[F.expr(e) for e in found])
 
 
 def opening_values(
@@ -116,20 +113,16 @@ def opening_values(
 
     `start` gives the values in force before the first cell of each group (rows shaped like `tails`).
     """
-    within = list(within or [cfg.key])
-    order = order or cfg.day
-    rows = tails.withColumn("_cell_row", F.lit(True))
+    rows = tails.selectExpr("*", "true AS _cell_row")
     if start is not None:
-        rows = rows.unionByName(
-            start.withColumn("_cell_row", F.lit(False)), allowMissingColumns=True
-        )
+        rows = rows.unionByName(start.selectExpr("*", "false AS _cell_row"), allowMissingColumns=True)
+    group = ", ".join(quoted(c) for c in within or [cfg.key])
     before = (
-        Window.partitionBy(*within)
-        .orderBy("_cell_row", F.col(order).asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, -1)
+        f"PARTITION BY {group} ORDER BY _cell_row, {quoted(order or cfg.day)} NULLS FIRST "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     )
     names = _passed_names(cfg, timed)
-    carried = rows.withColumns({n: F.last(n, ignorenulls=True).over(before) for n in names})
+    carried = replaced(rows, {n: f"last_value({quoted(n)}) IGNORE NULLS OVER ({before})" for n in names})
     return carried.filter("_cell_row").drop("_cell_row")
 
 
@@ -146,36 +139,30 @@ def fill_cells(
     no join. With `max_gap`, a value older than that is not used.
     """
     timed = max_gap is not None
-    rows = df.withColumn("_reading", F.lit(True))
+    made = {"_reading": "true"}
     if timed:
-        rows = rows.withColumns(
-            {_AT + n: F.when(F.col(n).isNotNull(), F.col(cfg.time)) for n in cfg.value_names}
-        )
-    rows = rows.unionByName(
-        openings.withColumn("_reading", F.lit(False)), allowMissingColumns=True
-    )
-    so_far = (
-        Window.partitionBy(*cells)
-        .orderBy("_reading", F.col(cfg.time).asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        for n in cfg.value_names:
+            made[_AT + n] = f"CASE WHEN {quoted(n)} IS NOT NULL THEN {quoted(cfg.time)} END"
+    rows = replaced(df, made).unionByName(
+        openings.selectExpr("*", "false AS _reading"), allowMissingColumns=True
     )
-    rows = rows.withColumns(
-        {"_last_" + n: F.last(n, ignorenulls=True).over(so_far) for n in _passed_names(cfg, timed)}
-    ).filter("_reading")
+    group = ", ".join(quoted(c) for c in cells)
+    so_far = f"PARTITION BY {group} ORDER BY _reading, {quoted(cfg.time)} NULLS FIRST {SO_FAR}"
+    rows = replaced(rows, {
+        "_last_" + n: f"last_value({quoted(n)}) IGNORE NULLS OVER ({so_far})" for n in _passed_names(cfg, timed)
+    }).filter("_reading")
 
-    made: dict[str, Column] = {}
+    made = {}
     for name in cfg.value_names:
-        value, filled = F.col(name), F.col("_last_" + name)
+        value, filled = quoted(name), quoted("_last_" + name)
         if timed:
-            limit = F.make_dt_interval(secs=F.lit(max_gap.total_seconds()))
-            fresh = (F.col(cfg.time) - F.col("_last_" + _AT + name)) <= limit
-            filled = F.coalesce(value, F.when(fresh, filled))
+            age = f"{quoted(cfg.time)} - {quoted('_last_' + _AT + name)}"
+            limit = f"make_dt_interval(0, 0, 0, {max_gap.total_seconds()})"
+            filled = f"coalesce({value}, CASE WHEN {age} <= {limit} THEN {filled} END)"
         made[name] = filled
-        made[f"{name}_was_imputed"] = value.isNull() & filled.isNotNull()
-    kept = [c for c in df.columns if c != CELL]
-    return rows.withColumns(made).select(
-        *kept, *[f"{n}_was_imputed" for n in cfg.value_names]
-    )
+        made[f"{name}_was_imputed"] = f"({value} IS NULL AND {filled} IS NOT NULL)"
+    kept = [f"{made.pop(c)} AS {quoted(c)}" if c in made else quoted(c) for c in df.columns if c != CELL]
+    return rows.selectExpr(*kept, *[f"{e} AS {quoted(c)}" for c, e in made.items()])
 
 
 def fill_from_openings(

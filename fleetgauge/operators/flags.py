@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from fleetgauge.config import DEFAULT, SensorConfig
-from fleetgauge.functions.quality import impossible, missing
+from fleetgauge.functions.quality import impossible, missing, quoted, replaced
 
 
 def flag_and_nullify(
-    df: DataFrame, cfg: SensorConfig = DEFAULT, ceilings: dict[str, Column] | None = None
+    df: DataFrame, cfg: SensorConfig = DEFAULT, ceilings: dict[str, str] | None = None
 ) -> DataFrame:
     """Add `{c}_was_missing` and `{c}_was_invalid` per value column and set bad values to NULL.
 
     The range test only counts for values that are present: NaN sorts above every number, so an
-    unguarded upper limit would call it invalid. Both flags are always TRUE or FALSE.
+    unguarded upper limit would call it invalid. Both flags are always TRUE or FALSE. `ceilings` maps a
+    value column to an expression for its upper limit in each row.
     """
-    ceilings = ceilings or {}
-    made: dict[str, Column] = {}
+    made: dict[str, str] = {}
     for measure in cfg.measures:
         name = measure.name
         absent = missing(df, name)
-        bad = ~absent & F.coalesce(impossible(measure, ceilings.get(name)), F.lit(False))
+        bad = f"(NOT {absent} AND {impossible(measure, (ceilings or {}).get(name))})"
         made[f"{name}_was_missing"] = absent
         made[f"{name}_was_invalid"] = bad
-        made[name] = F.when(~absent & ~bad, F.col(name))
-    return df.withColumns(made)
+        made[name] = f"CASE WHEN NOT ({absent} OR {bad}) THEN {quoted(name)} END"
+    return replaced(df, made)
 
 
 def flag_with_capacity(
@@ -40,6 +40,6 @@ def flag_with_capacity(
     hint is given: Spark broadcasts the table when its measured size allows and otherwise splits
     a hot device through the adaptive skew join.
     """
-    limits = capacity.select(F.col(cfg.key), F.col(rated).alias("_rated"))
+    limits = capacity.selectExpr(quoted(cfg.key), f"{quoted(rated)} AS _rated")
     joined = df.join(limits, cfg.key, "left").select(*df.columns, "_rated")
-    return flag_and_nullify(joined, cfg, {cfg.target: F.col("_rated")}).drop("_rated")
+    return flag_and_nullify(joined, cfg, {cfg.target: "_rated"}).drop("_rated")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from fleetgauge.config import DEFAULT, SensorConfig
-from fleetgauge.functions.quality import with_day
+from fleetgauge.functions.quality import quoted, with_day
 
 
 def daily_summary(df: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
@@ -13,15 +13,12 @@ def daily_summary(df: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
 
     `reading_count` counts every row, `imputed_count` the rows whose target was filled.
     """
-    value = cfg.target
-    return (
-        with_day(df, cfg)
-        .groupBy(cfg.key, cfg.day)
-        .agg(
-            F.min(value).alias(f"min_{value}"),
-            F.max(value).alias(f"max_{value}"),
-            F.avg(value).alias(f"avg_{value}"),
-            F.count(F.lit(1)).alias("reading_count"),
-            F.sum(F.col(f"{value}_was_imputed").cast("int")).alias("imputed_count"),
-        )
+    value, imputed = quoted(cfg.target), quoted(f"{cfg.target}_was_imputed")
+    figures = (
+        f"min({value}) AS min_{cfg.target}",
+        f"max({value}) AS max_{cfg.target}",
+        f"avg({value}) AS avg_{cfg.target}",
+        "count(1) AS reading_count",
+        f"sum(CAST({imputed} AS INT)) AS imputed_count",
     )
+    return with_day(df, cfg).groupBy(cfg.key, cfg.day).agg(*[F.expr(e) for e in figures])

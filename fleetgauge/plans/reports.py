@@ -67,8 +67,8 @@ def turbine_kpis_in_one_pass(
 def fleet_quality(silver: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
     """Rows per device with any value missing, any value impossible, or a filled target."""
     return silver.groupBy("turbine_id").agg(
-        F.count_if(any_flag(cfg, "was_missing")).alias("missing_count"),
-        F.count_if(any_flag(cfg, "was_invalid")).alias("invalid_count"),
+        F.count_if(F.expr(any_flag(cfg, "was_missing"))).alias("missing_count"),
+        F.count_if(F.expr(any_flag(cfg, "was_invalid"))).alias("invalid_count"),
         F.count_if(F.col(f"{cfg.target}_was_imputed")).alias("imputed_count"),
         F.count(F.lit(1)).alias("total_readings"),
     )

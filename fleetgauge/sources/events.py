@@ -2,72 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from fleetgauge.session import input_bytes, size_shuffles
 
 
-def _every(step: int) -> Column:
-    return F.col("event_id") % step == 0
+# Which events become which dirty value, checked in this order.
+_POWER = """CASE WHEN event_id < 60 OR event_id % 83 = 0 THEN NULL WHEN event_id % 79 = 0 THEN double('NaN')
+  WHEN event_id % 89 = 0 THEN -value ELSE value END"""
+_SPEED = """CASE WHEN event_id % 107 = 0 THEN NULL WHEN event_id % 103 = 0 THEN double('NaN')
+  WHEN event_id % 97 = 0 THEN -3.2D WHEN event_id % 101 = 0 THEN 150D
+  ELSE double((event_id * 37) % 200) / 10 END"""
+_DIRECTION = """int(CASE WHEN event_id % 127 = 0 THEN NULL WHEN event_id % 109 = 0 THEN 400
+  WHEN event_id % 113 = 0 THEN -15 ELSE (event_id * 53) % 360 END)"""
 
 
 def event_readings(spark: SparkSession, folder: str) -> DataFrame:
     """One reading per event: ten users make a device, times are cut to the hour.
 
     Cutting to the hour yields real duplicates and gaps; dirt follows from the event number. A
-    device-day holds at most 24 readings after dedupe, so whole days are safe cells for the fill.
+    device-day holds at most 24 readings after dedupe, which bounds every window over it.
     """
     events = spark.read.parquet(f"{folder}/events.parquet")
     size_shuffles(spark, input_bytes(events))
-    null_double = F.lit(None).cast("double")
-    group = F.floor(F.floor(F.col("user_id") / 10) / 5)
-    power = (
-        F.when((F.col("event_id") < 60) | _every(83), null_double)
-        .when(_every(79), F.lit(float("nan")))
-        .when(_every(89), -F.col("value"))
-        .otherwise(F.col("value"))
-    )
-    speed = (
-        F.when(_every(107), null_double)
-        .when(_every(103), F.lit(float("nan")))
-        .when(_every(97), F.lit(-3.2))
-        .when(_every(101), F.lit(150.0))
-        .otherwise(((F.col("event_id") * 37) % 200).cast("double") / 10)
-    )
-    direction = (
-        F.when(_every(127), F.lit(None).cast("long"))
-        .when(_every(109), F.lit(400))
-        .when(_every(113), F.lit(-15))
-        .otherwise((F.col("event_id") * 53) % 360)
-    )
-    hour = F.to_date("ts").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour("ts"))
-    return events.select(
-        hour.alias("timestamp"),
-        (F.floor(F.col("user_id") / 10).cast("int") + 1).alias("turbine_id"),
-        speed.alias("wind_speed"),
-        direction.cast("int").alias("wind_direction"),
-        power.alias("power_output"),
-        F.col("ts").alias("_ingested_at"),
-        F.concat(F.lit("data_group_"), (group + 1).cast("string"), F.lit(".csv")).alias("_source_file"),
-        F.col("event_id"),
+    return events.selectExpr(
+        "CAST(to_date(ts) AS timestamp_ntz) + make_dt_interval(0, hour(ts)) AS timestamp",
+        "int(floor(user_id / 10)) + 1 AS turbine_id",
+        f"{_SPEED} AS wind_speed",
+        f"{_DIRECTION} AS wind_direction",
+        f"{_POWER} AS power_output",
+        "ts AS _ingested_at",
+        "concat('data_group_', string(int(floor(floor(user_id / 10) / 5)) + 1), '.csv') AS _source_file",
+        "event_id",
     )
 
 
 def event_text(spark: SparkSession, folder: str) -> DataFrame:
     """The same feed as text, as a landing file would hold it, with values that do not parse."""
-    readings = event_readings(spark, folder)
-    text = {n: F.col(n).cast("string") for n in ("turbine_id", "wind_speed", "wind_direction", "power_output")}
-    text["timestamp"] = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
-    junk = {
-        "timestamp": [(211, "bad")],
-        "turbine_id": [(307, "T-7")],
-        "wind_direction": [(109, "abc"), (113, "180.5")],
-        "power_output": [(223, "n/a")],
-    }
-    for name, marks in junk.items():
-        for step, value in marks:
-            text[name] = F.when(_every(step), F.lit(value)).otherwise(text[name])
-    names = ("timestamp", "turbine_id", "wind_speed", "wind_direction", "power_output")
-    return readings.select(
-        *[text[n].alias(n) for n in names], F.lit(None).cast("string").alias("_line")
+    return event_readings(spark, folder).selectExpr(
+        "CASE WHEN event_id % 211 = 0 THEN 'bad' ELSE date_format(timestamp, 'yyyy-MM-dd HH:mm:ss') END AS timestamp",
+        "CASE WHEN event_id % 307 = 0 THEN 'T-7' ELSE string(turbine_id) END AS turbine_id",
+        "string(wind_speed) AS wind_speed",
+        "CASE WHEN event_id % 113 = 0 THEN '180.5' WHEN event_id % 109 = 0 THEN 'abc' "
+        "ELSE string(wind_direction) END AS wind_direction",
+        "CASE WHEN event_id % 223 = 0 THEN 'n/a' ELSE string(power_output) END AS power_output",
+        "string(NULL) AS _line",
     )
