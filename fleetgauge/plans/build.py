@@ -25,11 +25,12 @@ from fleetgauge.operators.clean import clean_readings, flagged_readings
 from fleetgauge.operators.fill import busy_days, cell_tails, fill_from_openings, opening_values
 from fleetgauge.operators.residuals import warn_remaining, watch_nulls
 from fleetgauge.operators.summary import daily_summary
-from fleetgauge.plans.ingest import batch_bytes, bronze_by_day, mark_taken_in, new_batches, read_bronze
-from fleetgauge.session import shared_folder, size_shuffles
+from fleetgauge.plans.ingest import batch_bytes, bronze_by_day, mark_taken_in, new_batches, of_batches, read_bronze
+from fleetgauge.session import require_utc, shared_folder, size_shuffles
 from fleetgauge.sources.layers import ANOMALIES, SILVER, SUMMARY, Layers, packed, remove_folder
 
 DAY_VALUES = "day_values"
+NULL_REPORT = "remaining_nulls"
 BROADCAST_ROWS = 500_000
 
 
@@ -68,14 +69,23 @@ def checked_busy_days(
 def write_silver(
     cleaned: DataFrame, layers: Layers, cfg: SensorConfig = DEFAULT, only_touched: bool = False
 ) -> dict[str, int]:
-    """Write silver by day in even files; returns and warns about the NULLs left in it."""
-    rows, watch = watch_nulls(packed(cleaned, cfg.day), cfg=cfg)
+    """Write silver by day in even files; reports, warns about and returns the NULLs left in it."""
+    require_utc(cleaned.sparkSession)
+    rows, watch = watch_nulls(sorted_days(cleaned, cfg), cfg=cfg)
     layers.overwrite(rows, SILVER, [cfg.day], only_touched)
     counts = {name: watch.get[name] for name in cfg.value_names}
     warn_remaining(counts)
+    report = cleaned.sparkSession.createDataFrame(list(counts.items()), "column_name string, null_count long")
+    layers.append(report.withColumn("reported_at", F.current_timestamp()).coalesce(1), NULL_REPORT)
     return counts
 
 
+def sorted_days(df: DataFrame, cfg: SensorConfig) -> DataFrame:
+    """Rows packed by day and sorted by device in each file, so that a query for one device skips most
+    row groups. The write needs the sort by day anyway."""
+    return packed(df, cfg.day).sortWithinPartitions(cfg.day, cfg.key, cfg.time)
+
+
 def build_silver(
     spark: SparkSession, layers: Layers, cfg: SensorConfig = DEFAULT
 ) -> dict[str, int]:
@@ -93,7 +103,7 @@ def build_gold(spark: SparkSession, layers: Layers, cfg: SensorConfig = DEFAULT)
     """Recompute both gold tables from all of silver."""
     silver = layers.read(spark, SILVER)
     layers.overwrite(packed(daily_summary(silver, cfg), cfg.day), SUMMARY, [cfg.day])
-    layers.overwrite(packed(flag_anomalies(silver, cfg), cfg.day), ANOMALIES, [cfg.day])
+    layers.overwrite(sorted_days(flag_anomalies(silver, cfg), cfg), ANOMALIES, [cfg.day])
 
 
 def _on_days(df: DataFrame, days: Iterable[date | None], cfg: SensorConfig) -> DataFrame:
@@ -186,7 +196,7 @@ def _write_gold_days(
     silver = _on_days(layers.read(spark, SILVER), days, cfg)
     layers.overwrite(packed(daily_summary(silver, cfg), cfg.day), SUMMARY, [cfg.day], only_touched=True)
     found = flag_anomalies(silver, cfg)
-    layers.overwrite(packed(found, cfg.day), ANOMALIES, [cfg.day], only_touched=True)
+    layers.overwrite(sorted_days(found, cfg), ANOMALIES, [cfg.day], only_touched=True)
     # A day whose last real reading was corrected away has no rows to replace its old ones with.
     if not layers.exists(spark, ANOMALIES):
         return
@@ -205,11 +215,7 @@ def refresh(spark: SparkSession, layers: Layers, cfg: SensorConfig = DEFAULT) ->
         return []
     size_shuffles(spark, batch_bytes(spark, layers, batches))
     bronze = bronze_by_day(spark, layers)
-    arrived = F.lit(False)
-    for feed in {f for f, _ in batches}:
-        numbers = [n for f, n in batches if f == feed]
-        arrived = arrived | ((F.col("feed") == feed) & F.col("ingest_batch").isin(numbers))
-    touched = _days_of(bronze.filter(arrived), cfg)
+    touched = _days_of(bronze.filter(of_batches(batches)), cfg)
     if not touched:
         mark_taken_in(spark, layers, batches)
         return []

@@ -8,12 +8,12 @@ in place shows up with a new time or size and is read again. The copies this lea
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetgauge.config import DEFAULT, SensorConfig
 from fleetgauge.functions.quality import with_day
+from fleetgauge.session import require_utc
 from fleetgauge.sources.landing import FILE_SIZE, FILE_TIME, landing_versions, read_landing
 from fleetgauge.sources.layers import BRONZE, Layers, packed
 
@@ -34,6 +34,15 @@ PROGRESS = "taken_in"
 PROGRESS_SCHEMA = "feed string, ingest_batch int"
 
 
+def of_batches(batches: Sequence[tuple[str, int]]) -> Column:
+    """Rows of the given batches, by a condition that prunes partitions."""
+    wanted = F.lit(False)
+    for feed in sorted({f for f, _ in batches}):
+        numbers = [n for f, n in batches if f == feed]
+        wanted = wanted | ((F.col("feed") == feed) & F.col("ingest_batch").isin(numbers))
+    return wanted
+
+
 def batch_folder(layers: Layers, feed: str, batch: int) -> str:
     return f"{layers.path(BRONZE)}/feed={feed}/ingest_batch={batch}"
 
@@ -42,6 +51,7 @@ def write_batch(
     rows: DataFrame, layers: Layers, feed: str, batch: int, cfg: SensorConfig = DEFAULT
 ) -> None:
     """Write one bronze batch; the same number again replaces it."""
+    require_utc(rows.sparkSession)
     (
         packed(with_day(rows, cfg), cfg.day)
         .write.mode("overwrite")
@@ -123,11 +133,7 @@ def batch_bytes(
     """Bytes of the landing files behind the given batches, or behind all of bronze."""
     ledger = layers.read(spark, LEDGER, LEDGER_SCHEMA)
     if batches is not None:
-        ledger = ledger.join(
-            F.broadcast(spark.createDataFrame(list(batches), PROGRESS_SCHEMA)),
-            ["feed", "ingest_batch"],
-            "left_semi",
-        )
+        ledger = ledger.filter(of_batches(batches))
     return ledger.agg(F.sum(FILE_SIZE)).first()[0] or 0
 
 
@@ -139,7 +145,8 @@ def merge_batches(
     A run that stops in between leaves rows twice, which dedupe absorbs, so results stay right. Merge
     only batches that a refresh has already taken in; the new one is marked as taken in too.
     """
-    merged = reduce(DataFrame.unionByName, [read_batch(spark, layers, f, n) for f, n in batches])
+    rows = layers.read(spark, BRONZE, BRONZE_SCHEMA).filter(of_batches(batches))
+    merged = rows.drop("feed", "ingest_batch")
     number = next_batch(spark, layers)
     write_batch(merged, layers, FILES, number, cfg)
     record_versions(merged.select(*VERSION).distinct(), layers, FILES, number)

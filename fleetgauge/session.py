@@ -28,6 +28,13 @@ def build_session(app: str = "fleetgauge", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Stored days must not shift between runs, so jobs only write in the pinned zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
+
+
 # Input bytes (compressed) per shuffle partition before adaptive execution merges small ones.
 BYTES_PER_PARTITION = 64 * 1024**2
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
