@@ -113,11 +113,18 @@ def imputed_days(summary: DataFrame) -> DataFrame:
 
 
 def chart_feed(summary: DataFrame, anomalies: DataFrame, turbine: int | None = None) -> DataFrame:
-    """Daily band and mean, with one row per anomalous reading of the day (NULL if none)."""
-    points = turbine_points(anomalies, turbine)
-    return _one(summary, turbine).select(
-        "turbine_id", "date", "min_power_output", "max_power_output", "avg_power_output"
-    ).join(points, ["turbine_id", "date"], "left")
+    """Daily band and mean, with one row per anomalous reading of the day (NULL if none).
+
+    A left join in two halves: days with points by inner join, whose hot side Spark can split, which it
+    cannot in the outer form, and the other days by anti join.
+    """
+    key = ["turbine_id", "date"]
+    days = _one(summary, turbine).select(*key, "min_power_output", "max_power_output", "avg_power_output")
+    points = _one(anomalies, turbine).filter("is_anomaly").selectExpr(
+        *key, "timestamp AS anomaly_time", "power_output AS anomaly_power"
+    )
+    quiet = days.join(points.select(*key).distinct(), key, "left_anti")
+    return days.join(points, key).unionByName(quiet, allowMissingColumns=True)
 
 
 def chart_feed_in_one_pass(
@@ -137,11 +144,3 @@ def chart_feed_in_one_pass(
         cfg.key, cfg.day, f"min_{cfg.target}", f"max_{cfg.target}", f"avg_{cfg.target}",
         F.when(shown, F.col(cfg.time)).alias("anomaly_time"), F.when(shown, value).alias("anomaly_power"),
     )
-
-
-def turbine_points(anomalies: DataFrame, turbine: int | None = None) -> DataFrame:
-    """The anomalous points a chart draws."""
-    return _one(anomalies, turbine).filter("is_anomaly").select(
-        "turbine_id", "date",
-        F.col("timestamp").alias("anomaly_time"), F.col("power_output").alias("anomaly_power"),
-    )
