@@ -25,7 +25,9 @@ from fleetgauge.operators.clean import clean_readings, flagged_readings
 from fleetgauge.operators.fill import busy_days, cell_tails, fill_from_openings, opening_values
 from fleetgauge.operators.residuals import warn_remaining, watch_nulls
 from fleetgauge.operators.summary import daily_summary
-from fleetgauge.plans.ingest import batch_bytes, bronze_by_day, mark_taken_in, new_batches, of_batches, read_bronze
+from fleetgauge.plans.ingest import (
+    batch_bytes, bronze_by_day, ingest_files, mark_taken_in, new_batches, of_batches, read_bronze,
+)
 from fleetgauge.session import require_utc, shared_folder, size_shuffles
 from fleetgauge.sources.layers import ANOMALIES, SILVER, SUMMARY, Layers, packed, remove_folder
 
@@ -35,7 +37,10 @@ BROADCAST_ROWS = 500_000
 
 
 class Staging:
-    """Intermediate tables of one run, in a folder of its own below the shared folder."""
+    """Intermediate tables of one run, in a folder of its own below the shared folder.
+
+    The folder goes when the `with` block ends, by then everything that reads it has been written.
+    """
 
     def __init__(self, spark: SparkSession, layers: Layers):
         self.spark = spark
@@ -46,7 +51,10 @@ class Staging:
         df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
-    def drop(self) -> None:
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_) -> None:
         remove_folder(self.spark, self.folder)
 
 
@@ -92,11 +100,9 @@ def build_silver(
     """Recompute silver from all of bronze."""
     size_shuffles(spark, batch_bytes(spark, layers))
     bronze = read_bronze(spark, layers)
-    staging = Staging(spark, layers)
-    cleaned = clean_readings(bronze, cfg, checked_busy_days(bronze, staging, cfg))
-    counts = write_silver(cleaned, layers, cfg)
-    staging.drop()
-    return counts
+    with Staging(spark, layers) as staging:
+        cleaned = clean_readings(bronze, cfg, checked_busy_days(bronze, staging, cfg))
+        return write_silver(cleaned, layers, cfg)
 
 
 def build_gold(spark: SparkSession, layers: Layers, cfg: SensorConfig = DEFAULT) -> None:
@@ -223,25 +229,36 @@ def refresh(spark: SparkSession, layers: Layers, cfg: SensorConfig = DEFAULT) ->
     def flagged_on(days: Iterable[date | None]) -> DataFrame:
         return flagged_readings(_on_days(bronze, days, cfg).drop("feed", "ingest_batch"), cfg)
 
-    staging = Staging(spark, layers)
-    flagged = staging.keep(flagged_on(touched), "flagged")
-    old = layers.read(spark, DAY_VALUES, _day_values_schema(cfg, flagged))
-    tails = cell_tails(flagged, [cfg.key, cfg.day], cfg)
-    values = staging.keep(_new_day_values(old, tails, touched, cfg), "day_values")
-    later = [d for d in _days_of(values, cfg) if d not in touched]
-    changed = _days_with_new_openings(old, values, later, cfg) if later else []
-    days = touched + changed
-
-    readings = flagged.unionByName(flagged_on(changed)) if changed else flagged
-    openings = _on_days(values, days, cfg).filter("has_rows").select(
-        cfg.key, cfg.day, *[F.col(f"open_{n}").alias(n) for n in cfg.value_names]
-    )
-    cleaned = fill_from_openings(
-        readings, openings, cfg, checked_busy_days(readings, staging, cfg)
-    )
-    write_silver(cleaned, layers, cfg, only_touched=True)
-    _write_gold_days(spark, layers, days, cfg)
-    layers.overwrite(packed(values, cfg.day), DAY_VALUES, [cfg.day], only_touched=True)
-    mark_taken_in(spark, layers, batches)
-    staging.drop()
+    with Staging(spark, layers) as staging:
+        flagged = staging.keep(flagged_on(touched), "flagged")
+        old = layers.read(spark, DAY_VALUES, _day_values_schema(cfg, flagged))
+        tails = cell_tails(flagged, [cfg.key, cfg.day], cfg)
+        values = staging.keep(_new_day_values(old, tails, touched, cfg), "day_values")
+        later = [d for d in _days_of(values, cfg) if d not in touched]
+        changed = _days_with_new_openings(old, values, later, cfg) if later else []
+        days = touched + changed
+
+        readings = flagged.unionByName(flagged_on(changed)) if changed else flagged
+        openings = _on_days(values, days, cfg).filter("has_rows").select(
+            cfg.key, cfg.day, *[F.col(f"open_{n}").alias(n) for n in cfg.value_names]
+        )
+        cleaned = fill_from_openings(
+            readings, openings, cfg, checked_busy_days(readings, staging, cfg)
+        )
+        write_silver(cleaned, layers, cfg, only_touched=True)
+        _write_gold_days(spark, layers, days, cfg)
+        layers.overwrite(packed(values, cfg.day), DAY_VALUES, [cfg.day], only_touched=True)
+        mark_taken_in(spark, layers, batches)
     return days
+
+
+def run_all(
+    spark: SparkSession, layers: Layers, landing: str, cfg: SensorConfig = DEFAULT, full: bool = False
+) -> None:
+    """One daily run: landing files to bronze, then silver and gold, by refresh or in `full`."""
+    ingest_files(spark, layers, landing, cfg)
+    if not full:
+        refresh(spark, layers, cfg)
+        return
+    build_silver(spark, layers, cfg)
+    build_gold(spark, layers, cfg)

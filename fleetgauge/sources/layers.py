@@ -67,6 +67,13 @@ class Layers:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(self.path(table))
 
+    def expose(self, spark: SparkSession) -> list[str]:
+        """Make the tables written so far usable in SQL under their plain names."""
+        written = [table for table in LAYER_OF if self.exists(spark, table)]
+        for table in written:
+            self.read(spark, table).createOrReplaceTempView(table)
+        return written
+
     def exists(self, spark: SparkSession, table: str) -> bool:
         return folder_exists(spark, self.path(table))
 
@@ -74,9 +81,11 @@ class Layers:
         self, df: DataFrame, table: str, by: Sequence[str] = (), only_touched: bool = False
     ) -> None:
         """Replace a table, or with `only_touched` just the partitions that occur in `df`."""
-        writer = df.write.mode("overwrite").option("maxRecordsPerFile", self.rows_per_file)
-        if only_touched:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer = (
+            df.write.mode("overwrite")
+            .option("maxRecordsPerFile", self.rows_per_file)
+            .option("partitionOverwriteMode", "dynamic" if only_touched else "static")
+        )
         if by:
             writer = writer.partitionBy(*by)
         writer.parquet(self.path(table))

@@ -7,8 +7,9 @@ from compare import connect
 from landing_files import lines, write
 
 from fleetgauge.plans.build import build_gold, build_silver, refresh
+from fleetgauge.plans import reports
 from fleetgauge.plans.ingest import ingest_files, read_bronze
-from fleetgauge.sources.layers import ANOMALIES, SILVER, SUMMARY, Layers
+from fleetgauge.sources.layers import ANOMALIES, BRONZE, SILVER, SUMMARY, Layers
 from fleetgauge.streaming.feed import run_feed
 
 TABLES = (SILVER, SUMMARY, ANOMALIES)
@@ -189,3 +190,36 @@ def test_two_stream_runs_equal_one_full_build(spark, tmp_path):
     assert read_bronze(spark, layers).count() == before + len(lines((1, 2), range(1, 5), seed=5))
     refresh(spark, layers)
     assert tables(spark, layers) == full(spark, tmp_path / "full2", landing)
+
+
+def test_command_line_run_and_plain_sql(spark, tmp_path):
+    from fleetgauge.__main__ import main
+
+    write(tmp_path / "landing", "a.csv", lines())
+    main([str(tmp_path / "landing"), str(tmp_path / "lake"), "--env", "dev", "--full"])
+    layers = Layers(str(tmp_path / "lake"), env="dev")
+    assert set(layers.expose(spark)) == {BRONZE, *TABLES}
+    silver = layers.read(spark, SILVER)
+    assert spark.sql(f"SELECT * FROM {SILVER} WHERE turbine_id = 42 AND wind_direction_was_invalid").count() == (
+        reports.invalid_direction_rows(silver, 42).count()
+    )
+    assert spark.sql(f"SELECT * FROM {ANOMALIES} WHERE is_anomaly = true").count() == (
+        reports.anomalous_rows(layers.read(spark, ANOMALIES)).count()
+    )
+    assert spark.sql(f"SELECT * FROM {SUMMARY} WHERE imputed_count > 0").count() == (
+        reports.imputed_days(layers.read(spark, SUMMARY)).count()
+    )
+    report = layers.read(spark, "remaining_nulls")
+    assert {r.column_name for r in report.collect()} == {"power_output", "wind_speed", "wind_direction"}
+
+
+def test_device_filter_reaches_the_files(spark, tmp_path):
+    write(tmp_path / "landing", "a.csv", lines())
+    layers = Layers(str(tmp_path / "lake"))
+    ingest_files(spark, layers, str(tmp_path / "landing"))
+    refresh(spark, layers)
+    df = reports.turbine_daily(layers.read(spark, SUMMARY).filter("date = DATE'2022-03-02'"), 42)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    assert "EqualTo(turbine_id,42)" in text and "PartitionFilters: [isnotnull(date" in text
+    assert df.count() == 1
