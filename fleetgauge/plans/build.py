@@ -18,6 +18,7 @@ from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from fleetgauge.config import DEFAULT, SensorConfig
 from fleetgauge.operators.anomalies import flag_anomalies
@@ -197,17 +198,15 @@ def _days_with_new_openings(old: DataFrame, new: DataFrame, days: list, cfg: Sen
 
 
 def _write_gold_days(
-    spark: SparkSession, layers: Layers, days: list[date | None], cfg: SensorConfig
+    spark: SparkSession, layers: Layers, schema: StructType, days: list[date | None], cfg: SensorConfig
 ) -> None:
-    silver = _on_days(layers.read(spark, SILVER), days, cfg)
+    silver = _on_days(layers.read(spark, SILVER, schema), days, cfg)
     layers.overwrite(packed(daily_summary(silver, cfg), cfg.day), SUMMARY, [cfg.day], only_touched=True)
     found = flag_anomalies(silver, cfg)
     layers.overwrite(sorted_days(found, cfg), ANOMALIES, [cfg.day], only_touched=True)
     # A day whose last real reading was corrected away has no rows to replace its old ones with.
-    if not layers.exists(spark, ANOMALIES):
-        return
     real = silver.filter(~F.col(f"{cfg.target}_was_imputed") & F.col(cfg.key).isNotNull())
-    present = _on_days(layers.read(spark, ANOMALIES), days, cfg)
+    present = _on_days(layers.read(spark, ANOMALIES, found.schema), days, cfg)
     for day in set(_days_of(present, cfg)) - set(_days_of(real, cfg)):
         found.limit(0).drop(cfg.day).write.mode("overwrite").parquet(
             f"{layers.path(ANOMALIES)}/{cfg.day}={day}"
@@ -246,7 +245,7 @@ def refresh(spark: SparkSession, layers: Layers, cfg: SensorConfig = DEFAULT) ->
             readings, openings, cfg, checked_busy_days(readings, staging, cfg)
         )
         write_silver(cleaned, layers, cfg, only_touched=True)
-        _write_gold_days(spark, layers, days, cfg)
+        _write_gold_days(spark, layers, cleaned.schema, days, cfg)
         layers.overwrite(packed(values, cfg.day), DAY_VALUES, [cfg.day], only_touched=True)
         mark_taken_in(spark, layers, batches)
     return days
