@@ -1,11 +1,11 @@
 """Packing along a space-filling curve: similar documents share training sequences.
 
-Each text becomes a vector of hashed word counts, normalized and projected by fixed random directions to a few dimensions. The
-Hilbert key of that point orders all documents; a range shuffle sorts them by it, and each partition is packed from
+Each text becomes a vector of hashed counts of three neighbouring bytes, normalized and projected by fixed random directions to a few
+dimensions. The Hilbert key of that point orders all documents; a range shuffle sorts them by it, and each partition is packed from
 its first document to its last by cutting the stream of ids every `length` ids. What is left at the end of a partition is
 cut into lengths that are powers of two, so no sequence needs padding.
 
-The keys need only a cheap pass over the words; texts are tokenized once, after the shuffle. Equal keys (copies) are told
+The keys need only a cheap pass over the bytes; texts are tokenized once, after the shuffle. Equal keys (copies) are told
 apart by the id and a row number, so a group of copies of any size spreads over partitions. A task holds a batch of texts.
 
 Null text counts as empty; a document always has its end id. A null id is kept as null. Repeated rows are packed
@@ -14,12 +14,11 @@ each for itself. An empty table gives an empty table. Only the named columns are
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
-from fleetgauge.llm.common import Memo, task_count, utf8
+from fleetgauge.llm.common import task_count, utf8
 
 DIMENSIONS, BITS, BUCKETS, SEED = 4, 8, 256, 42
 
@@ -59,15 +58,24 @@ def directions():
     return np.random.default_rng(SEED).standard_normal((BUCKETS, DIMENSIONS))
 
 
-def curve_keys(texts: list[bytes], buckets: dict, projection):
-    """Hilbert keys of texts, from their hashed words."""
+def hashed_counts(texts: list[bytes]):
+    """How often each bucket of hashed byte triples occurs, ASCII letters lower-cased; one row for each text."""
     import numpy as np
 
-    vectors = np.zeros((len(texts), BUCKETS))
-    for row, data in enumerate(texts):
-        words = data.lower().split()
-        vectors[row] = np.bincount(np.fromiter(map(buckets.__getitem__, words), "int64", len(words)), minlength=BUCKETS)
-    vectors = np.log1p(vectors)
+    out = np.zeros((len(texts), BUCKETS))
+    for row, data in zip(out, texts):
+        b = np.frombuffer(data.lower(), "uint8").astype("uint16")
+        if len(b) > 2:
+            triples = (b[:-2] * np.uint16(40503) ^ b[1:-1] * np.uint16(10973) ^ b[2:] * np.uint16(27655)) >> np.uint16(8)
+            row[:] = np.bincount(triples, minlength=BUCKETS)
+    return out
+
+
+def curve_keys(texts: list[bytes], projection):
+    """Hilbert keys of texts."""
+    import numpy as np
+
+    vectors = np.log1p(hashed_counts(texts))
     vectors -= vectors.mean(1, keepdims=True)
     lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
     points = vectors / np.where(lengths > 0, lengths, 1) @ projection
@@ -81,9 +89,9 @@ def with_curve_keys(docs: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        buckets, projection = Memo(lambda w: zlib.crc32(w) % BUCKETS), directions()
+        projection = directions()
         for batch in batches:
-            curve = curve_keys(utf8(batch["_text"]), buckets, projection)
+            curve = curve_keys(utf8(batch["_text"]), projection)
             yield pa.RecordBatch.from_arrays(
                 [batch["_key"], batch["_text"], pa.array(curve, pa.int64())], names=["_key", "_text", "_curve"]
             )
@@ -94,28 +102,70 @@ def with_curve_keys(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 class Words:
-    """Token ids of whole texts by a tokenizer file. The tokenizer drops white space and merges within words, so words are
-    encoded apart and kept in a bounded cache."""
+    """Token ids of whole texts by a tokenizer file that drops white space, lower-cases, and cuts runs of letters, single digits and
+    runs of other characters before it merges.
+
+    So a word can be encoded apart from its neighbours, and its closing stops apart from the rest of it. Both are kept in
+    bounded caches; what is new in a block of texts is given to the tokenizer in one call, with a mark between the parts.
+    """
+
+    STOPS = b".,;:!?"
+    MARK = b"\x01"
 
     def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.memo = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.memo: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+        self.mark = self._ids(self.MARK)
+        if len(self.mark) != 1:
+            raise ValueError("the mark between words must be one token")
 
-    def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+    def _ids(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+
+    def _learn_parts(self, new: list[bytes]) -> None:
+        import numpy as np
+
+        for at in range(0, len(new), 5_000):
+            part = new[at : at + 5_000]
+            ids = np.array(self._ids((b" " + self.MARK + b" ").join(part)), "<u4")
+            cuts = np.flatnonzero(ids == self.mark[0])
+            for word, a, b in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
+                self.parts[word] = ids[a:b].tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
         import numpy as np
 
+        if len(self.parts) + len(words) > self.limit:
+            self.parts.clear()
+        split, new = [], set()
+        for word in words:
+            if self.MARK in word or b"<|" in word:  # the mark itself, or names of special tokens, which are found in the raw text
+                self.memo[word] = np.array(self._ids(word), "<u4").tobytes()
+                continue
+            low = word.lower()
+            core = low.rstrip(self.STOPS)
+            stops = low[len(core):] if core[-1:].isalnum() else b""
+            core = core if stops else low
+            split.append((word, core, stops))
+            new.add(core)
+            new.add(stops)
+        new.discard(b"")
+        self._learn_parts([part for part in new if part not in self.parts])
+        self.parts[b""] = b""
+        for word, core, stops in split:
+            self.memo[word] = self.parts[core] + self.parts[stops]
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [data.split() for data in texts]
         new = set().union(*split).difference(self.memo)
         if len(self.memo) + len(new) > self.limit:
             self.memo.clear()
             new = set().union(*split)
-        words = list(new)
-        for at in range(0, len(words), 50_000):
-            part = words[at : at + 50_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.memo.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, found))
+        self._learn(new)
         return [b"".join(map(self.memo.__getitem__, words)) for words in split]
 
 
