@@ -29,6 +29,91 @@ NO = 2**31 - 1
 BLOCK = 1_000_000
 
 
+class Pairs:
+    """Which two ids merge to which, where the lowest merged id goes first. Merges many short pieces at a time."""
+
+    def __init__(self, pairs: dict[tuple[int, int], int]):
+        import numpy as np
+
+        self.keys = np.array(sorted(a << 32 | b for a, b in pairs), "int64")
+        self.merged = np.array([pairs[k >> 32, k & 0xFFFFFFFF] for k in self.keys.tolist()], "int32")
+
+    def rank(self, left, right):
+        """Merged ids; NO where two ids do not merge."""
+        import numpy as np
+
+        if not len(self.keys):
+            return np.full(len(left), NO, "int32")
+        key = left.astype("int64") << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.merged[at], NO)
+
+    def merge_rows(self, token, live) -> list[bytes]:
+        """Packed ids of each row: one segment tree for each, all merged in step. The width is a power of two.
+
+        `token` holds the first ids and is used up; `live` marks those that belong to a row, from its start.
+        """
+        import numpy as np
+
+        (rows, size), n = token.shape, live.sum(1)
+        column = np.arange(size)
+        following = np.tile(column + 1, (rows, 1))
+        before = np.tile(column - 1, (rows, 1))
+        tree = np.full((rows, 2 * size), NO, "int32")
+        first = self.rank(token[:, :-1].ravel(), token[:, 1:].ravel()).reshape(rows, -1)
+        tree[:, size : 2 * size - 1] = np.where(live[:, 1:], first, NO)
+        level = size // 2
+        while level:
+            tree[:, level : 2 * level] = np.minimum(tree[:, 2 * level : 4 * level : 2], tree[:, 2 * level + 1 : 4 * level : 2])
+            level //= 2
+        flat, depth = tree.reshape(-1), size.bit_length() - 1
+        while len(row := np.flatnonzero(tree[:, 1] < NO)):
+            base = row * (2 * size)
+            least, node = flat[base + 1], np.ones(len(row), "int64")
+            for _ in range(depth):
+                node = 2 * node
+                node += flat[base + node] != least
+            i = node - size
+            j = following[row, i]
+            after = following[row, j]
+            token[row, i], following[row, i], live[row, j] = least, after, False
+            more = after < n[row]
+            before[row[more], after[more]] = i[more]
+            right = self.rank(least, token[row, np.minimum(after, size - 1)])
+            p = before[row, i]
+            left = self.rank(token[row, np.maximum(p, 0)], least)
+            flat[base + size + i] = np.where(more, right, NO)
+            flat[base + size + j] = NO
+            some = p >= 0
+            flat[(base + size + p)[some]] = left[some]
+            for leaf in (i, j, np.where(some, p, i)):
+                node = size + leaf
+                for _ in range(depth):
+                    node = node >> 1
+                    flat[base + node] = np.minimum(flat[base + 2 * node], flat[base + 2 * node + 1])
+        packed = token[live].astype("<u4").tobytes()
+        ends = np.cumsum(live.sum(1)) * 4
+        return [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+
+def byte_matrix(pieces: list[bytes], size: int):
+    """Pieces as rows of bytes, filled up with zeros, and which places are theirs."""
+    import numpy as np
+
+    raw = np.frombuffer(b"".join(p.ljust(size, b"\0") for p in pieces), "uint8").reshape(len(pieces), size)
+    return raw, np.arange(size) < np.array([len(p) for p in pieces])[:, None]
+
+
+def by_size(pieces: list[bytes], most: int = 8192):
+    """(size, places of pieces of up to that many bytes) in blocks; sizes are powers of two from 8 on."""
+    groups: dict[int, list[int]] = {}
+    for place, piece in enumerate(pieces):
+        groups.setdefault(max(8, 1 << (len(piece) - 1).bit_length()), []).append(place)
+    for size, places in groups.items():
+        for at in range(0, len(places), most):
+            yield size, places[at : at + most]
+
+
 class ByteBpe:
     """Encoder and decoder for a file of `base64(bytes) rank` lines."""
 
@@ -47,9 +132,8 @@ class ByteBpe:
             for cut in range(1, len(piece)):
                 left, right = self.ranks.get(piece[:cut]), self.ranks.get(piece[cut:])
                 if left is not None and right is not None:
-                    pairs[left << 32 | right] = rank
-        self.pair_keys = np.array(sorted(pairs), "int64")
-        self.pair_ranks = np.array([pairs[k] for k in sorted(pairs)], "int32")
+                    pairs[left, right] = rank
+        self.pairs = Pairs(pairs)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], "int32")
 
     def _packed(self, piece: str) -> bytes:
@@ -107,78 +191,26 @@ class ByteBpe:
             i = end[i]
         return ids
 
-    def _rank(self, left, right):
-        """Ranks of pairs of ids; NO where they do not merge."""
-        import numpy as np
-
-        if not len(self.pair_keys):
-            return np.full(len(left), NO, "int32")
-        key = left.astype("int64") << 32 | right
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NO)
-
     def merge_many(self, pieces: list[bytes], size: int) -> list[bytes]:
-        """Packed ids of pieces of 2 to `size` bytes (a power of two): one tree for each row, merged in step."""
-        import numpy as np
-
-        rows, n = len(pieces), np.array([len(p) for p in pieces])
-        raw = np.frombuffer(b"".join(p.ljust(size, b"\0") for p in pieces), "uint8").reshape(rows, size)
-        column = np.arange(size)
-        token = self.byte_ids[raw]
-        following = np.tile(column + 1, (rows, 1))
-        before = np.tile(column - 1, (rows, 1))
-        live = column < n[:, None]
-        tree = np.full((rows, 2 * size), NO, "int32")
-        first = self._rank(token[:, :-1].ravel(), token[:, 1:].ravel()).reshape(rows, -1)
-        tree[:, size : 2 * size - 1] = np.where(live[:, 1:], first, NO)
-        level = size // 2
-        while level:
-            tree[:, level : 2 * level] = np.minimum(tree[:, 2 * level : 4 * level : 2], tree[:, 2 * level + 1 : 4 * level : 2])
-            level //= 2
-        flat, depth = tree.reshape(-1), size.bit_length() - 1
-        while len(row := np.flatnonzero(tree[:, 1] < NO)):
-            base = row * (2 * size)
-            least, node = flat[base + 1], np.ones(len(row), "int64")
-            for _ in range(depth):
-                node = 2 * node
-                node += flat[base + node] != least
-            i = node - size
-            j = following[row, i]
-            after = following[row, j]
-            token[row, i], following[row, i], live[row, j] = least, after, False
-            more = after < n[row]
-            before[row[more], after[more]] = i[more]
-            right = self._rank(least, token[row, np.minimum(after, size - 1)])
-            p = before[row, i]
-            left = self._rank(token[row, np.maximum(p, 0)], least)
-            flat[base + size + i] = np.where(more, right, NO)
-            flat[base + size + j] = NO
-            some = p >= 0
-            flat[(base + size + p)[some]] = left[some]
-            for leaf in (i, j, np.where(some, p, i)):
-                node = size + leaf
-                for _ in range(depth):
-                    node = node >> 1
-                    flat[base + node] = np.minimum(flat[base + 2 * node], flat[base + 2 * node + 1])
-        packed = token[live].astype("<u4").tobytes()
-        ends = np.cumsum(live.sum(1)) * 4
-        return [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        """Packed ids of pieces of 2 to `size` bytes (a power of two)."""
+        token, live = byte_matrix(pieces, size)
+        return self.pairs.merge_rows(self.byte_ids[token], live)
 
     def learn(self, pieces: set[str]) -> None:
         """Put the ids of new pieces into the cache, the short ones in blocks."""
         if len(self.memo) + len(pieces) > self.memo.limit:
             self.memo.clear()
-        blocks: dict[int, list[str]] = {}
+        short = []
         for piece in pieces:
             data = piece.encode()
             if (rank := self.ranks.get(data)) is not None:
                 self.memo[piece] = rank.to_bytes(4, "little")
             elif len(data) <= 32:
-                blocks.setdefault(max(8, 1 << (len(data) - 1).bit_length()), []).append(piece)
-        for size, block in blocks.items():
-            for at in range(0, len(block), 8192):
-                part = block[at : at + 8192]
-                self.memo.update(zip(part, self.merge_many([p.encode() for p in part], size)))
+                short.append(piece)
+        data = [piece.encode() for piece in short]
+        for size, places in by_size(data):
+            for place, ids in zip(places, self.merge_many([data[p] for p in places], size)):
+                self.memo[short[place]] = ids
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""

@@ -15,6 +15,7 @@ each for itself. An empty table gives an empty table. Only the named columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from unicodedata import normalize
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -103,33 +104,76 @@ def with_curve_keys(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 class Words:
     """Token ids of whole texts by a tokenizer file that drops white space, lower-cases, and cuts runs of letters, single digits and
-    runs of other characters before it merges.
+    runs of other characters before it merges bytes, with its own ids for the last byte of a run.
 
     So a word can be encoded apart from its neighbours, and its closing stops apart from the rest of it. Both are kept in
-    bounded caches; what is new in a block of texts is given to the tokenizer in one call, with a mark between the parts.
+    bounded caches. New words of letters alone, nearly all, are merged in blocks by the file's merges; all others are
+    given to the tokenizer itself, in one call for many, with a mark between them.
     """
 
     STOPS = b".,;:!?"
     MARK = b"\x01"
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, words: int = 300_000, parts: int = 600_000):
+        import json
+
+        import numpy as np
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        from fleetgauge.llm.bpe import Pairs
+
+        self.tokenizer, self.most_words, self.most_parts = Tokenizer.from_file(path), words, parts
         self.memo: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
         self.mark = self._ids(self.MARK)
-        if len(self.mark) != 1:
-            raise ValueError("the mark between words must be one token")
+        with open(path) as file:
+            model = json.load(file)["model"]
+        vocabulary, end = model["vocab"], model["end_of_word_suffix"]
+        pairs = {}
+        for merge in model["merges"]:
+            left, right = merge.split(" ") if isinstance(merge, str) else merge
+            pairs[vocabulary[left], vocabulary[right]] = vocabulary[left + right]
+        # merging by the least new id is merging in the file's order
+        if len(self.mark) != 1 or list(pairs.values()) != sorted(pairs.values()):
+            raise ValueError("this tokenizer file is of another kind")
+        self.pairs = Pairs(pairs)
+        names = byte_names()
+        self.inner = np.array([vocabulary[n] for n in names], "int32")
+        self.last = np.array([vocabulary[n + end] for n in names], "int32")
 
     def _ids(self, text: bytes) -> list[int]:
         return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
 
+    def _merged(self, words: list[bytes]) -> None:
+        """Ids of runs of lower-case letters."""
+        import numpy as np
+
+        from fleetgauge.llm.bpe import by_size, byte_matrix
+
+        for size, places in by_size(words):
+            part = [words[p] for p in places]
+            raw, live = byte_matrix(part, size)
+            token, rows = self.inner[raw], np.arange(len(part))
+            ends = live.sum(1) - 1
+            token[rows, ends] = self.last[raw[rows, ends]]
+            self.parts.update(zip(part, self.pairs.merge_rows(token, live)))
+
     def _learn_parts(self, new: list[bytes]) -> None:
         import numpy as np
 
-        for at in range(0, len(new), 5_000):
-            part = new[at : at + 5_000]
+        merged, other = [], []
+        for part in new:
+            if len(part) > 32:
+                other.append(part)
+            elif part.isascii():
+                (merged if part.isalpha() else other).append(part)
+            else:
+                text = part.decode()
+                plain = text.isalpha() and text.islower() and normalize("NFC", text).lower() == text
+                (merged if plain else other).append(part)
+        self._merged(merged)
+        for at in range(0, len(other), 1_000):
+            part = other[at : at + 1_000]
             ids = np.array(self._ids((b" " + self.MARK + b" ").join(part)), "<u4")
             cuts = np.flatnonzero(ids == self.mark[0])
             for word, a, b in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
@@ -138,37 +182,45 @@ class Words:
     def _learn(self, words: set[bytes]) -> None:
         import numpy as np
 
-        if len(self.parts) + len(words) > self.limit:
+        if len(self.parts) + len(words) > self.most_parts:
             self.parts.clear()
-        split, new = [], set()
+        parts, memo, stops = self.parts, self.memo, self.STOPS
+        plain, split = [], []
         for word in words:
+            core = word.rstrip(stops)
             if self.MARK in word or b"<|" in word:  # the mark itself, or names of special tokens, which are found in the raw text
-                self.memo[word] = np.array(self._ids(word), "<u4").tobytes()
-                continue
-            low = word.lower()
-            core = low.rstrip(self.STOPS)
-            stops = low[len(core):] if core[-1:].isalnum() else b""
-            core = core if stops else low
-            split.append((word, core, stops))
-            new.add(core)
-            new.add(stops)
-        new.discard(b"")
-        self._learn_parts([part for part in new if part not in self.parts])
-        self.parts[b""] = b""
-        for word, core, stops in split:
-            self.memo[word] = self.parts[core] + self.parts[stops]
+                memo[word] = np.array(self._ids(word), "<u4").tobytes()
+            elif core is word or not core[-1:].isalnum():
+                plain.append(word)
+            else:
+                split.append((word, core, word[len(core):]))
+        new = set(plain)
+        new.update(core for _, core, _ in split)
+        new.update(rest for _, _, rest in split)
+        self._learn_parts([part for part in new if part not in parts])
+        memo.update((word, parts[word]) for word in plain)
+        memo.update((word, parts[core] + parts[rest]) for word, core, rest in split)
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [data.split() for data in texts]
+        split = [
+            [w if b"<|" in w else w.lower() for w in data.split()] if b"<|" in data else data.lower().split() for data in texts
+        ]
         new = set().union(*split).difference(self.memo)
-        if len(self.memo) + len(new) > self.limit:
+        if len(self.memo) + len(new) > self.most_words:
             self.memo.clear()
             new = set().union(*split)
         self._learn(new)
         return [b"".join(map(self.memo.__getitem__, words)) for words in split]
 
 
+def byte_names() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 for itself, the others from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return [chr(b) if b in own else chr(0x100 + others.index(b)) for b in range(256)]
+
+
 _LOADED: dict[str, Words] = {}
 
 
