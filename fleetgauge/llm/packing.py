@@ -114,7 +114,7 @@ class Words:
     STOPS = b".,;:!?"
     MARK = b"\x01"
 
-    def __init__(self, path: str, words: int = 300_000, parts: int = 600_000):
+    def __init__(self, path: str, words: int = 500_000, parts: int = 900_000):
         import json
 
         import numpy as np
