@@ -106,12 +106,15 @@ def byte_matrix(pieces: list[bytes], size: int):
 
 def by_size(pieces: list[bytes], most: int = 8192):
     """(size, places of pieces of up to that many bytes) in blocks; sizes are powers of two from 8 on."""
-    groups: dict[int, list[int]] = {}
-    for place, piece in enumerate(pieces):
-        groups.setdefault(max(8, 1 << (len(piece) - 1).bit_length()), []).append(place)
-    for size, places in groups.items():
+    import numpy as np
+
+    lengths = np.array(list(map(len, pieces)), "int64")
+    low, high = 0, 8
+    while (lengths > low).any():
+        places = np.flatnonzero((lengths > low) & (lengths <= high))
         for at in range(0, len(places), most):
-            yield size, places[at : at + most]
+            yield high, places[at : at + most].tolist()
+        low, high = high, 2 * high
 
 
 class ByteBpe:

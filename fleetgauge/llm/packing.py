@@ -15,6 +15,7 @@ each for itself. An empty table gives an empty table. Only the named columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import add
 from unicodedata import normalize
 
 from pyspark.sql import DataFrame, functions as F
@@ -158,20 +159,22 @@ class Words:
             token[rows, ends] = self.last[raw[rows, ends]]
             self.parts.update(zip(part, self.pairs.merge_rows(token, live)))
 
-    def _learn_parts(self, new: list[bytes]) -> None:
+    @staticmethod
+    def _plain(part: bytes) -> bool:
+        """A short run of lower-case letters that the tokenizer would leave as it is."""
+        if len(part) > 32 or part.isascii():
+            return False
+        text = part.decode()
+        return text.isalpha() and text.islower() and normalize("NFC", text).lower() == text
+
+    def _learn_parts(self, new: set[bytes]) -> None:
         import numpy as np
 
-        merged, other = [], []
-        for part in new:
-            if len(part) > 32:
-                other.append(part)
-            elif part.isascii():
-                (merged if part.isalpha() else other).append(part)
-            else:
-                text = part.decode()
-                plain = text.isalpha() and text.islower() and normalize("NFC", text).lower() == text
-                (merged if plain else other).append(part)
-        self._merged(merged)
+        merged = [part for part in new if part.isalpha() and len(part) < 33]  # bytes: ASCII letters
+        new.difference_update(merged)
+        letters = [part for part in new if self._plain(part)]
+        self._merged(merged + letters)
+        other = list(new.difference(letters))
         for at in range(0, len(other), 1_000):
             part = other[at : at + 1_000]
             ids = np.array(self._ids((b" " + self.MARK + b" ").join(part)), "<u4")
@@ -179,38 +182,38 @@ class Words:
             for word, a, b in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
                 self.parts[word] = ids[a:b].tobytes()
 
-    def _learn(self, words: set[bytes]) -> None:
-        import numpy as np
-
+    def _learn(self, words: list[bytes]) -> None:
+        """Lower-case words without marks and names of special tokens."""
         if len(self.parts) + len(words) > self.most_parts:
             self.parts.clear()
-        parts, memo, stops = self.parts, self.memo, self.STOPS
-        plain, split = [], []
-        for word in words:
-            core = word.rstrip(stops)
-            if self.MARK in word or b"<|" in word:  # the mark itself, or names of special tokens, which are found in the raw text
-                memo[word] = np.array(self._ids(word), "<u4").tobytes()
-            elif core is word or not core[-1:].isalnum():
-                plain.append(word)
-            else:
-                split.append((word, core, word[len(core):]))
-        new = set(plain)
-        new.update(core for _, core, _ in split)
-        new.update(rest for _, _, rest in split)
-        self._learn_parts([part for part in new if part not in parts])
-        memo.update((word, parts[word]) for word in plain)
-        memo.update((word, parts[core] + parts[rest]) for word, core, rest in split)
+        stops, parts = self.STOPS, self.parts
+        parts[b""] = b""
+        cores = [word.rstrip(stops) for word in words]
+        cores = [core if core[-1:].isalnum() else word for word, core in zip(words, cores)]
+        rests = [word[len(core):] for word, core in zip(words, cores)]
+        self._learn_parts(set(cores).union(rests).difference(parts))
+        get = parts.__getitem__
+        self.memo.update(zip(words, map(add, map(get, cores), map(get, rests))))
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [
-            [w if b"<|" in w else w.lower() for w in data.split()] if b"<|" in data else data.lower().split() for data in texts
-        ]
+        import numpy as np
+
+        # names of special tokens are found in the raw text, so words that may hold one are given to the tokenizer as they are
+        odd = any(b"<|" in data or self.MARK in data for data in texts)
+        if odd:
+            split = [[w if b"<|" in w else w.lower() for w in data.split()] for data in texts]
+        else:
+            split = [data.lower().split() for data in texts]
         new = set().union(*split).difference(self.memo)
         if len(self.memo) + len(new) > self.most_words:
             self.memo.clear()
             new = set().union(*split)
-        self._learn(new)
+        if odd:
+            for word in [w for w in new if b"<|" in w or self.MARK in w]:
+                self.memo[word] = np.array(self._ids(word), "<u4").tobytes()
+                new.remove(word)
+        self._learn(list(new))
         return [b"".join(map(self.memo.__getitem__, words)) for words in split]
 
 
