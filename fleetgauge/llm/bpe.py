@@ -21,7 +21,7 @@ from itertools import chain
 
 from pyspark.sql import DataFrame
 
-from fleetgauge.llm.common import Memo, utf8
+from fleetgauge.llm.common import Memo, sliced, utf8
 
 NONE = 1 << 40
 NO = 2**31 - 1
@@ -265,14 +265,12 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
         import pyarrow as pa
 
         encoder = loaded(path, pattern)
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                packed = chain.from_iterable(map(encoder.encode_all, blocks(utf8(part[text]))))
-                ids = [np.frombuffer(p, "<u4").astype("int32") for p in packed]
-                yield pa.RecordBatch.from_arrays(
-                    [part[key], pa.array(ids, pa.list_(pa.int32()))], schema=pa.schema([(key, part[key].type), ("ids", pa.list_(pa.int32()))])
-                )
+        for part in sliced(batches):
+            packed = chain.from_iterable(map(encoder.encode_all, blocks(utf8(part[text]))))
+            ids = [np.frombuffer(p, "<u4").astype("int32") for p in packed]
+            yield pa.RecordBatch.from_arrays(
+                [part[key], pa.array(ids, pa.list_(pa.int32()))], schema=pa.schema([(key, part[key].type), ("ids", pa.list_(pa.int32()))])
+            )
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
@@ -285,13 +283,11 @@ def bpe_decode(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id")
         import pyarrow as pa
 
         decoder = loaded(path, pattern)
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                out = [decoder.decode(ids or ()) for ids in part["ids"].to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part[key], pa.array(out, pa.binary())], schema=pa.schema([(key, part[key].type), ("decoded", pa.binary())])
-                )
+        for part in sliced(batches):
+            out = [decoder.decode(ids or ()) for ids in part["ids"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part[key], pa.array(out, pa.binary())], schema=pa.schema([(key, part[key].type), ("decoded", pa.binary())])
+            )
 
     kind = encoded.schema[key].dataType.simpleString()
     return encoded.select(key, "ids").mapInArrow(run, f"`{key}` {kind}, decoded binary")
@@ -305,7 +301,7 @@ def bpe_round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id"
         import pyarrow as pa
 
         coder = loaded(path, pattern)
-        for batch in batches:
+        for batch in sliced(batches):
             counts, ids_hash, text_hash = [], [], []
             for packed in chain.from_iterable(map(coder.encode_all, blocks(utf8(batch[text])))):
                 ids = np.frombuffer(packed, "<u4")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetgauge.session import shared_folder
 
@@ -18,7 +20,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def staged(df: DataFrame) -> DataFrame:
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int | None):
+    """For the time of an action, at most `rows` rows in a batch to or from Python. Long texts make large batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    if rows:
+        spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        if rows:
+            spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def staged(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     """Write `df` below the shared folder and read it back.
 
     Cuts the lineage, so a lost executor costs no recomputation of what came before, and gives the join
@@ -26,7 +42,8 @@ def staged(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with arrow_rows(spark, batch_rows):
+        df.write.parquet(path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     back = spark.read.schema(df.schema).parquet(path)
@@ -54,6 +71,29 @@ def task_count(df: DataFrame, task_bytes: int = TASK_BYTES) -> int:
     return max(present, input_bytes(df) // task_bytes)
 
 
+def bounded_sample(df: DataFrame, by: Column, bound: int) -> DataFrame:
+    """At most `bound` rows, those with the least hashes `by` (longs), then the least values.
+
+    A first cut by hash leaves about twice the bound, so no task and no single row exchange sees more.
+    """
+    n = df.count()
+    df = df.withColumn("_by", by)
+    if n > 4 * bound:
+        df = df.where(F.expr(f"pmod(_by, 2147483648L) < {int(2**31 * 2 * bound / n)}L"))
+    return df.orderBy("_by", *(c for c in df.columns if c != "_by")).limit(bound).drop("_by")
+
+
+def sliced(batches: Iterator, most_bytes: int = 4 * 1024**2) -> Iterator:
+    """Arrow batches in parts of a few megabytes, at least a row; unused memory goes back at the end."""
+    import pyarrow as pa
+
+    for batch in batches:
+        step = max(1, len(batch) * most_bytes // max(1, batch.nbytes))
+        for at in range(0, len(batch), step):
+            yield batch.slice(at, step)
+    pa.default_memory_pool().release_unused()
+
+
 class Memo(dict):
     """A cache of `make(key)` that starts afresh when it holds `limit` keys, so its memory is bounded."""
 

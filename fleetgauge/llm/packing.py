@@ -20,7 +20,7 @@ from unicodedata import normalize
 
 from pyspark.sql import DataFrame, functions as F
 
-from fleetgauge.llm.common import task_count, utf8
+from fleetgauge.llm.common import sliced, task_count, utf8
 
 DIMENSIONS, BITS, BUCKETS, SEED = 4, 8, 256, 42
 
@@ -92,7 +92,7 @@ def with_curve_keys(docs: DataFrame, key: str, text: str) -> DataFrame:
         import pyarrow as pa
 
         projection = directions()
-        for batch in batches:
+        for batch in sliced(batches):
             curve = curve_keys(utf8(batch["_text"]), projection)
             yield pa.RecordBatch.from_arrays(
                 [batch["_key"], batch["_text"], pa.array(curve, pa.int64())], names=["_key", "_text", "_curve"]
@@ -115,7 +115,7 @@ class Words:
     STOPS = b".,;:!?"
     MARK = b"\x01"
 
-    def __init__(self, path: str, words: int = 500_000, parts: int = 900_000):
+    def __init__(self, path: str, words: int = 300_000, parts: int = 600_000):
         import json
 
         import numpy as np
@@ -295,11 +295,9 @@ def pack_documents(
         ])
 
         def documents() -> Iterator:
-            for batch in batches:
-                for at in range(0, len(batch), 500):
-                    part = batch.slice(at, 500)
-                    for name, ids in zip(part["_key"].to_pylist(), words.encode_all(utf8(part["_text"]))):
-                        yield name, ids + end
+            for batch in sliced(batches, 2 * 1024**2):
+                for name, ids in zip(batch["_key"].to_pylist(), words.encode_all(utf8(batch["_text"]))):
+                    yield name, ids + end
 
         rows = []
         for name, start, ids, total, sequence, offset in pieces_of(documents(), length):

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from fleetgauge.llm.common import staged, utf8
+from fleetgauge.llm.common import sliced, staged, utf8
 
 # Frequent function words of four languages.
 COMMON_WORDS = (
@@ -112,7 +112,7 @@ def with_profiles(docs: DataFrame, carry: list[str], rules: QualityRules = DEFAU
         import pyarrow as pa
 
         kinds, common = class_of_bytes(), {w.encode(): i for i, w in enumerate(words)}
-        for batch in batches:
+        for batch in sliced(batches):
             found = [profile(data, kinds, common) for data in utf8(batch["_text"])]
             base = list(zip(*(f[0] for f in found))) or [[]] * len(BASE)
             yield pa.RecordBatch.from_arrays(
@@ -153,8 +153,8 @@ def judge_quality(
     """The columns `carry` (all by default) with the base figures, both distances, `base_failed` and `kept`."""
     added = {*BASE, "_classes", "_words", "_text", "_ref_lang", "_ref_classes", "_ref_words", "char_distance", "word_distance", "base_failed", "kept"}
     carry = [c for c in (carry or docs.columns) if c not in added]
-    profiles = staged(with_profiles(docs, carry, rules, text))
-    references = language_references(profiles, rules, lang)
+    profiles = staged(with_profiles(docs, carry, rules, text), batch_rows=1000)
+    references = staged(language_references(profiles, rules, lang))  # so that a small table is broadcast without moving any text
     joined = profiles.join(references, profiles[lang].eqNullSafe(references["_ref_lang"]), "left")
     return (
         joined.withColumn("char_distance", F.expr(_distance("_classes", "_ref_classes")))

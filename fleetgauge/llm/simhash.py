@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
-from fleetgauge.llm.common import staged, task_count, utf8
+from fleetgauge.llm.common import sliced, staged, task_count, utf8
 from fleetgauge.llm.components import connected_components
 
 SEED = 42
@@ -57,7 +57,7 @@ def with_fingerprints(docs: DataFrame, text: str, shingle: int, carry: list[str]
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in sliced(batches):
             found = np.array([fingerprint(data, shingle) for data in utf8(batch["_text"])], "uint64").view("int64")
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in carry), pa.array(found)], names=[*carry, "_fp"])
 
@@ -226,6 +226,18 @@ def near_links(nodes: DataFrame, max_distance: int = 3, task_rows: int = 4096) -
     return dealt.mapInArrow(run, "u long, v long")
 
 
+def _named(prints: DataFrame, key: str, max_distance: int) -> DataFrame:
+    """(`_fp`, `_root`, `component_id`) for each fingerprint of a written table of them."""
+    nodes = staged(prints.groupBy("_fp").agg(F.min(key).alias("_least")))
+    rooted = connected_components(near_links(nodes, max_distance))
+    labelled = staged(
+        nodes.join(rooted.withColumnRenamed("node", "_fp"), "_fp", "left")
+        .select("_fp", "_least", F.coalesce("root", "_fp").alias("_root"))
+    )
+    names = staged(labelled.groupBy("_root").agg(F.min("_least").alias("component_id")))
+    return staged(labelled.join(names, "_root").select("_fp", "_root", "component_id"))
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, max_distance: int = 3, key: str = "doc_id", text: str = "text", carry: list[str] | None = None
 ) -> DataFrame:
@@ -233,27 +245,21 @@ def near_duplicates(
     carry = [c for c in (carry or docs.columns) if c not in ("fingerprint", "component_id")]
     if key not in carry:
         raise ValueError(f"{key} must be carried")
-    docs = staged(with_fingerprints(docs, text, shingle, carry))
-    nodes = staged(docs.groupBy("_fp").agg(F.min(key).alias("_least")))
-    rooted = connected_components(near_links(nodes, max_distance))
-    labelled = staged(
-        nodes.join(rooted.withColumnRenamed("node", "_fp"), "_fp", "left")
-        .select("_fp", "_least", F.coalesce("root", "_fp").alias("_root"))
-    )
-    # components of one fingerprint, nearly all, need no lookup by root
-    names = staged(labelled.groupBy("_root").agg(F.min("_least").alias("component_id")))
-    named = staged(labelled.join(names, "_root").select("_fp", "component_id", "_root"))
-    return docs.join(named, "_fp").withColumn("fingerprint", F.expr("lower(lpad(hex(_fp), 16, '0'))")).drop("_fp")
+    prints = staged(with_fingerprints(docs, text, shingle, carry), batch_rows=1000)
+    named = _named(prints, key, max_distance).drop("_root")
+    return prints.join(named, "_fp").withColumn("fingerprint", F.expr("lower(lpad(hex(_fp), 16, '0'))")).drop("_fp")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, max_distance: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` without near-duplicates: the smallest id of each component stays.
+    """The rows of `docs` without near-duplicates: the smallest id of each component stays; of rows that repeat it, the first read.
 
-    Where its rows repeat an id, one of them stays (that with the least fingerprint, then any).
+    Rows are chosen by fingerprint, id and row number alone; texts move once, to meet the numbers of the rows that stay.
     """
-    found = near_duplicates(docs, shingle, max_distance, key, text)
-    found = found.where(F.col(key).eqNullSafe(F.col("component_id")))
-    from pyspark.sql import Window
-
-    first = F.row_number().over(Window.partitionBy("_root").orderBy("fingerprint"))
-    return found.withColumn("_nth", first).where("_nth = 1").select(*docs.columns)
+    prints = with_fingerprints(docs, text, shingle, docs.columns).withColumn("_row", F.monotonically_increasing_id())
+    prints = staged(prints, batch_rows=1000)
+    named = _named(prints, key, max_distance)
+    chosen = (
+        prints.select("_row", "_fp", F.col(key).alias("_key")).join(named, "_fp").where(F.col("_key").eqNullSafe(F.col("component_id")))
+        .groupBy("_root").agg(F.min("_row").alias("_row"))
+    )
+    return prints.join(staged(chosen.select("_row")), "_row", "left_semi").select(*docs.columns)
