@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from fleetgauge.llm.common import Memo, utf8
+from fleetgauge.llm.common import Memo, bounded_sample, sliced, utf8
 from fleetgauge.llm.html_blocks import Block, blocks_of
 
 PATH, WORDS, FIGURES = 96, 32, 6
@@ -268,10 +268,8 @@ def laid_out(texts: dict[int, list[str]], how: Labeller) -> list[list[Block]]:
 
 def train_labeller(pages: DataFrame, how: Labeller = DEFAULT, html: str = "html", tie: str = "url") -> BiLstm:
     """Fit the labeller on a bounded sample of `pages`, on the driver."""
-    sample = (
-        pages.where(F.length(html).between(1, how.max_chars)).select(F.col(html).alias("h"), F.xxhash64(tie, html).alias("k"))
-        .orderBy("k", "h").limit(how.max_pages).collect()
-    )
+    usable = pages.where(F.length(html).between(1, how.max_chars)).select(F.col(html).alias("h"), F.col(tie).alias("t"))
+    sample = bounded_sample(usable, F.xxhash64("t", "h"), how.max_pages).collect()
     known = []
     for row in sample:
         blocks = blocks_of(row.h)
@@ -310,12 +308,10 @@ def extract_text(pages: DataFrame, model: BiLstm, carry: list[str], html: str =
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
-                found = article_blocks(model, [page.decode() for page in utf8(part["_html"])])
-                texts = pa.array(["\n".join(b.text for b in blocks) for blocks in found], pa.string())
-                yield pa.RecordBatch.from_arrays([*(part[c] for c in carry), texts], names=[*carry, "_text"])
+        for part in sliced(batches):
+            found = article_blocks(model, [page.decode() for page in utf8(part["_html"])])
+            texts = pa.array(["\n".join(b.text for b in blocks) for blocks in found], pa.string())
+            yield pa.RecordBatch.from_arrays([*(part[c] for c in carry), texts], names=[*carry, "_text"])
 
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["_text string"])
     narrow = pages.select(*carry, F.col(html).alias("_html"))

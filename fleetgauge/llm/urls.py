@@ -10,8 +10,8 @@ Everything is DataFrame and SQL expressions and Spark's own tree learner. The ho
 share, so a suffix that training never saw gets that.
 
 A null url, or one without `://`, has an empty host and path and fits no rule; the trees judge it like any other. Without labels of
-both kinds, what no rule decides is allowed. Labels other than 0 and 1 and null urls are not trained on; repeated urls
-count as often as they occur. An empty table gives an empty table. All columns asked for pass through; result columns and
+both kinds, what no rule decides is allowed. Labels other than 0 and 1 and null urls are not trained on; a url
+counts once for each label it has, however often it occurs. An empty table gives an empty table. All columns asked for pass through; result columns and
 names beginning with `_u_` are replaced.
 """
 
@@ -24,7 +24,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from fleetgauge.llm.common import staged
+from fleetgauge.llm.common import bounded_sample, staged
 
 FEATURES = (
     "_u_length", "_u_host_length", "_u_labels", "_u_depth", "_u_digits", "_u_entropy", "_u_params", "_u_hyphens",
@@ -141,7 +141,7 @@ def train(labelled: DataFrame, how: Trees = DEFAULT, url: str = "url", label: st
     sample = labelled.where(F.col(url).isNotNull() & F.col(label).isin(0, 1)).select(
         F.col(url).alias("url"), F.col(label).cast("double").alias("_u_label")
     )
-    sample = sample.orderBy(F.xxhash64("url"), "url", "_u_label").limit(how.max_labelled)
+    sample = bounded_sample(staged(sample.distinct()), F.xxhash64("url"), how.max_labelled)
     sample = staged(with_features(with_parts(sample, ()), "url").drop("url", "path", "rule", "_u_rule"))
     kinds, prior = sample.agg(F.count_distinct("_u_label"), F.avg("_u_label")).first()
     if kinds < 2:
