@@ -14,7 +14,7 @@ by size. Nothing is collected but one row count for each round.
 
 Null text counts as empty and has no spans. Repeated rows are scanned each for itself and strengthen nothing, since the graph
 counts distinct strings. Equal scores are settled by the order of the kinds. An empty table gives an empty table. All columns
-asked for pass through; `_spans`, `_row` and the result columns replace those of the same name.
+asked for pass through, but for names that begin with `_`; result columns replace those of the same name.
 """
 
 from __future__ import annotations
@@ -178,32 +178,32 @@ def bootstrap(found: DataFrame, how: Bootstrap = DEFAULT) -> tuple[DataFrame, Da
 
 
 def find_pii(docs: DataFrame, text: str = "text", carry: list[str] | None = None, how: Bootstrap = DEFAULT) -> DataFrame:
-    """The columns `carry` (all by default) with `spans`: (kind, start, end), by kind and start."""
-    carry = [c for c in (carry or docs.columns) if c not in ("spans", "_spans", "_others", "_row")]
-    found = with_base_spans(docs, text).select(*carry, "_spans", "_others", F.monotonically_increasing_id().alias("_row"))
-    found = staged(found)
+    """The columns `carry` (all by default) with `spans` and `base_spans`: (kind, start, end), by kind and start."""
+    carry = [c for c in (carry or docs.columns) if c not in ("spans", "base_spans") and c[:1] != "_"]
+    # spans depend on the text alone, so what is learned meets the rows again by its hash, and no text is copied or moved
+    named = docs.select(*carry, F.col(text).alias("_source"), F.xxhash64(text).alias("_hash"))
+    found = staged(with_base_spans(named.select("_source", "_hash"), "_source").select("_hash", "_spans", "_others"))
     learned = bootstrap(found, how)
+    result = with_base_spans(named, "_source", candidates=False)
     if learned:
         good, known = learned
         hits = (
-            found.select("_row", F.explode("_others").alias("s"))
-            .select("_row", "s", F.explode(F.expr(_contexts("s"))).alias("pattern")).join(good.select("pattern"), "pattern", "left_semi")
-            .select("_row", "s", F.col("s.string").alias("string")).join(known.withColumnRenamed("kind", "_kind"), "string")
-            .groupBy("_row").agg(F.collect_set(F.expr(
-                "named_struct('kind', _kind, 'start', s.start, 'end', s.end, 'string', s.string, 'left', s.left, 'right', s.right)"
-            )).alias("_added"))
+            found.select("_hash", F.explode("_others").alias("s")).select("_hash", "s", F.explode(F.expr(_contexts("s"))).alias("pattern"))
+            .join(good.select("pattern").distinct(), "pattern", "left_semi")
+            .select("_hash", "s", F.col("s.string").alias("string")).join(known.withColumnRenamed("kind", "_kind"), "string")
+            .groupBy("_hash").agg(F.collect_set(F.expr("named_struct('kind', _kind, 'start', s.start, 'end', s.end)")).alias("_added"))
         )
-        found = found.join(staged(hits), "_row", "left")
+        result = result.join(staged(hits), "_hash", "left")
     else:
-        found = found.withColumn("_added", F.expr("slice(_spans, 1, 0)"))
+        result = result.withColumn("_added", F.expr("cast(NULL AS array<struct<kind:string,start:int,end:int>>)"))
     order = ", ".join(f"'{k}'" for k in KINDS)
-    spans = "concat(_spans, coalesce(_added, slice(_spans, 1, 0)))"
-    keyed = f"array_sort(transform({spans}, s -> named_struct('k', array_position(array({order}), s.kind), 'start', s.start, 'end', s.end)))"
-    return found.withColumn(
-        "spans", F.expr(f"transform({keyed}, s -> named_struct('kind', element_at(array({order}), cast(s.k AS int)), 'start', s.start, 'end', s.end))")
-    ).withColumn("_base", F.expr("transform(_spans, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end))")).select(
-        *carry, "spans", F.col("_base").alias("base_spans")
+    base = "transform(_spans, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end))"
+    keyed = (
+        f"array_sort(transform(concat({base}, _added), s -> "
+        f"named_struct('k', cast(array_position(array({order}), s.kind) AS int), 'start', s.start, 'end', s.end)))"
     )
+    spans = f"if(_added IS NULL, {base}, transform({keyed}, s -> named_struct('kind', element_at(array({order}), s.k), 'start', s.start, 'end', s.end)))"
+    return result.withColumns({"spans": F.expr(spans), "base_spans": F.expr(base)}).select(*carry, "spans", "base_spans")
 
 
 def joined_spans(spans: str) -> str:

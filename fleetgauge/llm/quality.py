@@ -1,6 +1,6 @@
 """Quality rules: divergence of a document's character and word profile from its language.
 
-One pass counts, for every whole text, the base figures and two histograms: classes of characters, and common function
+A pass counts, for every whole text, the base figures and two histograms: classes of characters, and common function
 words beside all other words. The reference of a language is the sum of the histograms of all its documents that pass the
 base rules. A document is rejected if it fails the base rules, or if it is long enough to judge and the Jensen-Shannon
 distance (base 2, 0 to 1) of either histogram from its language's reference exceeds a threshold.
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from fleetgauge.llm.common import sliced, staged, utf8
+from fleetgauge.llm.common import arrow_rows, sliced, staged, utf8
 
 # Frequent function words of four languages.
 COMMON_WORDS = (
@@ -153,8 +153,11 @@ def judge_quality(
     """The columns `carry` (all by default) with the base figures, both distances, `base_failed` and `kept`."""
     added = {*BASE, "_classes", "_words", "_text", "_ref_lang", "_ref_classes", "_ref_words", "char_distance", "word_distance", "base_failed", "kept"}
     carry = [c for c in (carry or docs.columns) if c not in added]
-    profiles = staged(with_profiles(docs, carry, rules, text), batch_rows=1000)
-    references = staged(language_references(profiles, rules, lang))  # so that a small table is broadcast without moving any text
+    with arrow_rows(docs.sparkSession, 1000):
+        narrow = with_profiles(docs, [lang], rules, text)
+        references = staged(language_references(narrow, rules, lang))
+    # a second pass costs less than a copy of all texts; the written reference is small and so is broadcast, and no text moves
+    profiles = with_profiles(docs, carry, rules, text)
     joined = profiles.join(references, profiles[lang].eqNullSafe(references["_ref_lang"]), "left")
     return (
         joined.withColumn("char_distance", F.expr(_distance("_classes", "_ref_classes")))

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetgauge.llm.common import sliced, staged, task_count, utf8
 from fleetgauge.llm.components import connected_components
@@ -251,15 +251,22 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, max_distance: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` without near-duplicates: the smallest id of each component stays; of rows that repeat it, the first read.
+    """The rows of `docs` without near-duplicates: the smallest id of each component stays; where rows repeat it, the one with the
+    least hash of its text, and one of equal rows.
 
-    Rows are chosen by fingerprint, id and row number alone; texts move once, to meet the numbers of the rows that stay.
+    Rows are chosen by id, fingerprint and hash alone; texts move once, to meet what was chosen. That join is never a
+    broadcast, because what is chosen grows with the documents.
     """
-    prints = with_fingerprints(docs, text, shingle, docs.columns).withColumn("_row", F.monotonically_increasing_id())
-    prints = staged(prints, batch_rows=1000)
+    columns = docs.columns
+    docs = docs.withColumn("_hash", F.xxhash64(text))
+    prints = staged(with_fingerprints(docs, text, shingle, [key, "_hash"]), batch_rows=1000)
     named = _named(prints, key, max_distance)
     chosen = (
-        prints.select("_row", "_fp", F.col(key).alias("_key")).join(named, "_fp").where(F.col("_key").eqNullSafe(F.col("component_id")))
-        .groupBy("_root").agg(F.min("_row").alias("_row"))
+        prints.withColumnRenamed(key, "_key").join(named, "_fp").where(F.col("_key").eqNullSafe(F.col("component_id")))
+        .groupBy("_root").agg(F.min(F.struct("_hash", "_key")).alias("_row")).select("_row._hash", "_row._key").distinct()
     )
-    return prints.join(staged(chosen.select("_row")), "_row", "left_semi").select(*docs.columns)
+    chosen = staged(chosen.withColumnRenamed("_hash", "_chosen"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_chosen"))
+    kept = docs.join(chosen.hint("merge"), same, "left_semi")
+    first = F.row_number().over(Window.partitionBy(key, "_hash").orderBy(F.lit(0)))
+    return kept.withColumn("_nth", first).where("_nth = 1").select(*columns)
