@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from fleetgauge.config import DEFAULT, SensorConfig
 from fleetgauge.functions.quality import impossible, missing, quoted, replaced
@@ -36,10 +36,9 @@ def flag_with_capacity(
 ) -> DataFrame:
     """`flag_and_nullify` with each device's rated power as the upper limit of its output.
 
-    `capacity` holds one row per device; devices without a row keep no upper limit. No broadcast
-    hint is given: Spark broadcasts the table when its measured size allows and otherwise splits
-    a hot device through the adaptive skew join.
+    Devices without a row in `capacity` keep no upper limit; of several rows of a device the least rating counts, so
+    no reading is repeated. No broadcast hint is given: Spark broadcasts the limits when their measured size allows.
     """
-    limits = capacity.selectExpr(quoted(cfg.key), f"{quoted(rated)} AS _rated")
+    limits = capacity.groupBy(cfg.key).agg(F.expr(f"min({quoted(rated)})").alias("_rated"))
     joined = df.join(limits, cfg.key, "left").select(*df.columns, "_rated")
     return flag_and_nullify(joined, cfg, {cfg.target: "_rated"}).drop("_rated")

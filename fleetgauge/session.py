@@ -47,7 +47,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     cheap, because adaptive execution merges small partitions once their sizes are known.
     """
     present = int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max(present, input_bytes // BYTES_PER_PARTITION), 200_000)
+    wanted = max(present, input_bytes // BYTES_PER_PARTITION)
     if wanted > present:
         spark.conf.set(_INITIAL, str(wanted))
     return wanted

@@ -76,25 +76,26 @@ def read_landing(
 def stream_landing(
     spark: SparkSession, folder: str, cfg: SensorConfig = DEFAULT, files_per_batch: int = 10_000
 ) -> DataFrame:
-    """Streaming read of files as they appear."""
+    """Streaming read of files as they appear: all of them, as in `landing_versions`."""
     text = (
         spark.readStream.schema(TEXT_SCHEMA)
         .options(**CSV_OPTIONS)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("recursiveFileLookup", "true")
         .csv(folder)
     )
     return typed_readings(text, cfg)
 
 
 def landing_versions(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, _source_file, _file_modified, _file_size) of every CSV file now in the folder.
+    """(path, _source_file, _file_modified, _file_size) of every file now in the folder.
 
-    Only file listings are used; the files are not opened.
+    Files count whatever their extension and depth; Spark leaves out names that begin with `_` or `.`, here as in the
+    stream. Only file listings are used; the files are not opened.
     """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
         .load(folder)
     )
     return files.select(

@@ -54,10 +54,12 @@ def run_feed(
     landing: str,
     cfg: SensorConfig = DEFAULT,
     clean: bool = True,
-    timeout_seconds: int = 3600,
+    timeout_seconds: int | None = None,
 ) -> None:
-    """`start_feed`, waited for; raises if it does not end in time."""
+    """`start_feed`, waited for until all files are in; with `timeout_seconds` it raises if that takes longer."""
     query = start_feed(spark, layers, landing, cfg, clean)
-    if not query.awaitTermination(timeout_seconds):
+    if timeout_seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_seconds):
         query.stop()
         raise TimeoutError(f"feed still running after {timeout_seconds} s")

@@ -32,16 +32,16 @@ def power(df):
 @FORMS
 def test_gap_takes_the_last_value_of_an_earlier_day(spark, fill):
     df = readings(spark, [
-        (1, "2022-03-01 00:00:00", 3.0, 1.0, 1), (1, "2022-03-02 00:00:00", 3.2, 1.0, 1),
+        (1, "2022-03-01 00:00:00", 1.6, 1.0, 1), (1, "2022-03-02 00:00:00", 4.7, 1.0, 1),
         (1, "2022-03-05 00:00:00", None, 1.0, 1),
     ])
-    assert power(fill(df)) == [(3.0, False), (3.2, False), (3.2, True)]
+    assert power(fill(df)) == [(1.6, False), (4.7, False), (4.7, True)]
 
 
 @FORMS
 def test_other_devices_do_not_fill(spark, fill):
-    df = readings(spark, [(1, "2022-03-01 01:00:00", None, 1.0, 1), (2, "2022-03-01 00:00:00", 9.0, 1.0, 1)])
-    assert power(fill(df)) == [(None, False), (9.0, False)]
+    df = readings(spark, [(1, "2022-03-01 01:00:00", None, 1.0, 1), (2, "2022-03-01 00:00:00", 6.4, 1.0, 1)])
+    assert power(fill(df)) == [(None, False), (6.4, False)]
 
 
 @FORMS

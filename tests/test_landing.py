@@ -11,6 +11,7 @@ from fleetgauge.plans.ingest import (
 )
 from fleetgauge.sources.landing import read_landing
 from fleetgauge.sources.layers import ANOMALIES, BRONZE, SILVER, Layers
+from fleetgauge.streaming.feed import start_feed
 
 
 @pytest.fixture
@@ -129,3 +130,23 @@ def test_layer_routing():
     assert dev.table_name(SILVER) == "silver_dev.turbine_data.silver_turbine_readings"
     assert prod.path(ANOMALIES) == "/lake/gold/turbine_data/turbine_anomalies"
     assert prod.table_name(BRONZE) == "bronze.turbine_data.bronze_turbine_readings"
+
+
+def test_batch_and_stream_read_every_file_whatever_its_name(spark, tmp_path):
+    import gzip
+
+    from landing_files import HEADER
+
+    folder = tmp_path / "any"
+    for number, name in enumerate(("a.csv", "b.CSV", "c.txt", "sub/deep/d.csv", "e.csv.gz")):
+        data = f"{HEADER}\n2022-03-01 0{number}:00:00,7,1.0,1,1.0\n".encode()
+        file = folder / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(gzip.compress(data) if name.endswith("gz") else data)
+    lake = Layers(str(tmp_path / "batch"))
+    ingest_files(spark, lake, str(folder))
+    hours = [str(r.timestamp) for r in read_bronze(spark, lake).orderBy("timestamp").collect()]
+    assert hours == [f"2022-03-01 0{n}:00:00" for n in range(5)]
+    other = Layers(str(tmp_path / "stream"))
+    start_feed(spark, other, str(folder), clean=False).awaitTermination()
+    assert [str(r.timestamp) for r in read_bronze(spark, other).orderBy("timestamp").collect()] == hours

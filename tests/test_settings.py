@@ -41,8 +41,8 @@ def test_shuffles_grow_with_the_input_and_never_shrink(spark):
     try:
         assert size_shuffles(spark, 1024) == 4
         assert spark.conf.get(INITIAL, None) is None
-        assert size_shuffles(spark, 100 * 1024**4) == 200_000
-        assert size_shuffles(spark, 1024) == 200_000
+        assert size_shuffles(spark, 100 * 1024**4) == 1_638_400
+        assert size_shuffles(spark, 1024) == 1_638_400
     finally:
         spark.conf.unset(INITIAL)
     assert input_bytes(spark.range(10)) > 0
