@@ -13,7 +13,6 @@ marked as taken in last, so a run that stopped half-way is simply run again.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 from datetime import date
 
@@ -29,36 +28,15 @@ from fleetgauge.operators.summary import daily_summary
 from fleetgauge.plans.ingest import (
     batch_bytes, bronze_by_day, ingest_files, mark_taken_in, new_batches, of_batches, read_bronze,
 )
-from fleetgauge.session import require_utc, shared_folder, size_shuffles
-from fleetgauge.sources.layers import ANOMALIES, SILVER, SUMMARY, Layers, packed, remove_folder
+from fleetgauge.plans.staging import Staging
+from fleetgauge.session import require_utc, size_shuffles
+from fleetgauge.sources.layers import ANOMALIES, SILVER, SUMMARY, Layers, packed
 
 DAY_VALUES = "day_values"
 NULL_REPORT = "remaining_nulls"
 BROADCAST_ROWS = 500_000
 
 
-class Staging:
-    """Intermediate tables of one run, in a folder of its own below the shared folder.
-
-    The folder goes when the `with` block ends, by then everything that reads it has been written.
-    """
-
-    def __init__(self, spark: SparkSession, layers: Layers):
-        self.spark = spark
-        self.folder = f"{shared_folder(spark)}/{layers.schema}-{uuid.uuid4().hex}"
-
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a result and read it back: computed once, safe from lost executors."""
-        df.write.parquet(f"{self.folder}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
-
-    def __enter__(self) -> Staging:
-        return self
-
-    def __exit__(self, *_) -> None:
-        remove_folder(self.spark, self.folder)
-
-
 def checked_busy_days(
     readings: DataFrame, staging: Staging, cfg: SensorConfig = DEFAULT
 ) -> DataFrame | None:

@@ -3,26 +3,39 @@
 Bronze lies at `feed=<feed>/ingest_batch=<n>/date=<day>`. A batch is always written as a whole, so writing
 it again after a crash replaces it. The ledger lists every file version already in bronze; a file changed
 in place shows up with a new time or size and is read again. The copies this leaves are dropped by dedupe.
+
+A file whose header is not the schema's is refused: it goes to the `refused_files` table with its reason and
+to the ledger, and the other files of its batch are read. A corrected file is a new version and is read.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fleetgauge.config import DEFAULT, SensorConfig
 from fleetgauge.functions.quality import with_day
 from fleetgauge.session import require_utc
-from fleetgauge.sources.landing import FILE_SIZE, FILE_TIME, landing_versions, read_landing
+from fleetgauge.plans.staging import Staging
+from fleetgauge.sources.landing import (
+    FILE_SIZE, FILE_TIME, VERSION, landing_versions, read_landing, refused_files,
+)
 from fleetgauge.sources.layers import BRONZE, Layers, packed
 
+_LOG = logging.getLogger(__name__)
+
 FILES, STREAM = "files", "stream"
 LEDGER = "ingested_files"
 LEDGER_SCHEMA = (
     f"_source_file string, {FILE_TIME} timestamp, {FILE_SIZE} long, feed string, ingest_batch int"
 )
-VERSION = ["_source_file", FILE_TIME, FILE_SIZE]
+REFUSED = "refused_files"
+REFUSED_SCHEMA = (
+    f"_source_file string, {FILE_TIME} timestamp, {FILE_SIZE} long, header string, reason string, "
+    "feed string, ingest_batch int"
+)
 BRONZE_SCHEMA = (
     "timestamp timestamp, turbine_id int, wind_speed double, wind_direction int, power_output double, "
     f"_rescued_data string, _ingested_at timestamp, _source_file string, {FILE_TIME} timestamp, "
@@ -70,8 +83,7 @@ def record_versions(versions: DataFrame, layers: Layers, feed: str, batch: int)
     layers.append(
         versions.select(*VERSION)
         .withColumn("feed", F.lit(feed))
-        .withColumn("ingest_batch", F.lit(batch).cast("int"))
-        .coalesce(1),
+        .withColumn("ingest_batch", F.lit(batch).cast("int")),
         LEDGER,
     )
 
@@ -89,6 +101,44 @@ def next_batch(spark: SparkSession, layers: Layers, feed: str = FILES) -> int:
     return (last.first()[0] or 0) + 1
 
 
+def take_files(
+    spark: SparkSession, layers: Layers, versions: DataFrame, feed: str, batch: int, cfg: SensorConfig = DEFAULT
+) -> None:
+    """Bring the listed files into one bronze batch, all but the refused ones, and enter all in the ledger.
+
+    `versions` is small and cheap to read again: its file names pass through the driver, as in any Spark file read.
+    Writing the same batch again replaces it, refusals included.
+    """
+    paths = {row["_source_file"]: row["path"] for row in versions.select("_source_file", "path").collect()}
+    if not paths:
+        return
+    found = refused_files(spark, list(paths.values())).collect()
+    refused = spark.createDataFrame(found, "_source_file string, header string, reason string")
+    (
+        versions.drop("path").join(refused, "_source_file")
+        .select(*VERSION, "header", "reason")
+        .coalesce(1)
+        .write.mode("overwrite")
+        .parquet(f"{layers.path(REFUSED)}/feed={feed}/ingest_batch={batch}")
+    )
+    for row in found:
+        _LOG.warning("refused %s: %s", row["_source_file"], row["reason"])
+        del paths[row["_source_file"]]
+    rows = read_landing(spark, list(paths.values()), cfg) if paths else no_readings(spark, cfg)
+    write_batch(rows, layers, feed, batch, cfg)
+    record_versions(versions, layers, feed, batch)
+
+
+def no_readings(spark: SparkSession, cfg: SensorConfig = DEFAULT) -> DataFrame:
+    """An empty table shaped like `read_landing`."""
+    return spark.createDataFrame([], BATCH_SCHEMA).drop(cfg.day)
+
+
+def refused(spark: SparkSession, layers: Layers) -> DataFrame:
+    """The files that were refused so far, with their first line and the reason."""
+    return layers.read(spark, REFUSED, REFUSED_SCHEMA)
+
+
 def ingest_files(
     spark: SparkSession,
     layers: Layers,
@@ -98,23 +148,31 @@ def ingest_files(
 ) -> int:
     """Bring every new or changed file into bronze; returns the number of batches written.
 
-    File names pass through the driver, as in any Spark file read, but never more than
-    `files_per_batch` at a time.
+    The folder is listed once. The work list is written, cut into parts of at most `files_per_batch` files; one part at
+    a time passes through the driver, besides Spark's own listing.
     """
-    batches = 0
-    while True:
-        batch = next_batch(spark, layers)
-        pending = (
-            pending_versions(spark, layers, landing).orderBy("_source_file").limit(files_per_batch).collect()
-        )
-        if not pending:
-            return batches
-        listed = spark.createDataFrame(
-            pending, f"_source_file string, {FILE_TIME} timestamp, {FILE_SIZE} long, path string"
-        )
-        write_batch(read_landing(spark, [row["path"] for row in pending], cfg), layers, FILES, batch, cfg)
-        record_versions(listed, layers, FILES, batch)
-        batches += 1
+    with Staging(spark, layers) as staging:
+        pending = staging.keep(pending_versions(spark, layers, landing), "pending")
+        files = pending.count()
+        if not files:
+            return 0
+        work = staging.keep(_in_parts(pending, files, files_per_batch), "work", by="part")
+        parts = [row["part"] for row in work.select("part").distinct().orderBy("part").collect()]
+        first = next_batch(spark, layers)
+        for number, part in enumerate(parts):
+            versions = work.filter(F.col("part") == part).drop("part")
+            take_files(spark, layers, versions, FILES, first + number, cfg)
+    return len(parts)
+
+
+def _in_parts(pending: DataFrame, files: int, files_per_batch: int) -> DataFrame:
+    """Number parts of at most `files_per_batch` files, in name order within groups of about a hundred parts,
+    so that no task sorts the names of a whole backlog."""
+    groups = -(-files // (100 * files_per_batch))
+    group = F.pmod(F.xxhash64("_source_file"), F.lit(groups))
+    place = F.row_number().over(Window.partitionBy("_group").orderBy("_source_file")) - 1
+    part = F.col("_group") * 1_000_000 + F.floor(place / files_per_batch)
+    return pending.withColumn("_group", group).withColumn("part", part.cast("long")).drop("_group")
 
 
 def read_bronze(spark: SparkSession, layers: Layers) -> DataFrame:

@@ -73,18 +73,18 @@ def read_landing(
     return typed_readings(spark.read.schema(TEXT_SCHEMA).options(**CSV_OPTIONS).csv(where), cfg)
 
 
-def stream_landing(
-    spark: SparkSession, folder: str, cfg: SensorConfig = DEFAULT, files_per_batch: int = 10_000
-) -> DataFrame:
-    """Streaming read of files as they appear: all of them, as in `landing_versions`."""
-    text = (
-        spark.readStream.schema(TEXT_SCHEMA)
-        .options(**CSV_OPTIONS)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("recursiveFileLookup", "true")
-        .csv(folder)
+VERSION = ["_source_file", FILE_TIME, FILE_SIZE]
+# Spark's file listing as a table. The content column is never selected, so no file is opened.
+LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def _versions(listing: DataFrame) -> DataFrame:
+    return listing.select(
+        "path",
+        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("_metadata.file_modification_time").alias(FILE_TIME),
+        F.col("_metadata.file_size").alias(FILE_SIZE),
     )
-    return typed_readings(text, cfg)
 
 
 def landing_versions(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,14 +93,46 @@ def landing_versions(spark: SparkSession, folder: str) -> DataFrame:
     Files count whatever their extension and depth; Spark leaves out names that begin with `_` or `.`, here as in the
     stream. Only file listings are used; the files are not opened.
     """
-    files = (
-        spark.read.format("binaryFile")
+    return _versions(
+        spark.read.format("binaryFile").schema(LISTING_SCHEMA).option("recursiveFileLookup", "true").load(folder)
+    )
+
+
+def stream_versions(spark: SparkSession, folder: str, files_per_batch: int = 10_000) -> DataFrame:
+    """`landing_versions` as a stream of the files that appear."""
+    return _versions(
+        spark.readStream.format("binaryFile")
+        .schema(LISTING_SCHEMA)
+        .option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", "true")
         .load(folder)
     )
-    return files.select(
-        "path",
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(_source_file, header) of every file that has a line which is not blank.
+
+    Lines are read as text by all tasks; each hands on one line for each file that begins in it.
+    """
+    lines = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("_source_file"),
-        F.col("_metadata.file_modification_time").alias(FILE_TIME),
-        F.col("_metadata.file_size").alias(FILE_SIZE),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_line_id"),
+        "value",
+    )
+    return lines.filter("_start = 0 AND trim(value) != ''").groupBy("_source_file").agg(F.min_by("value", "_line_id").alias("header"))
+
+
+def refused_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(_source_file, header, reason) of the files whose header is not the schema's names in order.
+
+    Reading such a file would fail, or shift values into the wrong columns. A file without any line is no fault; it holds no rows.
+    """
+    names = F.array(*[F.lit(name) for name, _ in FIELDS])
+    plain = F.regexp_replace("header", "^\\uFEFF|\\r$", "")
+    found = F.transform(F.split(plain, ","), lambda name: F.lower(F.regexp_replace(name, '^"|"$', "")))
+    return (
+        first_lines(spark, paths)
+        .filter(found != names)
+        .select("_source_file", "header", F.lit("header does not match the schema").alias("reason"))
     )

@@ -11,8 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge.config import DEFAULT, SensorConfig
 from fleetgauge.plans.build import refresh
-from fleetgauge.plans.ingest import STREAM, VERSION, read_batch, record_versions, write_batch
-from fleetgauge.sources.landing import stream_landing
+from fleetgauge.plans.ingest import LEDGER, LEDGER_SCHEMA, STREAM, next_batch, take_files
+from fleetgauge.plans.staging import Staging
+from fleetgauge.sources.landing import VERSION, stream_versions
 from fleetgauge.sources.layers import Layers
 
 
@@ -26,21 +27,23 @@ def start_feed(
 ) -> StreamingQuery:
     """Read all files not seen yet, then stop. `clean=False` only fills bronze.
 
-    A batch that is run again after a failure has the same number and replaces its first attempt. Files
-    changed in place are not seen by a file stream; `plans.ingest.ingest_files` picks those up, as
-    both write the same ledger.
+    The stream hands over file names; the files are read by `take_files`, as in `ingest_files`, so both give the same
+    rows and refuse the same files. Files changed in place are not seen by a file stream; `ingest_files` picks those
+    up, as both write the same ledger. File versions in the ledger are not taken twice, so a batch that is run again
+    and a stream with a new checkpoint do no harm; batch numbers come from the ledger.
     """
 
-    def take_in(rows: DataFrame, number: int) -> None:
-        session = rows.sparkSession
-        write_batch(rows, layers, STREAM, number, cfg)
-        versions = read_batch(session, layers, STREAM, number).select(*VERSION).distinct()
-        record_versions(versions, layers, STREAM, number)
+    def take_in(listed: DataFrame, _: int) -> None:
+        session = listed.sparkSession
+        with Staging(session, layers) as staging:
+            known = layers.read(session, LEDGER, LEDGER_SCHEMA).select(*VERSION)
+            versions = staging.keep(listed.join(known, VERSION, "left_anti"), "files")
+            take_files(session, layers, versions, STREAM, next_batch(session, layers, STREAM), cfg)
         if clean:
             refresh(session, layers, cfg)
 
     return (
-        stream_landing(spark, landing, cfg, files_per_batch)
+        stream_versions(spark, landing, files_per_batch)
         .writeStream.foreachBatch(take_in)
         .option("checkpointLocation", f"{layers.base}/state/{layers.schema}/feed_checkpoint")
         .trigger(availableNow=True)

@@ -150,3 +150,62 @@ def test_batch_and_stream_read_every_file_whatever_its_name(spark, tmp_path):
     other = Layers(str(tmp_path / "stream"))
     start_feed(spark, other, str(folder), clean=False).awaitTermination()
     assert [str(r.timestamp) for r in read_bronze(spark, other).orderBy("timestamp").collect()] == hours
+
+
+def test_a_file_with_another_header_is_refused_alone(spark, tmp_path):
+    from fleetgauge.plans.ingest import refused
+
+    folder = tmp_path / "landing"
+    write(folder, "good.csv", ["2022-03-01 00:00:00,7,1.0,1,1.0"])
+    write(folder, "shifted.csv", ["7,2022-03-01 01:00:00,1.0,1,1.0"], "turbine_id,timestamp,wind_speed,wind_direction,power_output")
+    write(folder, "long.csv", ["2022-03-01 02:00:00,7,1.0,1,1.0,x"], HEADER + ",more")
+    (folder / "nothing.csv").write_bytes(b"")
+    (folder / "late.csv").write_bytes(f"\n{HEADER}\n2022-03-01 00:00:00,7,1.0,1,1.0\n".encode())
+    write(folder, "spaced.csv", ["2022-03-01 02:00:00,7,1.0,1,1.0"], HEADER.replace(",", ", "))
+    write(folder, "quoted.csv", ["2022-03-01 02:00:00,7,1.0,1,1.0"], HEADER.replace("timestamp", '"Timestamp"'))
+    batch, stream = Layers(str(tmp_path / "batch")), Layers(str(tmp_path / "stream"))
+    assert ingest_files(spark, batch, str(folder)) == 1
+    start_feed(spark, stream, str(folder), clean=False).awaitTermination()
+    for lake in (batch, stream):
+        assert [r.turbine_id for r in read_bronze(spark, lake).collect()] == [7, 7, 7]
+        names = {r._source_file.rsplit("/", 1)[1]: r for r in refused(spark, lake).collect()}
+        assert set(names) == {"shifted.csv", "long.csv", "spaced.csv"}
+        assert names["shifted.csv"].header.startswith("turbine_id,timestamp") and names["long.csv"].reason
+    assert ingest_files(spark, batch, str(folder)) == 0
+
+    # A corrected file is a new version and is read.
+    write(folder, "shifted.csv", ["2022-03-01 01:00:00,7,1.0,1,1.0", "2022-03-01 03:00:00,7,1.0,1,1.0"])
+    assert ingest_files(spark, batch, str(folder)) == 1
+    assert read_bronze(spark, batch).count() == 5
+
+
+def test_only_refused_files_leave_an_empty_batch(spark, tmp_path, layers):
+    write(tmp_path / "landing", "x.csv", ["1,2"], "a,b")
+    assert ingest_files(spark, layers, str(tmp_path / "landing")) == 1
+    assert read_bronze(spark, layers).count() == 0
+    assert ingest_files(spark, layers, str(tmp_path / "landing")) == 0
+
+
+def test_the_landing_folder_is_listed_once_a_run(spark, tmp_path, layers, monkeypatch):
+    from fleetgauge.plans import ingest
+
+    for n in range(5):
+        write(tmp_path / "landing", f"{n}.csv", [f"2022-03-01 00:00:00,{n},1.0,1,2.5"])
+    listings = []
+    real = ingest.landing_versions
+    monkeypatch.setattr(ingest, "landing_versions", lambda *a: listings.append(a) or real(*a))
+    assert ingest_files(spark, layers, str(tmp_path / "landing"), files_per_batch=1) >= 3
+    assert len(listings) == 1
+    assert {r.turbine_id for r in read_bronze(spark, layers).collect()} == set(range(5))
+
+
+def test_a_stream_with_a_new_checkpoint_keeps_the_old_batches(spark, tmp_path, layers):
+    import shutil
+
+    landing = tmp_path / "landing"
+    write(landing, "a.csv", ["2022-03-01 00:00:00,1,1.0,1,2.5"])
+    start_feed(spark, layers, str(landing), clean=False).awaitTermination()
+    shutil.move(f"{layers.base}/state/turbine_data/feed_checkpoint", str(tmp_path / "old_checkpoint"))
+    write(landing, "b.csv", ["2022-03-01 00:00:00,2,1.0,1,2.5"])
+    start_feed(spark, layers, str(landing), clean=False).awaitTermination()
+    assert sorted(r.turbine_id for r in read_bronze(spark, layers).collect()) == [1, 2]
