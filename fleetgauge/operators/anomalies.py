@@ -50,15 +50,19 @@ def _ordered(df: DataFrame, readings: DataFrame, cfg: SensorConfig) -> DataFrame
     return df.selectExpr(*map(quoted, names), f"{_verdict(cfg)} AS is_anomaly")
 
 
-def flag_anomalies(df: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:
+def flag_anomalies(
+    df: DataFrame, cfg: SensorConfig = DEFAULT, stats: DataFrame | None = None
+) -> DataFrame:
     """Real readings with their day's figures and `is_anomaly`, by aggregate and join.
 
-    For written tables: a device-day may hold any share of the rows, because the figures are
-    pre-aggregated in the map tasks and Spark either broadcasts them, when their measured size is
-    small, or splits the hot side of the join. Rows without device or day drop out.
+    For written tables: the figures are pre-aggregated in the map tasks, and Spark broadcasts them when their
+    measured size is small. Beyond that, adaptive execution splits the hot side of the join only if `stats`, the
+    figures of `day_stats`, comes from a written table, as the build jobs do it; it does not split a join right above
+    an aggregate. Rows without device or day drop out.
     """
     readings = real_readings(df, cfg)
-    return _ordered(readings.join(day_stats(df, cfg), [cfg.key, cfg.day]), readings, cfg)
+    figures = day_stats(df, cfg) if stats is None else stats
+    return _ordered(readings.join(figures, [cfg.key, cfg.day]), readings, cfg)
 
 
 def _with_day_figures(df: DataFrame, counted: str, cfg: SensorConfig) -> DataFrame:

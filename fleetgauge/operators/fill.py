@@ -83,16 +83,16 @@ def _passed_names(cfg: SensorConfig, timed: bool) -> list[str]:
 
 
 def cell_tails(
-    df: DataFrame, cells: Sequence[str], cfg: SensorConfig = DEFAULT, timed: bool = False
+    df: DataFrame, cells: Sequence[str], cfg: SensorConfig = DEFAULT, timed: bool = False, counted: str = ""
 ) -> DataFrame:
-    """Last valid value of every cell per value column, and its time if `timed`.
+    """Last valid value of every cell per value column, its time if `timed`, its rows in a column named by `counted`.
 
     Rows without a time form cells of their own and hold one row each after dedupe, so any constant
     serves as their position.
     """
     kind = df.schema[cfg.time].dataType.simpleString()
     position = f"coalesce({quoted(cfg.time)}, CAST('1970-01-01' AS {kind}))"
-    found = []
+    found = [f"count(1) AS {quoted(counted)}"] if counted else []
     for name in cfg.value_names:
         valid = f"{quoted(name)} IS NOT NULL"
         found.append(f"max_by({quoted(name)}, {position}) FILTER (WHERE {valid}) AS {quoted(name)}")

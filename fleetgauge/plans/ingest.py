@@ -11,7 +11,8 @@ to the ledger, and the other files of its batch are read. A corrected file is a
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -42,9 +43,12 @@ BRONZE_SCHEMA = (
     f"{FILE_SIZE} long, feed string, ingest_batch int, date date"
 )
 BATCH_SCHEMA = BRONZE_SCHEMA.replace("feed string, ingest_batch int, ", "")
-# Batches the silver and gold layers already include.
+# The days of each bronze batch, so that a job opens only the folders it needs.
+BATCH_DAYS = "batch_days"
+BATCH_DAYS_SCHEMA = "date date, feed string, ingest_batch int"
+# Batches the silver and gold layers already include, and the version of the values in force with them.
 PROGRESS = "taken_in"
-PROGRESS_SCHEMA = "feed string, ingest_batch int"
+PROGRESS_SCHEMA = "feed string, ingest_batch int, snapshot string"
 
 
 def of_batches(batches: Sequence[tuple[str, int]]) -> Column:
@@ -72,6 +76,8 @@ def write_batch(
         .partitionBy(cfg.day)
         .parquet(batch_folder(layers, feed, batch))
     )
+    days = read_batch(rows.sparkSession, layers, feed, batch).select(F.col(cfg.day).alias("date")).distinct()
+    days.write.mode("overwrite").parquet(f"{layers.path(BATCH_DAYS)}/feed={feed}/ingest_batch={batch}")
 
 
 def read_batch(spark: SparkSession, layers: Layers, feed: str, batch: int) -> DataFrame:
@@ -181,10 +187,36 @@ def read_bronze(spark: SparkSession, layers: Layers) -> DataFrame:
 
 
 def bronze_by_day(spark: SparkSession, layers: Layers) -> DataFrame:
-    """Bronze readings with feed, batch and day, for pruning."""
+    """Bronze readings with feed, batch and day, for pruning. Lists the whole table; see `bronze_on_days`."""
     return layers.read(spark, BRONZE, BRONZE_SCHEMA).drop(FILE_TIME, FILE_SIZE)
 
 
+def _bronze_folders(spark: SparkSession, layers: Layers, folders: Sequence[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], BRONZE_SCHEMA).drop(FILE_TIME, FILE_SIZE)
+    reader = spark.read.schema(BRONZE_SCHEMA).option("basePath", layers.path(BRONZE))
+    return reader.parquet(*folders).drop(FILE_TIME, FILE_SIZE)
+
+
+def bronze_of_batches(spark: SparkSession, layers: Layers, batches: Sequence[tuple[str, int]]) -> DataFrame:
+    """Bronze readings of the given batches; no other folder is listed."""
+    return _bronze_folders(spark, layers, [batch_folder(layers, feed, batch) for feed, batch in batches])
+
+
+def bronze_on_days(spark: SparkSession, layers: Layers, days: Iterable[date | None]) -> DataFrame:
+    """Bronze readings of the given days from all batches; no other folder is listed.
+
+    The folder names pass through the driver: one for each batch that holds rows of a day.
+    """
+    wanted = spark.createDataFrame([(day,) for day in days], "wanted date")
+    held = layers.read(spark, BATCH_DAYS, BATCH_DAYS_SCHEMA)
+    found = held.join(wanted, F.col("date").eqNullSafe(F.col("wanted")), "left_semi").distinct().collect()
+    return _bronze_folders(spark, layers, [
+        f"{batch_folder(layers, row['feed'], row['ingest_batch'])}/date={row['date'] or '__HIVE_DEFAULT_PARTITION__'}"
+        for row in found
+    ])
+
+
 def batch_bytes(
     spark: SparkSession, layers: Layers, batches: Sequence[tuple[str, int]] | None = None
 ) -> int:
@@ -210,15 +242,28 @@ def merge_batches(
     record_versions(merged.select(*VERSION).distinct(), layers, FILES, number)
     mark_taken_in(spark, layers, [(FILES, number)])
     for feed, batch in batches:
+        spark.createDataFrame([], "date date").write.mode("overwrite").parquet(
+            f"{layers.path(BATCH_DAYS)}/feed={feed}/ingest_batch={batch}"
+        )
         read_batch(spark, layers, feed, batch).limit(0).write.mode("overwrite").partitionBy(cfg.day).parquet(
             batch_folder(layers, feed, batch)
         )
     return number
 
 
-def mark_taken_in(spark: SparkSession, layers: Layers, batches: Sequence[tuple[str, int]]) -> None:
-    """Note that the clean layers include these batches."""
-    layers.append(spark.createDataFrame(list(batches), PROGRESS_SCHEMA).coalesce(1), PROGRESS)
+def mark_taken_in(
+    spark: SparkSession, layers: Layers, batches: Sequence[tuple[str, int]], snapshot: str | None = None
+) -> None:
+    """Note that the clean layers include these batches, and which values are in force from now on."""
+    rows = [(feed, batch, snapshot) for feed, batch in batches] or [(None, None, snapshot)]
+    marks = spark.createDataFrame(rows, PROGRESS_SCHEMA).withColumn("taken_at", F.current_timestamp())
+    layers.append(marks.coalesce(1), PROGRESS)
+
+
+def snapshot_in_force(spark: SparkSession, layers: Layers) -> str | None:
+    """The version of the values in force that was noted last."""
+    marks = layers.read(spark, PROGRESS, PROGRESS_SCHEMA + ", taken_at timestamp").filter("snapshot IS NOT NULL")
+    return marks.agg(F.max_by("snapshot", "taken_at")).first()[0]
 
 
 def new_batches(spark: SparkSession, layers: Layers) -> list[tuple[str, int]]:

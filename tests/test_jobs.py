@@ -221,3 +221,85 @@ def test_device_filter_reaches_the_files(spark, tmp_path):
     text = df._jdf.queryExecution().explainString(mode)
     assert "EqualTo(turbine_id,42)" in text and "PartitionFilters: [isnotnull(date" in text
     assert df.count() == 1
+
+
+def day_files(layers, table):
+    from pathlib import Path
+
+    return {f.relative_to(layers.path(table)).parts[0]: f.name for f in Path(layers.path(table)).glob("*/*.parquet")}
+
+
+def test_refresh_after_a_full_build_has_nothing_to_do(spark, tmp_path):
+    from fleetgauge.plans.build import build_all
+
+    layers, landing = Layers(str(tmp_path / "lake")), tmp_path / "landing"
+    write(landing, "a.csv", lines(days=range(1, 6)))
+    ingest_files(spark, layers, str(landing))
+    build_all(spark, layers)
+    assert refresh(spark, layers) == []
+    # And the next delivery goes on from the build's values.
+    write(landing, "b.csv", lines(days=range(6, 7), seed=8) + ["2022-03-06 10:00:00,77,,,"])
+    ingest_files(spark, layers, str(landing))
+    assert [str(d) for d in refresh(spark, layers)] == ["2022-03-06"]
+    assert tables(spark, layers) == full(spark, tmp_path / "full", landing)
+
+
+def test_only_days_that_change_are_written(spark, tmp_path):
+    layers, landing = Layers(str(tmp_path / "lake")), tmp_path / "landing"
+    # Device 9 reports on the first day only, device 8 has a value on every day.
+    write(landing, "a.csv", lines(days=range(1, 9)) + ["2022-03-01 03:00:00,9,4.0,9,3.25"]
+          + [f"2022-03-{d:02d} 01:00:00,8,2.0,{d},1.75" for d in range(1, 9)])
+    ingest_files(spark, layers, str(landing))
+    refresh(spark, layers)
+
+    none = "__HIVE_DEFAULT_PARTITION__"
+
+    def delivered(name, rows):
+        before = {t: day_files(layers, t) for t in (SILVER, "day_values")}
+        write(landing, name, rows)
+        ingest_files(spark, layers, str(landing))
+        days = {str(d or none) for d in refresh(spark, layers)}
+        for table, files in before.items():
+            now = day_files(layers, table)
+            assert {d for d in now if files.get(d) != now[d]} == {f"date={d}" for d in days}, table
+        return days
+
+    # A time that cannot be read, from a device whose first day has a value early: its first day's opening alone changes.
+    got = delivered("b.csv", ["bad,8,2.5,10,1.25", "2022-03-09 01:00:00,8,2.0,1,1.5"])
+    assert got == {none, "2022-03-09", "2022-03-01"}
+    # The silent device comes back without a value and takes the one it had nine days before.
+    assert delivered("c.csv", ["2022-03-10 01:00:00,9,,,"]) == {"2022-03-10"}
+    back = layers.read(spark, SILVER).filter("turbine_id = 9 AND date = DATE'2022-03-10'").first()
+    assert (back.power_output, back.power_output_was_imputed) == (3.25, True)
+    # A late old row reaches as far as the next value of its device.
+    assert delivered("d.csv", ["2022-03-05 05:00:00,9,1.0,1,2.75"]) == {"2022-03-05", "2022-03-10"}
+    assert delivered("e.csv", ["2022-03-03 05:00:00,8,1.0,1,2.75"]) == {"2022-03-03", "2022-03-04"}
+    assert tables(spark, layers) == full(spark, tmp_path / "full", landing)
+
+
+def test_a_hot_device_day_is_split_in_the_anomaly_join(spark, tmp_path):
+    from fleetgauge.operators.anomalies import day_stats, flag_anomalies
+
+    rows = spark.range(300_000, numPartitions=6).selectExpr(
+        "int(if(id % 10 < 8, 0, id % 97)) AS turbine_id",
+        "timestamp_seconds(1646092800 + int(if(id % 10 < 8, 0, id % 5)) * 86400 + id % 86400) AS timestamp",
+        "double(id % 13) AS power_output", "false AS power_output_was_imputed", "uuid() AS note",
+    )
+    rows.write.parquet(str(tmp_path / "readings"))
+    readings = spark.read.parquet(str(tmp_path / "readings"))
+    day_stats(readings).write.parquet(str(tmp_path / "stats"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100000",
+    }
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        found = flag_anomalies(readings, stats=spark.read.parquet(str(tmp_path / "stats")))
+        assert len(found.collect()) == 300_000
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in conf:
+            spark.conf.unset(name)
