@@ -20,7 +20,7 @@ from fleetgauge.session import build_session  # noqa: E402
 
 HEADLINE = (
     "dedupe", "flag_missing_invalid", "forward_fill", "forward_fill_day_carry", "silver_clean",
-    "remaining_nulls", "daily_summary", "anomalies", "anomalies_window", "turbine_kpis",
+    "silver_clean_default", "remaining_nulls", "daily_summary", "anomalies", "anomalies_window", "turbine_kpis",
     "fleet_quality", "flakiest_top5", "chart_feed", "absent_hours",
 )
 

@@ -167,6 +167,18 @@ capped AS (
     for v in VALUES
 ) + " FROM held)"
 
+# The late third of the readings lacks some of its times.
+_TIMELESS = """
+readings AS (
+  SELECT * REPLACE (CASE WHEN event_id % 21 <> 0 THEN "timestamp" END AS "timestamp") FROM (
+    WITH """ + _READINGS + """ SELECT * FROM readings))"""
+_NUMBERED = _TYPED.replace("SELECT CASE WHEN jt", "SELECT event_id, CASE WHEN jt")
+
+
+def _refreshed(query: str) -> str:
+    return _sql([_TIMELESS, _DEDUPED, _FLAGGED, _SILVER, _SUMMARY, _ANOMALIES], query)
+
+
 _RULES = [
     ("device_known", "turbine_id IS NOT NULL", 0.0),
     ("time_known", '"timestamp" IS NOT NULL', 0.0),
@@ -250,3 +262,24 @@ WHERE _reason IS NOT NULL"""),
         for n, p, a in _RULES
     )),
 }
+
+ORACLE |= {
+    "ledger_ingest": _sql([_READINGS, _NUMBERED], """
+SELECT * EXCLUDE (event_id), true AS has_file FROM typed
+UNION ALL SELECT * EXCLUDE (event_id), true FROM typed WHERE event_id % 3 = 0"""),
+    "silver_clean_default": ORACLE["silver_clean"],
+    "forward_fill_busy_days": ORACLE["forward_fill"],
+    "silver_full_build": _silver("SELECT * EXCLUDE (event_id) FROM silver"),
+    "summary_after_refresh": _refreshed(_ROUNDED_SUMMARY),
+    "anomalies_after_refresh": _refreshed(
+        f"SELECT {_ROUNDED_STATS} FROM (SELECT * EXCLUDE (event_id) FROM anomalies)"
+    ),
+    "kpis_from_tables": ORACLE["turbine_kpis"],
+    "chart_feed_from_tables": ORACLE["chart_feed"],
+    "one_turbine_daily": _gold(f"{_ROUNDED_SUMMARY} WHERE turbine_id = 3 ORDER BY date"),
+    "one_turbine_anomalies": _gold(
+        'SELECT turbine_id, date, "timestamp", power_output FROM anomalies WHERE is_anomaly AND turbine_id = 3 '
+        'ORDER BY "timestamp"'
+    ),
+    "one_turbine_invalid_direction": _silver("SELECT * FROM silver WHERE wind_direction_was_invalid AND turbine_id = 3"),
+}

@@ -14,7 +14,7 @@ from fleetgauge.functions.quality import with_day
 from fleetgauge.operators.anomalies import day_stats, flag_anomalies, flag_anomalies_windowed
 from fleetgauge.operators.clean import clean_readings, flagged_readings
 from fleetgauge.operators.dedupe import dedupe_readings
-from fleetgauge.operators.fill import fill_whole_history, forward_fill
+from fleetgauge.operators.fill import busy_days, fill_whole_history, forward_fill
 from fleetgauge.operators.flags import flag_with_capacity
 from fleetgauge.operators.gaps import absent_hours, with_absent_hours
 from fleetgauge.operators.quarantine import split_quarantine
@@ -22,12 +22,12 @@ from fleetgauge.operators.residuals import remaining_nulls
 from fleetgauge.operators.rules import check_rules
 from fleetgauge.operators.summary import daily_summary
 from fleetgauge.plans import reports
-from fleetgauge.plans.build import refresh
-from fleetgauge.plans.ingest import FILES, record_versions, write_batch
-from fleetgauge.session import shared_folder
+from fleetgauge.plans.build import build_all, refresh
+from fleetgauge.plans.ingest import FILES, ingest_files, read_bronze, record_versions, write_batch
+from fleetgauge.session import removed_at_exit, shared_folder, utc
 from fleetgauge.sources.events import event_readings, event_text
 from fleetgauge.sources.landing import FILE_SIZE, FILE_TIME, read_landing, typed_columns
-from fleetgauge.sources.layers import SUMMARY, Layers
+from fleetgauge.sources.layers import ANOMALIES, SILVER, SUMMARY, Layers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # makes whole-history fills and per-day windows safe for them.
 HOURLY = replace(DEFAULT, readings_per_day=24)
 FILL_CAP = timedelta(hours=6)
+# Late readings delivered without a time; rows that make a day busy; the device of the one-device reports.
+UNREADABLE, BUSY, ONE = "event_id % 21 = 0", 8, 3
 FILLED = [*HOURLY.value_names, *[f"{n}_was_imputed" for n in HOURLY.value_names]]
 
 
@@ -81,15 +83,49 @@ def capacity_bound(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _plain_times(df: DataFrame) -> DataFrame:
+    return df.withColumns({
+        f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema.fields if f.dataType.simpleString() == "timestamp"
+    })
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A folder for the files a query writes first; it goes when the application ends."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    removed_at_exit(spark, folder)
+    return folder
+
+
+def _scanned(rows: DataFrame) -> DataFrame:
+    return _plain_times(rows.select(
+        "timestamp", "turbine_id", "wind_speed", "wind_direction", "power_output", "_rescued_data",
+        F.col("_source_file").isNotNull().alias("has_file"),
+    ))
+
+
 def landing_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Events written as CSV landing files, then read back through the landing source."""
-    landing = f"{shared_folder(spark)}/landing-{uuid.uuid4().hex}"
+    landing = f"{_scratch(spark, 'landing')}/files"
     event_text(spark, folder).drop("_line").write.option("header", "true").csv(landing)
-    rows = read_landing(spark, landing, HOURLY)
-    return rows.select(
-        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "turbine_id", "wind_speed",
-        "wind_direction", "power_output", "_rescued_data", F.col("_source_file").isNotNull().alias("has_file"),
-    )
+    return _scanned(read_landing(spark, landing, HOURLY))
+
+
+def ledger_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Bronze after two ingests: events in two nested folders, one of them replaced in between, beside files that are
+    refused for the order of their columns. The replaced files' rows are in bronze twice, as delivered."""
+    landing, layers = _scratch(spark, "landing"), Layers(_scratch(spark, "ingest"))
+    with utc(spark):
+        def deliver(rows: str, name: str, *columns: str) -> None:
+            text = event_text(spark, folder, rows).drop("_line")
+            text.select(*columns or text.columns).write.mode("overwrite").option("header", "true").csv(f"{landing}/{name}")
+
+        deliver("event_id % 3 <> 0", "first/files")
+        deliver("event_id % 3 = 0", "second")
+        deliver("event_id % 5 = 0", "shifted", "turbine_id", "timestamp", "wind_speed", "wind_direction", "power_output")
+        ingest_files(spark, layers, landing, HOURLY)
+        deliver("event_id % 3 = 0", "second")
+        ingest_files(spark, layers, landing, HOURLY)
+        return _scanned(read_bronze(spark, layers))
 
 
 def _typed(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,28 +137,80 @@ def quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return split_quarantine(_typed(spark, folder), HOURLY)[1]
 
 
+def _deliver(spark: SparkSession, layers: Layers, part: DataFrame, number: int) -> None:
+    """Event readings as one bronze batch."""
+    rows = part.withColumns({
+        "timestamp": F.col("timestamp").cast("timestamp"),
+        "_ingested_at": F.col("_ingested_at").cast("timestamp"),
+        "_rescued_data": F.lit(None).cast("string"),
+        FILE_TIME: F.lit("2024-02-01").cast("timestamp"),
+        FILE_SIZE: F.lit(number).cast("long"),
+    }).drop("event_id")
+    write_batch(rows, layers, FILES, number, HOURLY)
+    record_versions(rows.select("_source_file", FILE_TIME, FILE_SIZE).distinct(), layers, FILES, number)
+
+
+def _refreshed(spark: SparkSession, folder: str, unreadable: str = "false") -> Layers:
+    """Tables after two refreshes, the second bringing a late third of the readings, some without a time."""
+    layers = Layers(_scratch(spark, "refresh"))
+    readings, late = event_readings(spark, folder), F.col("event_id") % 3 == 0
+    timeless = readings.withColumn("timestamp", F.expr(f"CASE WHEN NOT {unreadable} THEN timestamp END"))
+    for number, part in enumerate((readings.filter(~late), timeless.filter(late)), start=1):
+        _deliver(spark, layers, part, number)
+        refresh(spark, layers, HOURLY)
+    return layers
+
+
+def _built(spark: SparkSession, folder: str) -> Layers:
+    """Tables after a full build."""
+    layers = Layers(_scratch(spark, "build"))
+    _deliver(spark, layers, event_readings(spark, folder), 1)
+    build_all(spark, layers, HOURLY)
+    return layers
+
+
 def incremental_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """Daily summary after two refreshes, the second bringing a late third of the readings."""
-    layers = Layers(f"{shared_folder(spark)}/refresh-{uuid.uuid4().hex}")
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    try:
-        readings = event_readings(spark, folder)
-        late = F.col("event_id") % 3 == 0
-        for number, part in enumerate((readings.filter(~late), readings.filter(late)), start=1):
-            rows = part.withColumns({
-                "timestamp": F.col("timestamp").cast("timestamp"),
-                "_ingested_at": F.col("_ingested_at").cast("timestamp"),
-                "_rescued_data": F.lit(None).cast("string"),
-                FILE_TIME: F.lit("2024-02-01").cast("timestamp"),
-                FILE_SIZE: F.lit(number).cast("long"),
-            }).drop("event_id")
-            write_batch(rows, layers, FILES, number, HOURLY)
-            record_versions(rows.select("_source_file", FILE_TIME, FILE_SIZE).distinct(), layers, FILES, number)
-            refresh(spark, layers, HOURLY)
-        return _rounded(layers.read(spark, SUMMARY), "avg_power_output")
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", zone)
+    with utc(spark):
+        return _rounded(_refreshed(spark, folder).read(spark, SUMMARY), "avg_power_output")
+
+
+def summary_after_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where the late readings also hold times that could not be read."""
+    with utc(spark):
+        return _rounded(_refreshed(spark, folder, UNREADABLE).read(spark, SUMMARY), "avg_power_output")
+
+
+def anomalies_after_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The anomalies table of the same refreshes."""
+    with utc(spark):
+        found = _refreshed(spark, folder, UNREADABLE).read(spark, ANOMALIES)
+        return _with_rounded_stats(_plain_times(found).drop("_rescued_data"))
+
+
+def silver_full_build(spark: SparkSession, folder: str) -> DataFrame:
+    with utc(spark):
+        return _plain_times(_built(spark, folder).read(spark, SILVER)).drop("_rescued_data")
+
+
+def kpis_from_tables(spark: SparkSession, folder: str) -> DataFrame:
+    with utc(spark):
+        layers = _built(spark, folder)
+        kpis = reports.turbine_kpis(layers.read(spark, SUMMARY), layers.read(spark, ANOMALIES))
+        return _rounded(kpis, "mean_daily_power")
+
+
+def chart_feed_from_tables(spark: SparkSession, folder: str) -> DataFrame:
+    with utc(spark):
+        layers = _built(spark, folder)
+        feed = reports.chart_feed(layers.read(spark, SUMMARY), layers.read(spark, ANOMALIES))
+        return _rounded(_plain_times(feed), "avg_power_output")
+
+
+def forward_fill_busy_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The fill where days above a few readings are cut into seconds."""
+    readings = _flagged(spark, folder)
+    return _fill_columns(forward_fill(readings, HOURLY, busy_days(readings, replace(HOURLY, busy_day_rows=BUSY))))
 
 
 QUERIES: dict[str, Query] = {
@@ -142,6 +230,15 @@ QUERIES: dict[str, Query] = {
     "anomalies": lambda s, d: _with_rounded_stats(flag_anomalies(_silver(s, d), HOURLY)),
     "anomalies_window": lambda s, d: _with_rounded_stats(_anomalies(s, d)),
     "incremental_refresh": incremental_refresh,
+    # the jobs' own paths over written tables
+    "ledger_ingest": ledger_ingest,
+    "silver_clean_default": lambda s, d: clean_readings(event_readings(s, d), DEFAULT),
+    "forward_fill_busy_days": forward_fill_busy_days,
+    "silver_full_build": silver_full_build,
+    "summary_after_refresh": summary_after_refresh,
+    "anomalies_after_refresh": anomalies_after_refresh,
+    "kpis_from_tables": kpis_from_tables,
+    "chart_feed_from_tables": chart_feed_from_tables,
     # reports
     "turbine_list": lambda s, d: reports.turbine_list(event_readings(s, d)),
     "turbine_daily": lambda s, d: _rounded(reports.turbine_daily(_summary(s, d)), "avg_power_output"),
@@ -160,6 +257,9 @@ QUERIES: dict[str, Query] = {
     "chart_feed": lambda s, d: _rounded(
         reports.chart_feed_in_one_pass(_silver(s, d), cfg=HOURLY), "avg_power_output"
     ),
+    "one_turbine_daily": lambda s, d: _rounded(reports.turbine_daily(_summary(s, d), ONE), "avg_power_output"),
+    "one_turbine_anomalies": lambda s, d: reports.turbine_anomalies(_anomalies(s, d), ONE),
+    "one_turbine_invalid_direction": lambda s, d: reports.invalid_direction_rows(_silver(s, d), ONE),
     # named extensions, off by default
     "absent_hours": lambda s, d: absent_hours(event_readings(s, d), HOURLY),
     "with_absent_hours": lambda s, d: with_absent_hours(

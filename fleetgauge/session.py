@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,17 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
 
 
+@contextmanager
+def utc(spark: SparkSession) -> Iterator[None]:
+    """The pinned zone for a block, for sessions that come with another."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 # Input bytes (compressed) per shuffle partition before adaptive execution merges small ones.
 BYTES_PER_PARTITION = 64 * 1024**2
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -75,3 +88,11 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     return _local_folder(context.applicationId)
+
+
+def removed_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have a folder, which need not exist yet, removed when the application ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)

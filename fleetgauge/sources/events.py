@@ -37,9 +37,9 @@ def event_readings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def event_text(spark: SparkSession, folder: str) -> DataFrame:
-    """The same feed as text, as a landing file would hold it, with values that do not parse."""
-    return event_readings(spark, folder).selectExpr(
+def event_text(spark: SparkSession, folder: str, rows: str = "true") -> DataFrame:
+    """The same feed as text, as a landing file would hold it, with values that do not parse; `rows` picks events."""
+    return event_readings(spark, folder).filter(rows).selectExpr(
         "CASE WHEN event_id % 211 = 0 THEN 'bad' ELSE date_format(timestamp, 'yyyy-MM-dd HH:mm:ss') END AS timestamp",
         "CASE WHEN event_id % 307 = 0 THEN 'T-7' ELSE string(turbine_id) END AS turbine_id",
         "string(wind_speed) AS wind_speed",
