@@ -5,6 +5,11 @@ words beside all other words. The reference of a language is the sum of the hist
 base rules. A document is rejected if it fails the base rules, or if it is long enough to judge and the Jensen-Shannon
 distance (base 2, 0 to 1) of either histogram from its language's reference exceeds a threshold.
 
+The words of a language are its most frequent ones, counted over all its documents, and the threshold of the word distance is a
+share of the greatest distance that the language's reference allows, that of a text with none of its words: so the rule can reject
+in any language. `DEFAULT` takes fixed words of four languages and a fixed threshold instead, as the SQL twin of op6_quality does; it
+cannot reject for lack of words in other languages.
+
 Null text counts as empty: no words, so the base rules reject it. A null language is a language of its own. Repeated
 rows are judged each for itself. A document shorter than `min_words`, or one whose reference is empty, is judged by
 the base rules alone. An empty table gives an empty table. Columns of any other name pass through untouched;
@@ -13,14 +18,16 @@ result columns and `_text` replace columns of the same name. The language must b
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from fleetgauge.llm.common import arrow_rows, sliced, staged, utf8
+from fleetgauge.llm.common import Memo, arrow_rows, sliced, staged, utf8
 
-# Frequent function words of four languages.
+# Frequent function words of four languages, for `DEFAULT`.
 COMMON_WORDS = (
     "the of and to in is that for it as was on are by be with",
     "der die und das den von zu mit sich des auf ist im dem ein nicht",
@@ -33,15 +40,24 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 @dataclass(frozen=True)
 class QualityRules:
-    """`max_char_distance` and `max_word_distance` reject above them, from `min_words` words on."""
+    """`max_char_distance` and `max_word_distance` reject above them, from `min_words` words on. With `learned_words`, so many
+    words of each language are learned, and `max_word_share` of the greatest possible distance takes the place of `max_word_distance`."""
 
     min_words: int = 100
     max_char_distance: float = 0.30
-    max_word_distance: float = 0.36
+    max_word_distance: float = 0.30
     common_words: tuple[str, ...] = tuple(dict.fromkeys(" ".join(COMMON_WORDS).split()))
+    learned_words: int = 0
+    max_word_share: float = 0.9
+
+    @property
+    def places(self) -> int:
+        return self.learned_words or len(self.common_words)
 
 
 DEFAULT = QualityRules()
+LEARNED = QualityRules(learned_words=32)
+COUNTED = 200_000  # distinct words that a task counts before it passes them on
 
 
 def class_of_bytes():
@@ -82,7 +98,47 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def profile(data: bytes, kinds, common: dict[bytes, int]) -> tuple[list[int], list[int], list[int]]:
+def bare(words: list[bytes]) -> Iterator[bytes]:
+    """Words in lower case without the stops around them."""
+    return (w.lower().strip(b".,;:!?") for w in words)
+
+
+def frequent_words(docs: DataFrame, n: int, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(`_word_lang`, `_common`): the `n` most frequent words of each language over all documents; equal counts by the word."""
+    kind = docs.schema[lang].dataType.simpleString()
+    docs = docs.select(F.col(lang).alias("_word_lang"), F.col(text).alias("_text"))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        counts: dict[object, Counter] = {}
+
+        def passed(of) -> Iterator:
+            for key, own in counts.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(own), of), pa.array(list(own), pa.binary()), pa.array(list(own.values()), pa.int64())],
+                    names=["_word_lang", "_word", "_n"],
+                )
+            counts.clear()
+
+        of = None
+        for batch in sliced(batches):
+            of = batch["_word_lang"].type
+            for key, data in zip(batch["_word_lang"].to_pylist(), utf8(batch["_text"])):
+                counts.setdefault(key, Counter()).update(filter(None, bare(data.split())))
+            if sum(map(len, counts.values())) >= COUNTED:
+                yield from passed(of)
+        yield from passed(of)
+
+    found = docs.mapInArrow(run, f"_word_lang {kind}, _word binary, _n long").groupBy("_word_lang", "_word").agg(F.sum("_n").alias("_n"))
+    place = F.row_number().over(Window.partitionBy("_word_lang").orderBy(F.desc("_n"), "_word"))
+    found = found.withColumn("_place", place).where(f"_place <= {n}")
+    return found.groupBy("_word_lang").agg(
+        F.expr("transform(array_sort(collect_list(struct(_place, _word))), x -> x._word)").alias("_common")
+    )
+
+
+def profile(data: bytes, kinds, common: dict[bytes, int], places: int) -> tuple[list[int], list[int], list[int]]:
     """Base figures, character classes, common words (the last count is of all other words) of a text."""
     import numpy as np
 
@@ -90,8 +146,8 @@ def profile(data: bytes, kinds, common: dict[bytes, int]) -> tuple[list[int], li
     seen = np.bincount(np.frombuffer(data, "uint8"), minlength=256)
     classes = np.bincount(kinds[kinds >= 0], weights=seen[kinds >= 0], minlength=len(CLASSES)).astype("int64").tolist()
     lines = [line for line in data.split(b"\n") if line.strip(b" \t\r\x0b\x0c")]
-    histogram = [0] * (len(common) + 1)
-    for place in map(common.get, (w.lower().strip(b".,;:!?") for w in words)):
+    histogram = [0] * (places + 1)
+    for place in map(common.get, bare(words)):
         histogram[-1 if place is None else place] += 1
     return (
         [len(words), sum(classes) - classes[CLASSES.index("space")], classes[CLASSES.index("symbol")],
@@ -102,18 +158,21 @@ def profile(data: bytes, kinds, common: dict[bytes, int]) -> tuple[list[int], li
 
 
 def with_profiles(docs: DataFrame, carry: list[str], rules: QualityRules = DEFAULT, text: str = "text") -> DataFrame:
-    """The columns `carry`, the base figures and the arrays `_classes` and `_words`."""
-    words = rules.common_words
+    """The columns `carry`, the base figures and the arrays `_classes` and `_words`. Learned words are in `_common`."""
+    words, places = rules.common_words, rules.places
+    learned = ["_common"] if rules.learned_words else []
     names = [*BASE, "_classes", "_words"]
     kept = [docs.schema[c] for c in carry]
-    docs = docs.select(*carry, F.col(text).alias("_text"))
+    docs = docs.select(*carry, F.col(text).alias("_text"), *learned)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        kinds, common = class_of_bytes(), {w.encode(): i for i, w in enumerate(words)}
+        kinds, listed = class_of_bytes(), tuple(w.encode() for w in words)
+        numbered = Memo(lambda common: {w: i for i, w in enumerate(common)}, 1_000)
         for batch in sliced(batches):
-            found = [profile(data, kinds, common) for data in utf8(batch["_text"])]
+            own = (tuple(c or ()) for c in batch["_common"].to_pylist()) if learned else repeat(listed)
+            found = [profile(data, kinds, numbered[common], places) for data, common in zip(utf8(batch["_text"]), own)]
             base = list(zip(*(f[0] for f in found))) or [[]] * len(BASE)
             yield pa.RecordBatch.from_arrays(
                 [*(batch[f.name] for f in kept), *(pa.array(c, pa.int64()) for c in base),
@@ -140,19 +199,28 @@ BASE_FAILED = "(n_words < 50 OR 100 * n_repeat_words > 50 * n_words)"
 
 
 def language_references(profiles: DataFrame, rules: QualityRules = DEFAULT, lang: str = "lang") -> DataFrame:
-    """(language, summed histograms) over all documents that pass the base rules."""
-    sums = [f"sum(_classes[{i}])" for i in range(len(CLASSES))], [f"sum(_words[{i}])" for i in range(len(rules.common_words) + 1)]
-    return profiles.where(f"NOT {BASE_FAILED}").groupBy(F.col(lang).alias("_ref_lang")).agg(
+    """(language, summed histograms, word distance of a text without common words) over all documents that pass the base rules."""
+    sums = [f"sum(_classes[{i}])" for i in range(len(CLASSES))], [f"sum(_words[{i}])" for i in range(rules.places + 1)]
+    found = profiles.where(f"NOT {BASE_FAILED}").groupBy(F.col(lang).alias("_ref_lang")).agg(
         F.expr(f"array({', '.join(sums[0])})").alias("_ref_classes"), F.expr(f"array({', '.join(sums[1])})").alias("_ref_words")
     )
+    none = f"concat(array_repeat(0L, {rules.places}), array(1L))"
+    return found.withColumn("_ref_most", F.expr(_distance(none, "_ref_words")))
 
 
 def judge_quality(
-    docs: DataFrame, rules: QualityRules = DEFAULT, text: str = "text", lang: str = "lang", carry: list[str] | None = None
+    docs: DataFrame, rules: QualityRules = LEARNED, text: str = "text", lang: str = "lang", carry: list[str] | None = None
 ) -> DataFrame:
     """The columns `carry` (all by default) with the base figures, both distances, `base_failed` and `kept`."""
-    added = {*BASE, "_classes", "_words", "_text", "_ref_lang", "_ref_classes", "_ref_words", "char_distance", "word_distance", "base_failed", "kept"}
+    added = {*BASE, "_classes", "_words", "_text", "_ref_lang", "_ref_classes", "_ref_words", "_ref_most", "_word_lang", "_common",
+             "char_distance", "word_distance", "base_failed", "kept"}
     carry = [c for c in (carry or docs.columns) if c not in added]
+    word_rule = f"coalesce(word_distance, 0D) <= {rules.max_word_distance}D"
+    if rules.learned_words:
+        words = staged(frequent_words(docs, rules.learned_words, text, lang), 1000)
+        # a small table again, so each text gets its language's words without moving
+        docs = docs.select(*dict.fromkeys([*carry, lang, text])).join(words, F.col(lang).eqNullSafe(words["_word_lang"]), "left")
+        word_rule = f"coalesce(word_distance <= {rules.max_word_share}D * _ref_most, true)"
     with arrow_rows(docs.sparkSession, 1000):
         narrow = with_profiles(docs, [lang], rules, text)
         references = staged(language_references(narrow, rules, lang))
@@ -167,8 +235,8 @@ def judge_quality(
             "kept",
             F.expr(
                 f"NOT base_failed AND (n_words < {rules.min_words} OR (coalesce(char_distance, 0D) <= {rules.max_char_distance}D "
-                f"AND coalesce(word_distance, 0D) <= {rules.max_word_distance}D))"
+                f"AND {word_rule}))"
             ),
         )
-        .drop("_classes", "_words", "_ref_lang", "_ref_classes", "_ref_words")
+        .drop("_classes", "_words", "_ref_lang", "_ref_classes", "_ref_words", "_ref_most")
     )

@@ -65,7 +65,7 @@ def op5_substring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
-    judged = quality.judge_quality(table(spark, folder, "documents").select("doc_id", "text", "lang"), carry=["doc_id", "lang"])
+    judged = quality.judge_quality(table(spark, folder, "documents").select("doc_id", "text", "lang"), quality.DEFAULT, carry=["doc_id", "lang"])
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept")
 
 

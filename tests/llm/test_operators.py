@@ -217,6 +217,20 @@ def test_quality_on_odd_rows(docs, empty):
     assert found[20]._extra == "" and quality.judge_quality(empty).count() == 0
 
 
+def test_word_rule_can_reject_in_any_language(spark):
+    pick = random.Random(4)
+
+    def prose(common, share):
+        return " ".join(pick.choice(common) if pick.random() < share else "".join(pick.choice("aeinorst") for _ in range(5)) for _ in range(300))
+
+    own = {"en": ["the", "of", "and", "to"], "xx": ["ona", "tiro", "sen", "rat"], None: ["nesi", "tor", "asa", "rin"]}
+    rows = [(f"{lang} {i}", prose(common, 0.23), lang) for lang, common in own.items() for i in range(40)]
+    rows += [(f"{lang} none", prose(["stone"], 0), lang) for lang in own]
+    frame = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    assert sorted(r.doc_id for r in quality.judge_quality(frame).where("NOT kept").collect()) == ["None none", "en none", "xx none"]
+    assert [r.doc_id for r in quality.judge_quality(frame, quality.DEFAULT).where("NOT kept").collect()] == ["en none"]
+
+
 def test_lines_drop_frames_but_not_copies(spark, empty):
     rows = [(i, f"Home | About\nown text {i}\n\n Home | About\t") for i in range(12)] + [(20 + i, "a copied page\nwith lines") for i in range(30)]
     rows += [(60, None), (61, ""), (62, "Home | About")]
