@@ -2,7 +2,8 @@
 
 A page's lines are its text cut at \\n, compared without the spaces, tabs and returns at both ends; blank lines are not compared. For
 each host, the pages that contain a line are divided by all pages of the host; a line is boilerplate of the host if that ratio
-exceeds `max_ratio` and at least `min_pages` pages have it. All its occurrences on the host's pages go; other lines
+exceeds `max_ratio` and at least `min_pages` pages have it (two: a line on one page is not repeated, whatever its share of a small
+host). All its occurrences on the host's pages go; other lines
 stay as they are. Equal texts of a host count as one page: copies of a page say nothing about its lines. A page of
 which no line would remain is left whole, as a copied page, not a frame without content; near-dup removal deals with those.
 
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from fleetgauge.llm.common import staged
 
 MAX_RATIO = 0.08
-MIN_PAGES = 10
+MIN_PAGES = 2
 
 
 def _hashes(text: str) -> str:

@@ -241,6 +241,14 @@ def test_lines_drop_frames_but_not_copies(spark, empty):
     assert lines.drop_boilerplate(empty).count() == 0
 
 
+def test_the_ratio_decides_on_small_hosts(spark):
+    rows = [(f"Home | About\nown text {i}", "nine") for i in range(9)] + [(("menu\n" if i < 5 else "") + ("rare\n" if i < 4 else "") + f"page {i}", "fifty") for i in range(50)]
+    rows += [("a single page\nof a host", "one")]
+    frame = spark.createDataFrame(rows, "text string, source string")
+    found = {r.text: r.n_dropped_lines for r in lines.drop_boilerplate(frame).collect()}
+    assert found == {f"own text {i}": 1 for i in range(9)} | {("rare\n" if i < 4 else "") + f"page {i}": int(i < 5) for i in range(50)} | {rows[-1][0]: 0}
+
+
 # pages
 def test_blocks_decode_references_and_skip_raw_elements():
     page = "<head><title>x</title></head><body><script>var t='</p>';</script><p>a &amp;  b<br>c<p>d<!-- e --><b>f</b><div>g"
