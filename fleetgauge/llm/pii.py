@@ -4,13 +4,14 @@ The base patterns find e-mail addresses, IPv4 addresses, payment cards and phone
 of a graph between instances (strings that look like identifiers) and lexical patterns (the word before, the two words
 before, the word after; digits count as 0). In each round, a pattern is scored by the share of its distinct
 instances that are known, an instance by the noisy-or of the good patterns that extract it; instances above a
-threshold become known, with the kind that speaks for them most. At the end, an unseen identifier is reported where a good
+threshold become known, with the kind that speaks for them most, and stay so; rounds go on until no instance becomes known. At
+the end, an unseen identifier is reported where a good
 pattern extracts it and it has become known. Base spans always stay.
 
 Everything is DataFrame and SQL expressions. Positions come from the lengths of the pieces between matches, counted in code points.
 The regular expressions are possessive where that changes nothing, so long runs cost linear time and no stack. The graph
 holds distinct pairs, pre-aggregated; scores are written tables, so joins split hot patterns or broadcast small sides
-by size. Nothing is collected but one row count for each round.
+by size. Nothing is collected but one row for each round.
 
 Null text counts as empty and has no spans. Repeated rows are scanned each for itself and strengthen nothing, since the graph
 counts distinct strings. Equal scores are settled by the order of the kinds. An empty table gives an empty table. All columns
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from fleetgauge.llm.common import staged
+from fleetgauge.llm.common import dropped, staged
 
 KINDS = ("email", "ip", "card", "phone")
 # A match may start where the one before ended, or where no character of its first class stands before it: that
@@ -53,7 +54,6 @@ class Bootstrap:
     """A pattern is good with `min_known` distinct known instances that are `min_share` of all its instances; an instance
     becomes known at a score of `min_score`."""
 
-    rounds: int = 3
     min_known: int = 10
     min_share: float = 0.8
     min_score: float = 0.8
@@ -150,31 +150,33 @@ def bootstrap(found: DataFrame, how: Bootstrap = DEFAULT) -> tuple[DataFrame, Da
     pairs = staged(seen.groupBy("pattern", "string").agg(F.min("kind").alias("kind")))
     total = pairs.groupBy("pattern").agg(
         F.count("*").alias("n"), F.expr("count_if(kind = 'other')").alias("n_other")
-    ).where(f"n >= {how.min_known} AND n_other > 0 AND n > n_other")
+    ).where(f"n >= {how.min_known} AND n_other > 0")
     total = staged(total.select("pattern", "n"))
     graph = staged(pairs.join(total, "pattern"))
-    known = graph.where("kind <> 'other'").select("string", "kind").distinct()
-    good, count = None, 0
-    for _ in range(how.rounds):
-        known = staged(known)
-        labelled = graph.drop("kind").join(known, "string")
+    seeds = staged(graph.where("kind <> 'other'").select("string", "kind").distinct())
+    learned, good = staged(seeds.limit(0)), None
+    while True:
+        labelled = graph.drop("kind").join(seeds.union(learned), "string")
         shares = labelled.groupBy("pattern", "kind").agg(F.count("*").alias("k"), F.max("n").alias("n"))
-        good = staged(
+        before, good = good, staged(
             shares.where(f"k >= {how.min_known} AND k >= {how.min_share}D * n")
             .select("pattern", "kind", F.expr("least(0.99D, k / n)").alias("share"))
         )
+        if before:
+            dropped(before)
         scored = graph.where("kind = 'other'").select("pattern", "string").join(good, "pattern")
         scored = scored.groupBy("string", "kind").agg(F.expr("1D - exp(sum(ln(1D - share)))").alias("score"))
         best = scored.where(f"score >= {how.min_score}D").groupBy("string").agg(
             F.expr("min_by(kind, named_struct('s', -score, 'k', kind))").alias("kind")
         )
-        new = staged(best)
-        now = new.count()
-        if now == count:
+        # what is known stays known with its kind, so the set only grows and the rounds end
+        new = staged(best.join(learned, "string", "left_anti"))
+        if new.isEmpty():
             break
-        count = now
-        known = graph.where("kind <> 'other'").select("string", "kind").distinct().union(new)
-    return (good, new) if count else None
+        older, learned = learned, staged(learned.union(new))
+        dropped(older)
+        dropped(new)
+    return (good, learned) if not learned.isEmpty() else None
 
 
 def find_pii(docs: DataFrame, text: str = "text", carry: list[str] | None = None, how: Bootstrap = DEFAULT) -> DataFrame:

@@ -84,6 +84,15 @@ def test_contexts_find_unseen_identifiers_and_redaction_replaces_spans(spark):
     assert red[50] == "my contact: [EMAIL] é" and red[0] == "please write to contact: [EMAIL] now" and red[51] == rows[-1][1]
 
 
+def test_rounds_follow_chains_of_contexts(spark):
+    # each word stands before identifiers that the word before it tells, and before a quarter as many new ones
+    sizes, heads = (640, 160, 40, 10, 2), ("contact:", "member", "handle", "alias")
+    groups = [[f"user{i}@mail.com" for i in range(640)]] + [[f"{'xabcd'[g]}-{70000 + i}" for i in range(sizes[g])] for g in range(1, 5)]
+    rows = [f"{head} {s}" for g, head in enumerate(heads) for s in groups[g] + groups[g + 1]] + ["other z-77777"]
+    found = pii.find_pii(spark.createDataFrame([(r,) for r in rows], "text string")).collect()
+    assert {r.text: [s.kind for s in r.spans] for r in found} == {r: ["email"] for r in rows[:-1]} | {rows[-1]: []}
+
+
 # near-duplicates
 def plain_fingerprint(text, n=3):
     from xxhash import xxh64_intdigest
