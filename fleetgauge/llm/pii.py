@@ -2,7 +2,7 @@
 
 The base patterns find e-mail addresses, IPv4 addresses, payment cards and phone numbers in whole texts. They are the seed entities
 of a graph between instances (strings that look like identifiers) and lexical patterns (the word before, the two words
-before, the word after; digits count as 0). In each round, a pattern is scored by the share of its distinct
+before, the word after, taken from the whole text around the span; digits count as 0). In each round, a pattern is scored by the share of its distinct
 instances that are known, an instance by the noisy-or of the good patterns that extract it; instances above a
 threshold become known, with the kind that speaks for them most, and stay so; rounds go on until no instance becomes known. At
 the end, an unseen identifier is reported where a good
@@ -79,19 +79,18 @@ BLOCK = 256  # matches whose places are added up one by one; texts with more are
 
 
 def _placed(matches: str, between: str, valid: str, kind: str) -> str:
-    """Matches that are valid as (kind, start, end, string, text before, text after).
+    """Matches that are valid as (kind, start, end, string).
 
     Places add up the lengths before them: within blocks of matches, then over blocks, so appending stays cheap when a text has
     tens of thousands of matches.
     """
-    span = "struct<kind:string,start:int,end:int,string:string,left:string,right:string>"
+    span = "struct<kind:string,start:int,end:int,string:string>"
     start = f"acc.at + length(element_at({between}, i + 1))"
     step = f"""
         named_struct('at', {start} + length(element_at({matches}, i + 1)), 'found',
           if({valid.format(f"element_at({matches}, i + 1)")}, array_append(acc.found, named_struct(
             'kind', {kind}, 'start', {start}, 'end', {start} + length(element_at({matches}, i + 1)),
-            'string', element_at({matches}, i + 1),
-            'left', right(element_at({between}, i + 1), {CONTEXT}), 'right', left(element_at({between}, i + 2), {CONTEXT}))), acc.found))"""
+            'string', element_at({matches}, i + 1))), acc.found))"""
     empty = f"cast(array() AS array<{span}>)"
     blocks = (
         f"transform(sequence(0, (size({matches}) - 1) div {BLOCK}), b -> aggregate("
@@ -99,11 +98,26 @@ def _placed(matches: str, between: str, valid: str, kind: str) -> str:
         f"named_struct('at', 0, 'found', {empty}), (acc, i) -> {step}))"
     )
     starts = "aggregate(blocks, named_struct('at', 0, 'starts', cast(array() AS array<int>)), (acc, x) -> named_struct('at', acc.at + x.at, 'starts', array_append(acc.starts, acc.at)), acc -> acc.starts)"
-    moved = "transform(x.found, s -> named_struct('kind', s.kind, 'start', s.start + at, 'end', s.end + at, 'string', s.string, 'left', s.left, 'right', s.right))"
+    moved = "transform(x.found, s -> named_struct('kind', s.kind, 'start', s.start + at, 'end', s.end + at, 'string', s.string))"
     whole = f"flatten(transform(array({blocks}), blocks -> flatten(zip_with(blocks, {starts}, (x, at) -> {moved}))))"
     return f"if(size({matches}) = 0, {empty}, {whole})"
 
 
+CHUNK = 256  # a text is cut into chunks of so many code points, so a context costs the same anywhere in a long text
+
+
+def _around(spans: str, chunks: str) -> str:
+    """Spans with the texts before and after them."""
+    chunk = f"coalesce(get({chunks}, {{0}}), '')"
+    before, own, after = (chunk.format(f"{{0}} div {CHUNK} {step}") for step in ("- 1", "", "+ 1"))
+    pair = f"concat({before.format('s.start')}, left({own.format('s.start')}, s.start % {CHUNK}))"
+    rest = f"substr(concat({own.format('s.end')}, {after.format('s.end')}), s.end % {CHUNK} + 1, {CONTEXT})"
+    return (
+        f"transform({spans}, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end, 'string', s.string, "
+        f"'left', right({pair}, {CONTEXT}), 'right', {rest}))"
+    )
+
+
 def with_base_spans(docs: DataFrame, text: str = "text", candidates: bool = True) -> DataFrame:
     """Add `_spans`, the base spans by kind and start, and `_others`, possible identifiers that touch none of them."""
     source = f"coalesce(`{text}`, '')"
@@ -121,9 +135,12 @@ def with_base_spans(docs: DataFrame, text: str = "text", candidates: bool = True
         # what ends a sentence is no part of the identifier
         core = "rtrim('._%+/-', o.string)"
         found = found.withColumn("_others", F.expr(
-            f"transform({free}, o -> named_struct('kind', o.kind, 'start', o.start, 'end', o.start + length({core}), "
-            f"'string', {core}, 'left', o.left, 'right', concat(substr(o.string, length({core}) + 1), o.right)))"
+            f"transform({free}, o -> named_struct('kind', o.kind, 'start', o.start, 'end', o.start + length({core}), 'string', {core}))"
         ))
+        some = "size(_spans) + size(_others) > 0"
+        columns["_chunks"] = F.expr(f"if({some}, regexp_extract_all({source}, '(?s).{{1,{CHUNK}}}', 0), array())")
+        found = found.withColumn("_chunks", columns["_chunks"])
+        found = found.withColumns({c: F.expr(_around(c, "_chunks")) for c in ("_spans", "_others")})
     return found.drop(*columns, *placed)
 
 

@@ -93,6 +93,14 @@ def test_rounds_follow_chains_of_contexts(spark):
     assert {r.text: [s.kind for s in r.spans] for r in found} == {r: ["email"] for r in rows[:-1]} | {rows[-1]: []}
 
 
+def test_contexts_reach_over_other_numbers(spark):
+    dated = [f"on 2024-05-{i % 28 + 1:02d} by: user{i}@mail.com" for i in range(20)] + [f"by: the by: {w}{i}-7000{i}" for i in range(10) for w in "pq"]
+    unit = [f"unit {i} user{i}@host.org" for i in range(20)]
+    rows = dated + unit + ["on 2024-05-01 by: user99123", "é" * 700 + " 4 unit 12 7750123", "7750124"]
+    found = pii.find_pii(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [[tuple(s) for s in r.spans] for r in found[-3:]] == [[("email", 18, 27)], [("email", 711, 718)], []]
+
+
 # near-duplicates
 def plain_fingerprint(text, n=3):
     from xxhash import xxh64_intdigest
