@@ -3,8 +3,8 @@
 A rule is a host and a path start; it fits its host and all subdomains if the url's path begins with the rule's, and
 the longest fitting rule decides. Urls without a rule are judged by trees trained here, on labelled urls: length, host length,
 depth, digit ratio, entropy of the characters, parameters, hyphens, and the share of blocked urls under the same last one and
-last two host labels. Training takes at most `max_labelled` urls, those with the least hashes (a documented bound); suffix
-shares come from the same sample, so the table that is joined to all urls has at most that many rows.
+last two host labels. Suffix shares count all distinct labelled urls; their tables are joined by size. The trees are fitted on at
+most `max_labelled` urls, those with the least hashes (a documented bound).
 
 Everything is DataFrame and SQL expressions and Spark's own tree learner. The host suffix shares are smoothed towards the overall
 share, so a suffix that training never saw gets that.
@@ -117,14 +117,13 @@ def with_features(parts: DataFrame, url: str = "url") -> DataFrame:
 
 
 class UrlModel:
-    """Trained trees and the suffix shares of their sample."""
+    """Trained trees and the suffix shares of all labelled urls."""
 
     def __init__(self, trees, one: DataFrame, two: DataFrame, prior: float, how: Trees):
         self.trees, self.one, self.two, self.prior, self.how = trees, one, two, prior, how
 
     def assembled(self, features: DataFrame) -> DataFrame:
-        # the sample's bound is the bound of the tables that are sent to all tasks
-        joined = features.join(F.broadcast(self.one), "_u_suffix", "left").join(F.broadcast(self.two), "_u_suffix_two", "left")
+        joined = features.join(self.one, "_u_suffix", "left").join(self.two, "_u_suffix_two", "left")
         joined = joined.fillna({"_u_last": self.prior, "_u_last_two": self.prior})
         return VectorAssembler(inputCols=list(FEATURES), outputCol="_u_features").transform(joined)
 
@@ -138,18 +137,20 @@ class UrlModel:
 
 def train(labelled: DataFrame, how: Trees = DEFAULT, url: str = "url", label: str = "label") -> UrlModel | None:
     """Trees from labelled urls (1: block, 0: allow); None if there are not both."""
-    sample = labelled.where(F.col(url).isNotNull() & F.col(label).isin(0, 1)).select(
+    known = labelled.where(F.col(url).isNotNull() & F.col(label).isin(0, 1)).select(
         F.col(url).alias("url"), F.col(label).cast("double").alias("_u_label")
     )
-    sample = bounded_sample(staged(sample.distinct()), F.xxhash64("url"), how.max_labelled)
+    known = staged(known.distinct())
+    sample = bounded_sample(known, F.xxhash64("url"), how.max_labelled)
     sample = staged(with_features(with_parts(sample, ()), "url").drop("url", "path", "rule", "_u_rule"))
-    kinds, prior = sample.agg(F.count_distinct("_u_label"), F.avg("_u_label")).first()
-    if kinds < 2:
+    if sample.select("_u_label").distinct().count() < 2:
         return None
+    prior = known.agg(F.avg("_u_label")).first()[0]
+    every = with_features(with_parts(known, ()), "url")
 
     def shares(suffix: str, name: str) -> DataFrame:
         smooth = (F.sum("_u_label") + F.lit(how.smoothing * prior)) / (F.count("*") + F.lit(how.smoothing))
-        return staged(sample.groupBy(suffix).agg(smooth.alias(name)))
+        return staged(every.groupBy(suffix).agg(smooth.alias(name)))
 
     model = UrlModel(None, shares("_u_suffix", "_u_last"), shares("_u_suffix_two", "_u_last_two"), prior, how)
     learner = GBTClassifier(

@@ -313,6 +313,15 @@ def test_url_parts_rules_and_trees(spark):
     assert {r.verdict for r in urls.filter_urls(odd, (), None).collect()} == {"allow"}
 
 
+def test_suffix_shares_count_all_labelled_urls(spark):
+    rows = [(f"http://www.host{i % 150}.org/{i}", int(i % 150 < 50)) for i in range(600)]
+    model = urls.train(spark.createDataFrame(rows, "url string, label int"), urls.Trees(max_labelled=40, rounds=1))
+    assert model.prior == pytest.approx(1 / 3)
+    assert {r._u_suffix_two: r._u_last_two for r in model.two.collect()} == {
+        f"host{i}.org": pytest.approx((4 * (i < 50) + 20 / 3) / 24) for i in range(150)
+    }
+
+
 def test_neighbours_recall_ties_and_odd_vectors(spark):
     random_ = np.random.default_rng(1)
     data = random_.normal(size=(1_500, 16)).round(3)
