@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetgauge.llm import bpe, html_text, lines, neighbours, packing, pii, quality, simhash, substring, urls
+from fleetgauge.llm import bpe, html_text, lexical, lines, neighbours, packing, periodic, pii, quality, simhash, substring, urls, warc
 from fleetgauge.llm.common import table
+from fleetgauge.session import removed_at_exit, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,9 +92,46 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, folder, "benchmark"), table(spark, folder, "documents"))
+
+
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages, place = table(spark, folder, "pages"), f"{shared_folder(spark)}/llm/warc-{uuid.uuid4().hex}"
+    removed_at_exit(spark, place)
+    index = warc.write_archives(pages, place)
+    found = warc.read_records(index, pages.schema["page_id"].dataType.simpleString(), payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the documents, by a checksum of their id, go on with their last part repeated."""
+    words = "regexp_extract_all(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)"
+    chosen = docs.selectExpr("doc_id", "text", "crc32(cast(cast(doc_id AS string) AS binary)) AS h").selectExpr(
+        "doc_id", "text", f"CASE WHEN h % 10 = 0 THEN {words} END AS words", "h div 10 AS g"
+    )
+    placed = chosen.selectExpr("*", "if(size(words) > 0, size(words), NULL) AS n").selectExpr("*", "cast(g % n AS int) AS a")
+    placed = placed.selectExpr("*", "cast(1 + (n - a) div (3 + g % 8) AS int) AS p")
+    tail = "slice(flatten(array_repeat(slice(words, a + 1, p), cast(ceil((n - a) / p) AS int))), 1, n - a)"
+    return placed.selectExpr("doc_id", f"if(n IS NULL, text, concat_ws(' ', slice(words, 1, a), {tail})) AS text")
+
+
+def op13_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.find_runs(with_planted_periods(table(spark, folder, "documents").select("doc_id", "text")))
+    longest = "array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))"
+    listed = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')"
+    return found.selectExpr("*", f"{longest} AS best", f"{listed} AS listed").selectExpr(
+        "doc_id", "cast(size(runs) AS long) AS n_runs", "-best.start AS start", "best.length AS length", "-best.period AS period",
+        "1000 * best.length div -best.period AS exponent_milli", "sha2(listed, 256) AS runs_sha256", "sha2(collapsed, 256) AS collapsed_sha256",
+    )
+
+
 LLM_QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_pii, op2_simhash, op3_bpe, op4_html, op5_substring, op6_quality, op7_lines, op8_urls, op9_neighbours, op10_packing)
+    for f in (
+        op1_pii, op2_simhash, op3_bpe, op4_html, op5_substring, op6_quality, op7_lines, op8_urls, op9_neighbours, op10_packing,
+        op11_search, op12_warc, op13_periodic,
+    )
 }
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -165,6 +204,31 @@ LLM_ORACLE: dict[str, str] = {
                (NOT base_failed AND (n_words < {quality.DEFAULT.min_words} OR (coalesce(c.d, 0) <= {quality.DEFAULT.max_char_distance}
                 AND coalesce(w.d, 0) <= {quality.DEFAULT.max_word_distance}))) AS kept
         FROM judged j LEFT JOIN char_distance c ON j.doc_id = c.doc_id LEFT JOIN word_distance w ON j.doc_id = w.doc_id""",
+    "op11_search": rf"""
+        WITH words AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format('text')}, '{lexical.TERM}')) AS term FROM documents),
+        counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+        sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counts GROUP BY doc_id),
+        totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+        asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER.format('text')}, '{lexical.TERM}')) AS term FROM benchmark),
+        found AS (SELECT c.* FROM counts c SEMI JOIN asked a ON c.term = a.term),
+        weights AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+                    FROM (SELECT term, count(*) AS df FROM found GROUP BY term), totals),
+        impacts AS (SELECT f.doc_id, f.term, (1000000000 * f.tf) // (1000 * f.tf + 20 * (50 + (50 * s.n * t.docs) // t.terms)) AS impact
+                    FROM found f JOIN sizes s ON f.doc_id = s.doc_id, totals t),
+        scores AS (SELECT a.item_id, i.doc_id, sum(w.w * i.impact)::BIGINT AS score
+                   FROM asked a JOIN weights w ON a.term = w.term JOIN impacts i ON a.term = i.term GROUP BY a.item_id, i.doc_id)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+        WHERE rank <= 50""",
+    "op12_warc": """
+        WITH payloads AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+        kept AS (SELECT hex, max(page_id) AS page_id FROM payloads GROUP BY hex),
+        digits AS (SELECT hex, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(hex, 10 * k + 1, 10))::BIGINT >> (35 - 5 * j) & 31)::INTEGER + 1, 1),
+                                          '' ORDER BY k, j) AS digest
+                   FROM kept, range(0, 4) a(k), range(0, 8) b(j) GROUP BY hex)
+        SELECT p.page_id, payload_bytes, digest AS payload_digest, if(k.page_id = p.page_id, 'response', 'revisit') AS record_type,
+               if(k.page_id = p.page_id, NULL, k.page_id) AS refers_to
+        FROM payloads p JOIN kept k ON p.hex = k.hex JOIN digits d ON p.hex = d.hex""",
     "op7_lines": f"""
         WITH pages AS (SELECT DISTINCT source, text FROM documents),
         lines AS (SELECT DISTINCT source, text, trim(line, ' ' || chr(9) || chr(13)) AS line
