@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetgauge.config import DEFAULT, SensorConfig
+from fleetgauge.sources.landing import BAD_LINE, NAMES
 
 
 def quarantine_reason(df: DataFrame, cfg: SensorConfig = DEFAULT) -> Column:
-    """Why a raw row cannot be trusted, or NULL."""
+    """Why a raw row cannot be trusted, or NULL. Values of columns that only the file has are no fault of the row."""
     reason = F.when(F.col(cfg.key).isNull(), F.lit("no device")).when(
         F.col(cfg.time).isNull(), F.lit("no time")
     )
     if cfg.rescued in df.columns:
-        reason = reason.when(F.col(cfg.rescued).isNotNull(), F.lit("unparsed value"))
+        own = F.array(*[F.lit(name) for name in (*NAMES, BAD_LINE)])
+        unparsed = F.arrays_overlap(F.json_object_keys(cfg.rescued), own)
+        reason = reason.when(unparsed, F.lit("unparsed value"))
     return reason
 
 

@@ -4,8 +4,9 @@ Bronze lies at `feed=<feed>/ingest_batch=<n>/date=<day>`. A batch is always writ
 it again after a crash replaces it. The ledger lists every file version already in bronze; a file changed
 in place shows up with a new time or size and is read again. The copies this leaves are dropped by dedupe.
 
-A file whose header is not the schema's is refused: it goes to the `refused_files` table with its reason and
-to the ledger, and the other files of its batch are read. A corrected file is a new version and is read.
+Columns are found by the names in each file's header. A file whose header names no column of the schema, or one twice,
+is refused: it goes to the `refused_files` table with its reason and to the ledger, and the other files of its batch are
+read. A corrected file is a new version and is read.
 """
 
 from __future__ import annotations
@@ -20,9 +21,8 @@ from fleetgauge.config import DEFAULT, SensorConfig
 from fleetgauge.functions.quality import with_day
 from fleetgauge.session import require_utc
 from fleetgauge.plans.staging import Staging
-from fleetgauge.sources.landing import (
-    FILE_SIZE, FILE_TIME, VERSION, landing_versions, read_landing, refused_files,
-)
+from fleetgauge.sources.headers import file_layouts
+from fleetgauge.sources.landing import BAD_LINE, FILE_SIZE, FILE_TIME, NAMES, VERSION, landing_versions, read_by_name
 from fleetgauge.sources.layers import BRONZE, Layers, packed
 
 _LOG = logging.getLogger(__name__)
@@ -118,7 +118,7 @@ def take_files(
     paths = {row["_source_file"]: row["path"] for row in versions.select("_source_file", "path").collect()}
     if not paths:
         return
-    found = refused_files(spark, list(paths.values())).collect()
+    layouts, found = file_layouts(spark, paths, NAMES, [BAD_LINE])
     refused = spark.createDataFrame(found, "_source_file string, header string, reason string")
     (
         versions.drop("path").join(refused, "_source_file")
@@ -127,11 +127,10 @@ def take_files(
         .write.mode("overwrite")
         .parquet(f"{layers.path(REFUSED)}/feed={feed}/ingest_batch={batch}")
     )
-    for row in found:
-        _LOG.warning("refused %s: %s", row["_source_file"], row["reason"])
-        del paths[row["_source_file"]]
-    rows = read_landing(spark, list(paths.values()), cfg) if paths else no_readings(spark, cfg)
-    write_batch(rows, layers, feed, batch, cfg)
+    for name, _, reason in found:
+        _LOG.warning("refused %s: %s", name, reason)
+    rows = read_by_name(spark, paths, layouts, cfg)
+    write_batch(no_readings(spark, cfg) if rows is None else rows, layers, feed, batch, cfg)
     record_versions(versions, layers, feed, batch)
 
 

@@ -266,7 +266,14 @@ WHERE _reason IS NOT NULL"""),
 ORACLE |= {
     "ledger_ingest": _sql([_READINGS, _NUMBERED], """
 SELECT * EXCLUDE (event_id), true AS has_file FROM typed
-UNION ALL SELECT * EXCLUDE (event_id), true FROM typed WHERE event_id % 3 = 0"""),
+UNION ALL SELECT * EXCLUDE (event_id), true FROM typed WHERE event_id % 3 = 0
+UNION ALL SELECT * EXCLUDE (event_id), true FROM typed WHERE event_id % 5 = 0
+UNION ALL SELECT * EXCLUDE (event_id) REPLACE (
+    NULL::DOUBLE AS wind_speed, NULL::INTEGER AS wind_direction,
+    '{' || concat_ws(',', CASE WHEN event_id % 211 = 0 THEN '"timestamp":"bad"' END,
+                     CASE WHEN event_id % 307 = 0 THEN '"turbine_id":"T-7"' END,
+                     CASE WHEN event_id % 223 = 0 THEN '"power_output":"n/a"' END, '"gear_temp":"80"') || '}' AS _rescued_data),
+  true FROM typed WHERE event_id % 7 = 0"""),
     "silver_clean_default": ORACLE["silver_clean"],
     "forward_fill_busy_days": ORACLE["forward_fill"],
     "silver_full_build": _silver("SELECT * EXCLUDE (event_id) FROM silver"),

@@ -111,17 +111,20 @@ def landing_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ledger_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """Bronze after two ingests: events in two nested folders, one of them replaced in between, beside files that are
-    refused for the order of their columns. The replaced files' rows are in bronze twice, as delivered."""
+    """Bronze after two ingests: events in two nested folders, one of them replaced in between; files with other columns,
+    or with the same in another order; and files refused for holding none of the schema's columns. The replaced files' rows are in
+    bronze twice, as delivered."""
     landing, layers = _scratch(spark, "landing"), Layers(_scratch(spark, "ingest"))
     with utc(spark):
         def deliver(rows: str, name: str, *columns: str) -> None:
             text = event_text(spark, folder, rows).drop("_line")
-            text.select(*columns or text.columns).write.mode("overwrite").option("header", "true").csv(f"{landing}/{name}")
+            text.selectExpr(*columns or text.columns).write.mode("overwrite").option("header", "true").csv(f"{landing}/{name}")
 
         deliver("event_id % 3 <> 0", "first/files")
         deliver("event_id % 3 = 0", "second")
         deliver("event_id % 5 = 0", "shifted", "turbine_id", "timestamp", "wind_speed", "wind_direction", "power_output")
+        deliver("event_id % 7 = 0", "wide", "'80' AS gear_temp", "timestamp", "turbine_id", "power_output AS Power_Output", "string(NULL) AS spare")
+        deliver("event_id % 11 = 0", "foreign", "wind_speed AS a", "power_output AS b")
         ingest_files(spark, layers, landing, HOURLY)
         deliver("event_id % 3 = 0", "second")
         ingest_files(spark, layers, landing, HOURLY)

@@ -152,31 +152,95 @@ def test_batch_and_stream_read_every_file_whatever_its_name(spark, tmp_path):
     assert [str(r.timestamp) for r in read_bronze(spark, other).orderBy("timestamp").collect()] == hours
 
 
-def test_a_file_with_another_header_is_refused_alone(spark, tmp_path):
+def test_columns_are_found_by_name(spark, tmp_path):
     from fleetgauge.plans.ingest import refused
 
     folder = tmp_path / "landing"
     write(folder, "good.csv", ["2022-03-01 00:00:00,7,1.0,1,1.0"])
-    write(folder, "shifted.csv", ["7,2022-03-01 01:00:00,1.0,1,1.0"], "turbine_id,timestamp,wind_speed,wind_direction,power_output")
-    write(folder, "long.csv", ["2022-03-01 02:00:00,7,1.0,1,1.0,x"], HEADER + ",more")
+    write(folder, "shifted.csv", ["7,2022-03-01 01:00:00,1.5,2,2.5", "x7,bad,1.5,2,2.5"], "turbine_id,timestamp,wind_speed,wind_direction,power_output")
+    write(folder, "more.csv", ["80,2022-03-01 02:00:00,7,1.0,1,3.0,x", ",2022-03-01 02:30:00,7,1.0,1,3.0,", "1,2"], f"gear_temp,{HEADER},more")
+    write(folder, "less.csv", ["2022-03-01 03:00:00,7", "2022-03-01 03:30:00,7,9"], "timestamp,turbine_id")
+    write(folder, "spaced.csv", ["2022-03-01 04:00:00, 7,1.0, 1,1.0"], HEADER.replace(",", ", "))
+    write(folder, "quoted.csv", ["2022-03-01 05:00:00,7,1.0,1,1.0"], HEADER.replace("timestamp", '"Timestamp"'))
+    write(folder, "commas.csv", ['2022-03-01 06:00:00,7,"1,5"'], 'timestamp,turbine_id,"gear, left"')
+    write(folder, "odd.csv", ["2022-03-01 07:00:00,7,a,b,c,d,e"], "timestamp,turbine_id,,t,t,_line,T")
+    (folder / "bom.csv").write_bytes(f"\ufeff{HEADER}\n2022-03-01 08:00:00,7,1.0,1,1.0\n".encode())
     (folder / "nothing.csv").write_bytes(b"")
-    (folder / "late.csv").write_bytes(f"\n{HEADER}\n2022-03-01 00:00:00,7,1.0,1,1.0\n".encode())
-    write(folder, "spaced.csv", ["2022-03-01 02:00:00,7,1.0,1,1.0"], HEADER.replace(",", ", "))
-    write(folder, "quoted.csv", ["2022-03-01 02:00:00,7,1.0,1,1.0"], HEADER.replace("timestamp", '"Timestamp"'))
+    (folder / "blank.csv").write_bytes(b"\n \r\n")
+    (folder / "late.csv").write_bytes(f"\n{HEADER}\n2022-03-01 09:00:00,7,1.0,1,1.0\n".encode())
+    write(folder, "twice.csv", ["2022-03-01 00:00:00,7,8"], "timestamp,turbine_id,Turbine_ID")
+    write(folder, "bare.csv", ["2022-03-01 00:00:00,7,1.0,1,1.0"], "2022-03-01 00:00:00,7,1.0,1,1.0")
+    (folder / "broken.csv.gz").write_bytes(b"not packed")
     batch, stream = Layers(str(tmp_path / "batch")), Layers(str(tmp_path / "stream"))
     assert ingest_files(spark, batch, str(folder)) == 1
     start_feed(spark, stream, str(folder), clean=False).awaitTermination()
+    found = {}
     for lake in (batch, stream):
-        assert [r.turbine_id for r in read_bronze(spark, lake).collect()] == [7, 7, 7]
-        names = {r._source_file.rsplit("/", 1)[1]: r for r in refused(spark, lake).collect()}
-        assert set(names) == {"shifted.csv", "long.csv", "spaced.csv"}
-        assert names["shifted.csv"].header.startswith("turbine_id,timestamp") and names["long.csv"].reason
+        rows = read_bronze(spark, lake).orderBy("_source_file", "timestamp", "turbine_id", "_rescued_data").collect()
+        found[lake] = [(r._source_file.rsplit("/", 1)[1], r.timestamp and str(r.timestamp)[11:16], r.turbine_id, r.power_output,
+                        r._rescued_data and json.loads(r._rescued_data)) for r in rows]
+        assert {r._source_file.rsplit("/", 1)[1]: r.reason for r in refused(spark, lake).collect()} == {
+            "twice.csv": "column turbine_id occurs twice", "bare.csv": "no column of the schema in the first line", "broken.csv.gz": "cannot be read",
+        }
+    assert found[batch] == found[stream] == [
+        ("bom.csv", "08:00", 7, 1.0, None),
+        ("commas.csv", "06:00", 7, None, {"gear, left": "1,5"}),
+        ("good.csv", "00:00", 7, 1.0, None),
+        ("late.csv", "09:00", 7, 1.0, None),
+        ("less.csv", "03:00", 7, None, None),
+        ("less.csv", "03:30", 7, None, {"_line": "2022-03-01 03:30:00,7,9"}),
+        ("more.csv", None, None, None, {"timestamp": "2", "gear_temp": "1", "_line": "1,2"}),
+        ("more.csv", "02:00", 7, 3.0, {"gear_temp": "80", "more": "x"}),
+        ("more.csv", "02:30", 7, 3.0, None),
+        ("odd.csv", "07:00", 7, None, {"_c2": "a", "t": "b", "t_4": "c", "_line_5": "d", "T": "e"}),
+        ("quoted.csv", "05:00", 7, 1.0, None),
+        ("shifted.csv", None, None, 2.5, {"timestamp": "bad", "turbine_id": "x7"}),
+        ("shifted.csv", "01:00", 7, 2.5, None),
+        ("spaced.csv", "04:00", 7, 1.0, None),
+    ]
     assert ingest_files(spark, batch, str(folder)) == 0
 
     # A corrected file is a new version and is read.
-    write(folder, "shifted.csv", ["2022-03-01 01:00:00,7,1.0,1,1.0", "2022-03-01 03:00:00,7,1.0,1,1.0"])
+    write(folder, "twice.csv", ["2022-03-01 01:00:00,7,1.0,1,1.0", "2022-03-01 03:00:00,7,1.0,1,1.0"])
     assert ingest_files(spark, batch, str(folder)) == 1
-    assert read_bronze(spark, batch).count() == 5
+    assert read_bronze(spark, batch).count() == 16
+
+
+def test_the_text_is_parsed_once_and_not_shuffled(spark, tmp_path):
+    from fleetgauge.sources.headers import file_layouts
+    from fleetgauge.sources.landing import BAD_LINE, NAMES, landing_versions, read_by_name
+
+    folder = tmp_path / "landing"
+    for n in range(6):
+        write(folder, f"{n}.csv", [",".join(str(n) for _ in range(5 + n % 3))], ",".join([HEADER, *"xy"][: 1 + n % 3]))
+    paths = {r._source_file: r.path for r in landing_versions(spark, str(folder)).collect()}
+    layouts, refused = file_layouts(spark, paths, NAMES, [BAD_LINE])
+    assert len(layouts) == 6 and refused == []
+    plan = read_by_name(spark, paths, layouts)._jdf.queryExecution().executedPlan().toString()
+    # one scan for the schema's own header, one for each other number of columns; the places come by broadcast
+    assert plan.count("FileScan csv") == 3 and plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
+def test_what_arrow_cannot_open_is_read_by_spark(spark, tmp_path, monkeypatch):
+    from fleetgauge.sources import headers
+
+    write(tmp_path / "landing", "a.csv", ["2022-03-01 00:00:00,7"], "timestamp,turbine_id")
+    real = headers.file_heads
+    monkeypatch.setattr(headers, "file_heads", lambda files: real(files).selectExpr(
+        "_source_file", "string(NULL) AS header", "string(NULL) AS problem", "false AS opened"))
+    lake = Layers(str(tmp_path / "lake"))
+    ingest_files(spark, lake, str(tmp_path / "landing"))
+    assert [r.turbine_id for r in read_bronze(spark, lake).collect()] == [7]
+
+
+def test_a_first_line_without_end_is_refused(spark, tmp_path):
+    from fleetgauge.sources.headers import file_heads
+
+    (tmp_path / "long.csv").write_bytes(b"x" * 300_000 + b"\n")
+    files = spark.createDataFrame([(f"file://{tmp_path}/long.csv",)], "_source_file string")
+    row = file_heads(files, 100_000).first()
+    assert row.problem == "first line longer than 100000 bytes" and row.opened and len(row.header) == 200
+    assert len(file_heads(files).first().header) == 300_000
 
 
 def test_only_refused_files_leave_an_empty_batch(spark, tmp_path, layers):
