@@ -156,17 +156,23 @@ def ingest_files(
     The folder is listed once. The work list is written, cut into parts of at most `files_per_batch` files; one part at
     a time passes through the driver, besides Spark's own listing.
     """
+    return take_pending(spark, layers, pending_versions(spark, layers, landing), FILES, cfg, files_per_batch)
+
+
+def take_pending(
+    spark: SparkSession, layers: Layers, versions: DataFrame, feed: str, cfg: SensorConfig = DEFAULT, files_per_batch: int = 10_000
+) -> int:
+    """Bring the file versions into bronze, in batches of at most `files_per_batch` files; returns their number."""
     with Staging(spark, layers) as staging:
-        pending = staging.keep(pending_versions(spark, layers, landing), "pending")
+        pending = staging.keep(versions, "pending")
         files = pending.count()
         if not files:
             return 0
         work = staging.keep(_in_parts(pending, files, files_per_batch), "work", by="part")
         parts = [row["part"] for row in work.select("part").distinct().orderBy("part").collect()]
-        first = next_batch(spark, layers)
+        first = next_batch(spark, layers, feed)
         for number, part in enumerate(parts):
-            versions = work.filter(F.col("part") == part).drop("part")
-            take_files(spark, layers, versions, FILES, first + number, cfg)
+            take_files(spark, layers, work.filter(F.col("part") == part).drop("part"), feed, first + number, cfg)
     return len(parts)
 
 

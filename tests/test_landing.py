@@ -269,7 +269,97 @@ def test_a_stream_with_a_new_checkpoint_keeps_the_old_batches(spark, tmp_path, l
     landing = tmp_path / "landing"
     write(landing, "a.csv", ["2022-03-01 00:00:00,1,1.0,1,2.5"])
     start_feed(spark, layers, str(landing), clean=False).awaitTermination()
-    shutil.move(f"{layers.base}/state/turbine_data/feed_checkpoint", str(tmp_path / "old_checkpoint"))
+    shutil.move(f"{layers.base}/state/turbine_data/changes_checkpoint", str(tmp_path / "old_checkpoint"))
     write(landing, "b.csv", ["2022-03-01 00:00:00,2,1.0,1,2.5"])
     start_feed(spark, layers, str(landing), clean=False).awaitTermination()
     assert sorted(r.turbine_id for r in read_bronze(spark, layers).collect()) == [1, 2]
+
+
+def streamed(spark, lake, folder):
+    start_feed(spark, lake, str(folder), clean=False).awaitTermination()
+    return sorted(r.power_output for r in read_bronze(spark, lake).collect())
+
+
+def test_the_stream_takes_a_file_that_was_replaced(spark, tmp_path, layers):
+    landing = tmp_path / "landing"
+    write(landing, "a.csv", ["2022-03-01 00:00:00,1,1.0,1,2.5"])
+    write(landing, "b.csv", ["2022-03-01 00:00:00,2,1.0,1,7.5"])
+    assert streamed(spark, layers, landing) == [2.5, 7.5]
+    assert streamed(spark, layers, landing) == [2.5, 7.5]
+    # same name and size, another time
+    write(landing, "a.csv", ["2022-03-01 00:00:00,1,1.0,1,3.5"])
+    os.utime(landing / "a.csv", (2_000_000_000, 2_000_000_000))
+    assert streamed(spark, layers, landing) == [2.5, 3.5, 7.5]
+    # an older time than all others, and more rows
+    write(landing, "a.csv", ["2022-03-01 00:00:00,1,1.0,1,4.5", "2022-03-01 01:00:00,1,1.0,1,5.5"])
+    os.utime(landing / "a.csv", (1_000_000_000, 1_000_000_000))
+    assert streamed(spark, layers, landing) == [2.5, 3.5, 4.5, 5.5, 7.5]
+    # both entries write one ledger
+    assert ingest_files(spark, layers, str(landing)) == 0
+    write(landing, "c.csv", ["2022-03-01 00:00:00,3,1.0,1,9.5"])
+    assert ingest_files(spark, layers, str(landing)) == 1
+    assert streamed(spark, layers, landing) == [2.5, 3.5, 4.5, 5.5, 7.5, 9.5]
+    (landing / "b.csv").rename(landing / "_b.csv")
+    assert streamed(spark, layers, landing) == [2.5, 3.5, 4.5, 5.5, 7.5, 9.5]
+
+
+def test_a_batch_that_failed_is_taken_by_the_next_run(spark, tmp_path, layers, monkeypatch):
+    from fleetgauge.plans import ingest
+
+    landing = tmp_path / "landing"
+    write(landing, "a.csv", ["2022-03-01 00:00:00,1,1.0,1,2.5"])
+    real = ingest.record_versions
+    monkeypatch.setattr(ingest, "record_versions", lambda *a: 1 / 0)
+    with pytest.raises(Exception, match="division by zero"):
+        streamed(spark, layers, landing)
+    monkeypatch.setattr(ingest, "record_versions", real)
+    assert streamed(spark, layers, landing) == [2.5]
+
+
+def test_a_running_stream_looks_again(spark, tmp_path, layers):
+    import time
+
+    landing = tmp_path / "landing"
+    write(landing, "a.csv", ["2022-03-01 00:00:00,1,1.0,1,2.5"])
+    query = start_feed(spark, layers, str(landing), clean=False, every="1 second")
+    try:
+        def seen(n):
+            for _ in range(240):
+                if layers.exists(spark, BRONZE) and read_bronze(spark, layers).count() == n:
+                    return True
+                time.sleep(0.25)
+
+        assert seen(1)
+        write(landing, "a.csv", ["2022-03-01 00:00:00,1,1.0,1,2.5", "2022-03-01 01:00:00,1,1.0,1,3.5"])
+        assert seen(3)
+    finally:
+        query.stop()
+
+
+def test_a_store_that_arrow_cannot_list_is_streamed_by_spark(spark, tmp_path, layers, monkeypatch):
+    from fleetgauge.streaming import feed
+
+    monkeypatch.setattr(feed, "arrow_opens", lambda uri: False)
+    write(tmp_path / "landing", "a.csv", ["2022-03-01 00:00:00,1,1.0,1,2.5"])
+    assert streamed(spark, layers, tmp_path / "landing") == [2.5]
+    write(tmp_path / "landing", "b.csv", ["2022-03-01 00:00:00,1,1.0,1,3.5"])
+    assert streamed(spark, layers, tmp_path / "landing") == [2.5, 3.5]
+
+
+def test_the_state_of_a_folder(tmp_path):
+    from fleetgauge.streaming.changes import arrow_opens, folder_state
+
+    def state():
+        return folder_state(f"file://{tmp_path}/in")
+
+    assert state() == {"files": 0, "digest": "0" * 32} and not arrow_opens("nowhere://x/y")
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    (tmp_path / "in" / "deep" / "a.csv").write_text("x")
+    (tmp_path / "in" / "b 100%.csv").write_text("y")
+    first = state()
+    assert first["files"] == 2
+    for name in ("_c.csv", ".d.csv", "e.csv._COPYING_"):
+        (tmp_path / "in" / name).write_text("z")
+    assert state() == first
+    os.utime(tmp_path / "in" / "b 100%.csv", (5, 5))
+    assert state()["files"] == 2 and state() != first
