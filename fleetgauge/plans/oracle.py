@@ -274,6 +274,34 @@ UNION ALL SELECT * EXCLUDE (event_id) REPLACE (
                      CASE WHEN event_id % 307 = 0 THEN '"turbine_id":"T-7"' END,
                      CASE WHEN event_id % 223 = 0 THEN '"power_output":"n/a"' END, '"gear_temp":"80"') || '}' AS _rescued_data),
   true FROM typed WHERE event_id % 7 = 0"""),
+    "contract": _silver("""
+SELECT rule, kind, checked::BIGINT AS checked, coalesce(failed, 0)::BIGINT AS failed, allowed_share::DOUBLE AS allowed_share,
+       coalesce(failed, 0) <= allowed_share * checked AS passed FROM (
+  SELECT 'power_known' AS rule, 'row' AS kind, count(*) AS checked, count(*) FILTER (power_output IS NULL) AS failed, 0.0 AS allowed_share FROM silver
+  UNION ALL SELECT 'speed_possible', 'row', count(*), count(*) FILTER (wind_speed_was_invalid), 0.05 FROM silver
+  UNION ALL SELECT 'one_row_a_reading', 'unique', count(*), count(*) - count(DISTINCT (turbine_id, "timestamp")), 0.0
+    FROM silver WHERE turbine_id IS NOT NULL AND "timestamp" IS NOT NULL
+  UNION ALL SELECT 'one_row_a_day', 'unique', count(*), count(*) - count(DISTINCT (turbine_id, date)), 0.0
+    FROM silver WHERE turbine_id IS NOT NULL AND date IS NOT NULL
+  UNION ALL SELECT 'rated', 'reference', count(*), count(*) FILTER (turbine_id NOT IN (SELECT s_suppkey + 1 FROM supplier)), 0.0 FROM silver
+  UNION ALL SELECT 'mostly_rated', 'reference', count(*), count(*) FILTER (turbine_id NOT IN (SELECT s_suppkey + 1 FROM supplier)), 0.9 FROM silver
+  UNION ALL SELECT 'seen_within_the_hour', 'fresh', count(*), count(*) FILTER (last < (SELECT max("timestamp") FROM silver) - INTERVAL 1 HOUR), 0.0
+    FROM (SELECT max("timestamp") AS last FROM silver GROUP BY turbine_id)
+  UNION ALL SELECT 'seen_in_this_century', 'fresh', count(*), count(*) FILTER (last < TIMESTAMP '2000-01-01'), 0.0
+    FROM (SELECT max("timestamp") AS last FROM silver GROUP BY turbine_id)
+  UNION ALL SELECT 'seldom_filled', 'share', count(*), count(*) FILTER (bad > 0.02::DOUBLE * n), 0.0
+    FROM (SELECT count(*) AS n, count(*) FILTER (power_output_was_imputed) AS bad FROM silver GROUP BY turbine_id)
+  UNION ALL SELECT 'not_all_filled', 'share', count(*), count(*) FILTER (bad > 0.5::DOUBLE * n), 0.2
+    FROM (SELECT count(*) AS n, count(*) FILTER (power_output_was_imputed) AS bad FROM silver GROUP BY turbine_id, date)
+  UNION ALL SELECT 'any_rows', 'volume', 1, (count(*) < 1)::INTEGER, 0.0 FROM silver
+  UNION ALL SELECT 'very_many_rows', 'volume', 1, (count(*) < 1000000000000)::INTEGER, 0.0 FROM silver)"""),
+    "contract_breaches": _silver("""
+SELECT turbine_id, "timestamp", concat_ws(',', CASE WHEN power_output IS NULL THEN 'power_known' END,
+    CASE WHEN wind_speed_was_invalid THEN 'speed_possible' END,
+    CASE WHEN count(*) OVER (PARTITION BY turbine_id, "timestamp") > 1 THEN 'one_row_a_reading' END,
+    CASE WHEN count(*) OVER (PARTITION BY turbine_id, date) > 1 THEN 'one_row_a_day' END,
+    CASE WHEN turbine_id NOT IN (SELECT s_suppkey + 1 FROM supplier) THEN 'rated,mostly_rated' END) AS broken
+FROM silver QUALIFY broken <> ''"""),
     "silver_clean_default": ORACLE["silver_clean"],
     "forward_fill_busy_days": ORACLE["forward_fill"],
     "silver_full_build": _silver("SELECT * EXCLUDE (event_id) FROM silver"),

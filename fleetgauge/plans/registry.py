@@ -13,6 +13,7 @@ from fleetgauge.config import DEFAULT
 from fleetgauge.functions.quality import with_day
 from fleetgauge.operators.anomalies import day_stats, flag_anomalies, flag_anomalies_windowed
 from fleetgauge.operators.clean import clean_readings, flagged_readings
+from fleetgauge.operators.contract import breaking_rows, check_contract, read_contract
 from fleetgauge.operators.dedupe import dedupe_readings
 from fleetgauge.operators.fill import busy_days, fill_whole_history, forward_fill
 from fleetgauge.operators.flags import flag_with_capacity
@@ -210,6 +211,32 @@ def chart_feed_from_tables(spark: SparkSession, folder: str) -> DataFrame:
         return _rounded(_plain_times(feed), "avg_power_output")
 
 
+# Each kind of rule twice, held and broken.
+CONTRACT = """{"rules": [
+  {"kind": "row", "name": "power_known", "predicate": "power_output IS NOT NULL"},
+  {"kind": "row", "name": "speed_possible", "predicate": "NOT wind_speed_was_invalid", "allowed_share": 0.05},
+  {"kind": "unique", "name": "one_row_a_reading", "columns": ["turbine_id", "timestamp"]},
+  {"kind": "unique", "name": "one_row_a_day", "columns": ["turbine_id", "date"]},
+  {"kind": "reference", "name": "rated", "columns": ["turbine_id"], "table": "capacity"},
+  {"kind": "reference", "name": "mostly_rated", "columns": ["turbine_id"], "table": "capacity", "allowed_share": 0.9},
+  {"kind": "fresh", "name": "seen_within_the_hour", "column": "timestamp", "seconds": 3600, "by": ["turbine_id"]},
+  {"kind": "fresh", "name": "seen_in_this_century", "column": "timestamp", "seconds": 86400, "by": ["turbine_id"], "as_of": "2000-01-02 00:00:00"},
+  {"kind": "share", "name": "seldom_filled", "predicate": "NOT power_output_was_imputed", "most": 0.02, "by": ["turbine_id"]},
+  {"kind": "share", "name": "not_all_filled", "predicate": "NOT power_output_was_imputed", "most": 0.5, "by": ["turbine_id", "date"], "allowed_share": 0.2},
+  {"kind": "volume", "name": "any_rows", "least": 1},
+  {"kind": "volume", "name": "very_many_rows", "least": 1000000000000}
+]}"""
+
+
+def contract(spark: SparkSession, folder: str) -> DataFrame:
+    return check_contract(_silver(spark, folder), read_contract(CONTRACT), {"capacity": _capacity(spark, folder)})
+
+
+def contract_breaches(spark: SparkSession, folder: str) -> DataFrame:
+    found = breaking_rows(_silver(spark, folder), read_contract(CONTRACT), {"capacity": _capacity(spark, folder)})
+    return found.select("turbine_id", "timestamp", F.array_join("_broken", ",").alias("broken"))
+
+
 def forward_fill_busy_days(spark: SparkSession, folder: str) -> DataFrame:
     """The fill where days above a few readings are cut into seconds."""
     readings = _flagged(spark, folder)
@@ -272,4 +299,6 @@ QUERIES: dict[str, Query] = {
     "capacity_bound": capacity_bound,
     "quarantine": quarantine,
     "quality_rules": lambda s, d: check_rules(_silver(s, d)),
+    "contract": contract,
+    "contract_breaches": contract_breaches,
 }
