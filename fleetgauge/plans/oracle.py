@@ -108,6 +108,24 @@ absent AS (
   WHERE NOT EXISTS (SELECT 1 FROM readings r
                     WHERE r.turbine_id = g.turbine_id AND r."timestamp" = g."timestamp"))"""
 
+# Even devices report every ten minutes, odd ones every hour; a step is the most frequent difference.
+_GRIDS = """
+times AS (
+  SELECT DISTINCT turbine_id,
+         CASE WHEN turbine_id % 2 = 0 THEN time_bucket(INTERVAL 10 MINUTE, _ingested_at::TIMESTAMP) ELSE "timestamp" END AS t
+  FROM readings),
+pairs AS (
+  SELECT turbine_id, t, lead(t) OVER (PARTITION BY turbine_id ORDER BY t) AS next FROM times),
+differences AS (
+  SELECT turbine_id, date_diff('second', t, next) AS d, count(*) AS n FROM pairs WHERE next IS NOT NULL GROUP BY ALL),
+steps AS (
+  SELECT turbine_id, d AS step_seconds, n AS seen, (sum(n) OVER (PARTITION BY turbine_id))::BIGINT AS differences
+  FROM differences QUALIFY row_number() OVER (PARTITION BY turbine_id ORDER BY n DESC, d) = 1),
+spans AS (
+  SELECT p.turbine_id, t, step_seconds, round(date_diff('second', t, next) / step_seconds)::BIGINT - 1 AS absent
+  FROM pairs p JOIN steps s ON p.turbine_id = s.turbine_id
+  WHERE next IS NOT NULL AND round(date_diff('second', t, next) / step_seconds) > 1)"""
+
 _TYPED = """
 junk AS (
   SELECT *, event_id % 211 = 0 AS jt, event_id % 307 = 0 AS jk,
@@ -274,6 +292,13 @@ UNION ALL SELECT * EXCLUDE (event_id) REPLACE (
                      CASE WHEN event_id % 307 = 0 THEN '"turbine_id":"T-7"' END,
                      CASE WHEN event_id % 223 = 0 THEN '"power_output":"n/a"' END, '"gear_temp":"80"') || '}' AS _rescued_data),
   true FROM typed WHERE event_id % 7 = 0"""),
+    "device_steps": _sql([_READINGS, _GRIDS], "SELECT * FROM steps"),
+    "absent_spans": _sql([_READINGS, _GRIDS], """
+SELECT turbine_id, t + to_seconds(step_seconds) AS first_absent, t + to_seconds(absent * step_seconds) AS last_absent, step_seconds, absent
+FROM spans"""),
+    "absent_readings": _sql([_READINGS, _GRIDS], """
+SELECT turbine_id, t + to_seconds(k * step_seconds) AS "timestamp"
+FROM (SELECT *, unnest(range(1, absent + 1)) AS k FROM spans)"""),
     "contract": _silver("""
 SELECT rule, kind, checked::BIGINT AS checked, coalesce(failed, 0)::BIGINT AS failed, allowed_share::DOUBLE AS allowed_share,
        coalesce(failed, 0) <= allowed_share * checked AS passed FROM (

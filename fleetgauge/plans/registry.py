@@ -18,6 +18,7 @@ from fleetgauge.operators.dedupe import dedupe_readings
 from fleetgauge.operators.fill import busy_days, fill_whole_history, forward_fill
 from fleetgauge.operators.flags import flag_with_capacity
 from fleetgauge.operators.gaps import absent_hours, with_absent_hours
+from fleetgauge.operators.grids import absent_readings, absent_spans, device_steps
 from fleetgauge.operators.quarantine import split_quarantine
 from fleetgauge.operators.residuals import remaining_nulls
 from fleetgauge.operators.rules import check_rules
@@ -228,6 +229,12 @@ CONTRACT = """{"rules": [
 ]}"""
 
 
+def _mixed_grids(spark: SparkSession, folder: str) -> DataFrame:
+    """Event readings of devices on two grids: ten minutes for even numbers, the hour for odd ones."""
+    fine = "cast(to_date(_ingested_at) AS timestamp_ntz) + make_dt_interval(0, hour(_ingested_at), minute(_ingested_at) div 10 * 10)"
+    return event_readings(spark, folder).withColumn("timestamp", F.expr(f"if(turbine_id % 2 = 0, {fine}, timestamp)"))
+
+
 def contract(spark: SparkSession, folder: str) -> DataFrame:
     return check_contract(_silver(spark, folder), read_contract(CONTRACT), {"capacity": _capacity(spark, folder)})
 
@@ -295,6 +302,9 @@ QUERIES: dict[str, Query] = {
     "with_absent_hours": lambda s, d: with_absent_hours(
         dedupe_readings(event_readings(s, d), HOURLY), HOURLY
     ).select("turbine_id", "timestamp", "power_output", "_was_absent"),
+    "device_steps": lambda s, d: device_steps(_mixed_grids(s, d), DEFAULT),
+    "absent_spans": lambda s, d: absent_spans(_mixed_grids(s, d), DEFAULT),
+    "absent_readings": lambda s, d: absent_readings(_mixed_grids(s, d), DEFAULT),
     "capped_fill": lambda s, d: _fill_columns(forward_fill(_flagged(s, d), HOURLY, max_gap=FILL_CAP)),
     "capacity_bound": capacity_bound,
     "quarantine": quarantine,

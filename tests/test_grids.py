@@ -1,0 +1,105 @@
+"""Steps and absent readings of devices on grids of their own."""
+
+import random
+from collections import Counter
+from dataclasses import replace
+from datetime import datetime, timedelta
+
+import pytest
+from frames import at
+
+from fleetgauge.config import DEFAULT
+from fleetgauge.operators.gaps import absent_hours
+from fleetgauge.operators.grids import absent_readings, absent_spans, device_steps, with_absent_readings
+
+
+def frame(spark, rows, kind="timestamp_ntz"):
+    return spark.createDataFrame(rows, f"turbine_id int, timestamp {kind}, power_output double").repartition(3)
+
+
+def ticks(device, start, step, places):
+    return [(device, at(start) + timedelta(seconds=step * n), 1.0) for n in places]
+
+
+def plain(rows):
+    """(steps, absent readings) by definition."""
+    times = {}
+    for device, time, _ in rows:
+        if device is not None and time is not None:
+            times.setdefault(device, set()).add(time.replace(microsecond=0))
+    steps, absent = {}, []
+    for device, seen in times.items():
+        order = sorted(seen)
+        gaps = [int((b - a).total_seconds()) for a, b in zip(order, order[1:])]
+        if not gaps:
+            continue
+        step = min(Counter(gaps).items(), key=lambda x: (-x[1], x[0]))[0]
+        steps[device] = (step, gaps.count(step), len(gaps))
+        for a, gap in zip(order, gaps):
+            absent += [(device, a + timedelta(seconds=step * k)) for k in range(1, (2 * gap + step) // (2 * step))]
+    return steps, sorted(absent)
+
+
+def check(df, rows):
+    steps, absent = plain(rows)
+    assert {r.turbine_id: tuple(r)[1:] for r in device_steps(df).collect()} == steps
+    assert sorted(tuple(r) for r in absent_readings(df).collect()) == absent
+    spans = absent_spans(df).collect()
+    listed = [(r.turbine_id, r.first_absent + timedelta(seconds=r.step_seconds * k)) for r in spans for k in range(r.absent)]
+    assert sorted(listed) == absent
+    assert all(r.last_absent == r.first_absent + timedelta(seconds=r.step_seconds * (r.absent - 1)) for r in spans)
+
+
+def test_every_device_has_its_own_step(spark):
+    rows = ticks(1, "2024-01-01 00:00:00", 600, [n for n in range(400) if n % 50 < 45])
+    rows += ticks(2, "2024-01-01 00:30:00", 3600, [n for n in range(200) if n not in (5, 6, 90, 199)])
+    rows += ticks(3, "2024-01-01 00:00:07", 86_400, [0, 1, 2, 3, 9])
+    rows += ticks(4, "2024-01-01 12:00:00", 1, [0]) + [(None, at("2024-01-01 00:00:00"), 1.0), (5, None, 1.0)]
+    check(frame(spark, rows + rows[:50]), rows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_times_equal_the_definition(spark, seed):
+    pick, rows = random.Random(seed), []
+    for device in range(12):
+        step, jitter = pick.choice([1, 60, 600, 900, 7_000, 90_000]), pick.choice([0, 0, 2])
+        for n in range(pick.randint(0, 120)):
+            if pick.random() < 0.8:
+                rows.append((device, at("1969-12-28 23:00:00") + timedelta(seconds=step * n + pick.randint(0, jitter), microseconds=pick.randint(0, 999_999)), None))
+    check(frame(spark, rows), rows)
+
+
+def test_ties_take_the_smaller_step_and_near_times_count_as_the_grid(spark):
+    rows = ticks(1, "2024-01-01 00:00:00", 1, [0, 600, 1200, 4800, 8400]) + ticks(2, "2024-01-01 00:00:00", 1, [0, 600, 1201, 1800, 3002])
+    df = frame(spark, rows)
+    assert {r.turbine_id: r.step_seconds for r in device_steps(df).collect()} == {1: 600, 2: 599}
+    assert [r.absent for r in absent_spans(df).where("turbine_id = 2").collect()] == [1]
+    assert {r.step_seconds for r in device_steps(df, resolution=60).collect()} == {600}
+    with pytest.raises(ValueError):
+        device_steps(df, resolution=0)
+
+
+def test_on_hourly_devices_it_lists_the_absent_hours(spark):
+    rows = ticks(1, "2024-02-27 00:00:00", 3600, [n for n in range(100) if n % 7]) + ticks(2, "2024-02-27 00:00:00", 3600, range(30))
+    df = frame(spark, rows, "timestamp")
+    assert sorted(map(tuple, absent_readings(df).collect())) == sorted(map(tuple, absent_hours(df).collect()))
+    both = with_absent_readings(df)
+    assert both.where("_was_absent").count() == absent_hours(df).count() and both.count() == 130 - 15 + 14
+
+
+def test_long_gaps_are_one_span_and_whole_lists(spark):
+    rows = ticks(1, "2024-01-01 00:00:00", 60, [0, 1, 2, 50_003])
+    df = frame(spark, rows)
+    assert [r.absent for r in absent_spans(df).collect()] == [50_000]
+    found = absent_readings(df)
+    assert found.count() == found.distinct().count() == 50_000
+    assert found.agg({"timestamp": "max"}).first()[0] == datetime(2024, 1, 1) + timedelta(minutes=50_002)
+
+
+def test_other_column_names_and_empty_tables(spark):
+    cfg = replace(DEFAULT, key="meter id", time="read at")
+    df = frame(spark, ticks(1, "2024-01-01 00:00:00", 60, [0, 1, 3])).toDF("meter id", "read at", "power_output")
+    assert absent_readings(df, cfg).columns == ["meter id", "read at"] and absent_readings(df, cfg).count() == 1
+    assert absent_readings(df.limit(0), cfg).count() == 0
+    plan = absent_readings(df, cfg)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
