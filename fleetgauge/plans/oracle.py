@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 VALUES = ("power_output", "wind_speed", "wind_direction")
+_SHORT = {"power_output": "p", "wind_speed": "s", "wind_direction": "d"}
 
 _READINGS = """
 readings AS (
@@ -185,6 +186,30 @@ capped AS (
     for v in VALUES
 ) + " FROM held)"
 
+# Cells that an hour's fill leaves empty come from a neighbour's last usable value of the three hours before.
+_FALLBACK = """
+spare AS (
+  SELECT (turbine_id % 15 + 1)::INTEGER AS turbine_id, "timestamp" + INTERVAL 20 MINUTE AS t,
+         CASE WHEN power_output >= 0 AND NOT isnan(power_output) THEN power_output END AS power_output,
+         CASE WHEN wind_speed BETWEEN 0 AND 100 AND NOT isnan(wind_speed) THEN wind_speed END AS wind_speed,
+         CASE WHEN wind_direction >= 0 AND wind_direction < 360 THEN wind_direction END AS wind_direction
+  FROM readings WHERE event_id % 2 = 0
+  QUALIFY row_number() OVER (PARTITION BY turbine_id, "timestamp"
+      ORDER BY _ingested_at DESC NULLS LAST, _source_file DESC NULLS LAST, readings.power_output DESC NULLS LAST,
+               readings.wind_speed DESC NULLS LAST, readings.wind_direction DESC NULLS LAST, event_id DESC NULLS LAST) = 1),
+""" + ",\n".join(
+    f"spare_{v} AS (SELECT turbine_id, t, {v} AS value FROM spare WHERE {v} IS NOT NULL)" for v in VALUES
+) + """,
+substituted AS (
+  SELECT c.turbine_id, c."timestamp", """ + ", ".join(
+    f'coalesce(c.{v}, CASE WHEN c."timestamp" - {_SHORT[v]}.t <= INTERVAL 3 HOUR THEN {_SHORT[v]}.value END) AS {v}, c.{v}_was_imputed, '
+    f'c.{v} IS NULL AND coalesce(c."timestamp" - {_SHORT[v]}.t <= INTERVAL 3 HOUR, false) AS {v}_was_substituted'
+    for v in VALUES
+) + """
+  FROM capped c """ + " ".join(
+    f'ASOF LEFT JOIN spare_{v} {_SHORT[v]} ON c.turbine_id = {_SHORT[v]}.turbine_id AND c."timestamp" >= {_SHORT[v]}.t' for v in VALUES
+) + ")"
+
 # The late third of the readings lacks some of its times.
 _TIMELESS = """
 readings AS (
@@ -299,6 +324,9 @@ FROM spans"""),
     "absent_readings": _sql([_READINGS, _GRIDS], """
 SELECT turbine_id, t + to_seconds(k * step_seconds) AS "timestamp"
 FROM (SELECT *, unnest(range(1, absent + 1)) AS k FROM spans)"""),
+    "fallback_fill": _sql(
+        [_READINGS, _DEDUPED, _FLAGGED, _CAPPED.replace("INTERVAL 6 HOUR", "INTERVAL 1 HOUR"), _FALLBACK], "SELECT * FROM substituted"
+    ),
     "contract": _silver("""
 SELECT rule, kind, checked::BIGINT AS checked, coalesce(failed, 0)::BIGINT AS failed, allowed_share::DOUBLE AS allowed_share,
        coalesce(failed, 0) <= allowed_share * checked AS passed FROM (

@@ -15,6 +15,7 @@ from fleetgauge.operators.anomalies import day_stats, flag_anomalies, flag_anoma
 from fleetgauge.operators.clean import clean_readings, flagged_readings
 from fleetgauge.operators.contract import breaking_rows, check_contract, read_contract
 from fleetgauge.operators.dedupe import dedupe_readings
+from fleetgauge.operators.fallback import substitute
 from fleetgauge.operators.fill import busy_days, fill_whole_history, forward_fill
 from fleetgauge.operators.flags import flag_with_capacity
 from fleetgauge.operators.gaps import absent_hours, with_absent_hours
@@ -229,6 +230,18 @@ CONTRACT = """{"rules": [
 ]}"""
 
 
+SHORT_CAP, FALLBACK_AGE = timedelta(hours=1), timedelta(hours=3)
+
+
+def fallback_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings filled for an hour at most, then from a neighbour's readings of the three hours before, which come twenty minutes late."""
+    neighbour = event_readings(spark, folder).where("event_id % 2 = 0").withColumns({
+        "turbine_id": F.expr("turbine_id % 15 + 1"), "timestamp": F.expr("timestamp + make_dt_interval(0, 0, 20)"),
+    })
+    filled = substitute(forward_fill(_flagged(spark, folder), HOURLY, max_gap=SHORT_CAP), neighbour, FALLBACK_AGE, HOURLY)
+    return filled.select("turbine_id", "timestamp", *FILLED, *[f"{n}_was_substituted" for n in HOURLY.value_names])
+
+
 def _mixed_grids(spark: SparkSession, folder: str) -> DataFrame:
     """Event readings of devices on two grids: ten minutes for even numbers, the hour for odd ones."""
     fine = "cast(to_date(_ingested_at) AS timestamp_ntz) + make_dt_interval(0, hour(_ingested_at), minute(_ingested_at) div 10 * 10)"
@@ -306,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "absent_spans": lambda s, d: absent_spans(_mixed_grids(s, d), DEFAULT),
     "absent_readings": lambda s, d: absent_readings(_mixed_grids(s, d), DEFAULT),
     "capped_fill": lambda s, d: _fill_columns(forward_fill(_flagged(s, d), HOURLY, max_gap=FILL_CAP)),
+    "fallback_fill": fallback_fill,
     "capacity_bound": capacity_bound,
     "quarantine": quarantine,
     "quality_rules": lambda s, d: check_rules(_silver(s, d)),
