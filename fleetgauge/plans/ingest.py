@@ -30,7 +30,7 @@ _LOG = logging.getLogger(__name__)
 FILES, STREAM = "files", "stream"
 LEDGER = "ingested_files"
 LEDGER_SCHEMA = (
-    f"_source_file string, {FILE_TIME} timestamp, {FILE_SIZE} long, feed string, ingest_batch int"
+    f"_source_file string, {FILE_TIME} timestamp, {FILE_SIZE} long, feed string, ingest_batch int, taken_at timestamp"
 )
 REFUSED = "refused_files"
 REFUSED_SCHEMA = (
@@ -89,7 +89,8 @@ def record_versions(versions: DataFrame, layers: Layers, feed: str, batch: int)
     layers.append(
         versions.select(*VERSION)
         .withColumn("feed", F.lit(feed))
-        .withColumn("ingest_batch", F.lit(batch).cast("int")),
+        .withColumn("ingest_batch", F.lit(batch).cast("int"))
+        .withColumn("taken_at", F.current_timestamp()),
         LEDGER,
     )
 

@@ -186,6 +186,28 @@ capped AS (
     for v in VALUES
 ) + " FROM held)"
 
+# Files of odd groups came a second time with good times and devices; equal lines of a version are one.
+_QUARANTINE = """
+faulty AS (
+  SELECT *, regexp_extract(_source_file, '([0-9]+)', 1)::INTEGER % 2 = 1 AS odd, event_id % 211 = 0 AS jt, event_id % 307 = 0 AS jk, event_id % 223 = 0 AS jp
+  FROM readings),
+versions AS (
+  SELECT *, 1 AS version FROM faulty UNION ALL SELECT * REPLACE (false AS jt, false AS jk), 2 FROM faulty WHERE odd),
+lines AS (
+  SELECT CASE WHEN NOT jt THEN "timestamp" END AS "timestamp", CASE WHEN NOT jk THEN turbine_id END AS turbine_id, wind_speed, wind_direction,
+         CASE WHEN NOT jp THEN power_output END AS power_output,
+         '{' || concat_ws(',', CASE WHEN jt THEN '"timestamp":"bad"' END, CASE WHEN jk THEN '"turbine_id":"T-7"' END,
+                          CASE WHEN jp THEN '"power_output":"n/a"' END) || '}' AS _rescued_data,
+         _source_file, CASE WHEN jk THEN 'no device' WHEN jt THEN 'no time' ELSE 'unparsed value' END AS _reason, _ingested_at, odd, version
+  FROM versions WHERE jt OR jk OR jp),
+held AS (
+  SELECT * EXCLUDE (_ingested_at), count(*) AS copies FROM lines GROUP BY ALL),
+aged AS (
+  SELECT *, TIMESTAMP '2024-01-31' + to_days(version) AS _file_modified, odd AND version = 1 AS released,
+         TIMESTAMP '2024-01-31' + to_days(min(version) OVER (
+           PARTITION BY _source_file, "timestamp", turbine_id, wind_speed, wind_direction, power_output, _rescued_data)) AS since
+  FROM held)"""
+
 # Cells that an hour's fill leaves empty come from a neighbour's last usable value of the three hours before.
 _FALLBACK = """
 spare AS (
@@ -324,6 +346,12 @@ FROM spans"""),
     "absent_readings": _sql([_READINGS, _GRIDS], """
 SELECT turbine_id, t + to_seconds(k * step_seconds) AS "timestamp"
 FROM (SELECT *, unnest(range(1, absent + 1)) AS k FROM spans)"""),
+    "quarantine_open": _sql([_READINGS, _QUARANTINE], """
+SELECT "timestamp", turbine_id, power_output, _rescued_data, _source_file, _reason, copies, _file_modified, since FROM aged WHERE NOT released"""),
+    "quarantine_by_file": _sql([_READINGS, _QUARANTINE], """
+SELECT _source_file, _reason, coalesce(sum(copies) FILTER (NOT released), 0)::BIGINT AS open_lines,
+       coalesce(sum(copies) FILTER (released), 0)::BIGINT AS released_lines, min(since) FILTER (NOT released) AS oldest
+FROM aged GROUP BY ALL"""),
     "fallback_fill": _sql(
         [_READINGS, _DEDUPED, _FLAGGED, _CAPPED.replace("INTERVAL 6 HOUR", "INTERVAL 1 HOUR"), _FALLBACK], "SELECT * FROM substituted"
     ),

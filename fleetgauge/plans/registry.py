@@ -27,6 +27,7 @@ from fleetgauge.operators.summary import daily_summary
 from fleetgauge.plans import reports
 from fleetgauge.plans.build import build_all, refresh
 from fleetgauge.plans.ingest import FILES, ingest_files, read_bronze, record_versions, write_batch
+from fleetgauge.plans.quarantine import open_quarantine, quarantine_report, set_aside
 from fleetgauge.session import removed_at_exit, shared_folder, utc
 from fleetgauge.sources.events import event_readings, event_text
 from fleetgauge.sources.landing import FILE_SIZE, FILE_TIME, read_landing, typed_columns
@@ -230,6 +231,43 @@ CONTRACT = """{"rules": [
 ]}"""
 
 
+def _corrected(spark: SparkSession, folder: str) -> Layers:
+    """Events as files with faults; then the files of odd groups come again, with the bad times and devices put right."""
+    layers = Layers(_scratch(spark, "quarantine"))
+    for number, right in enumerate((False, True), start=1):
+        readings = event_readings(spark, folder)
+        faults = "event_id % 211 = 0", "event_id % 307 = 0", "event_id % 223 = 0"
+        bad_time, bad_device, bad_power = (f"({f}{' AND false' if right and n < 2 else ''})" for n, f in enumerate(faults))
+        rows = readings.selectExpr(
+            f"string(if({bad_time}, 'bad', date_format(timestamp, 'yyyy-MM-dd HH:mm:ss'))) AS timestamp",
+            f"if({bad_device}, 'T-7', string(turbine_id)) AS turbine_id", "string(wind_speed) AS wind_speed",
+            "string(wind_direction) AS wind_direction", f"if({bad_power}, 'n/a', string(power_output)) AS power_output",
+            "string(NULL) AS _line", "_source_file", "cast(_ingested_at AS timestamp) AS _ingested_at",
+        )
+        if right:
+            rows = rows.where("int(regexp_extract(_source_file, '([0-9]+)', 1)) % 2 = 1")
+        typed = rows.select(
+            *typed_columns(HOURLY), "_ingested_at", "_source_file",
+            F.lit(f"2024-02-0{number}").cast("timestamp").alias(FILE_TIME), F.lit(number).cast("long").alias(FILE_SIZE),
+        )
+        write_batch(typed, layers, FILES, number, HOURLY)
+        record_versions(typed.select("_source_file", FILE_TIME, FILE_SIZE).distinct(), layers, FILES, number)
+        set_aside(spark, layers)
+    return layers
+
+
+def quarantine_open(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines still set aside after some files were corrected."""
+    with utc(spark):
+        found = open_quarantine(spark, _corrected(spark, folder))
+        return _plain_times(found.select("timestamp", "turbine_id", "power_output", "_rescued_data", "_source_file", "_reason", "copies", FILE_TIME, "since"))
+
+
+def quarantine_by_file(spark: SparkSession, folder: str) -> DataFrame:
+    with utc(spark):
+        return _plain_times(quarantine_report(spark, _corrected(spark, folder)))
+
+
 SHORT_CAP, FALLBACK_AGE = timedelta(hours=1), timedelta(hours=3)
 
 
@@ -322,6 +360,8 @@ QUERIES: dict[str, Query] = {
     "fallback_fill": fallback_fill,
     "capacity_bound": capacity_bound,
     "quarantine": quarantine,
+    "quarantine_open": quarantine_open,
+    "quarantine_by_file": quarantine_by_file,
     "quality_rules": lambda s, d: check_rules(_silver(s, d)),
     "contract": contract,
     "contract_breaches": contract_breaches,
