@@ -234,13 +234,14 @@ def _write_gold_days(
     days: list[date | None],
     cfg: SensorConfig,
 ) -> None:
-    silver = _on_days(layers.read(spark, SILVER, schema), days, cfg)
+    chosen = set(days).__contains__
+    silver = layers.read_days(spark, SILVER, schema, chosen, cfg.day)
     layers.overwrite(packed(daily_summary(silver, cfg), cfg.day), SUMMARY, [cfg.day], only_touched=True)
     found = flag_anomalies(silver, cfg, staging.keep(day_stats(silver, cfg), "day_stats"))
     layers.overwrite(sorted_days(found, cfg), ANOMALIES, [cfg.day], only_touched=True)
     # A day whose last real reading was corrected away has no rows to replace its old ones with.
     real = silver.filter(~F.col(f"{cfg.target}_was_imputed") & F.col(cfg.key).isNotNull())
-    present = _on_days(layers.read(spark, ANOMALIES, found.schema), days, cfg)
+    present = layers.read_days(spark, ANOMALIES, found.schema, chosen, cfg.day)
     for day in set(_days_of(present, cfg)) - set(_days_of(real, cfg)):
         found.limit(0).drop(cfg.day).write.mode("overwrite").parquet(
             f"{layers.path(ANOMALIES)}/{cfg.day}={day}"
@@ -265,17 +266,18 @@ def refresh(spark: SparkSession, layers: Layers, cfg: SensorConfig = DEFAULT) ->
     with Staging(spark, layers) as staging:
         flagged = staging.keep(flagged_on(touched), "flagged")
         value_kinds, plain_kinds = _kinds(cfg, flagged)
-        old = layers.read(spark, DAY_VALUES, value_kinds)
-        from_first = old if None in touched else old.filter(F.col(cfg.day) >= F.lit(min(touched)))
+        first = None if None in touched else min(touched)
+        old = layers.read_days(spark, DAY_VALUES, value_kinds, lambda d: first is None or d is not None and d >= first, cfg.day)
         in_force = _in_force(spark, layers, plain_kinds)
         tails = cell_tails(flagged, [cfg.key, cfg.day], cfg, counted=ROWS)
         moved = staging.keep(fresh.groupBy(cfg.key).agg(F.min(_position(cfg)).alias("_first")), "moved")
-        moved_values, start = _moved_values(from_first, in_force, tails, moved, staging, cfg)
+        moved_values, start = _moved_values(old, in_force, tails, moved, staging, cfg)
         changed = _days_with_new_openings(moved_values, touched, cfg)
         days = touched + changed
 
         new = _on_days(moved_values, days, cfg).select(*old.columns)
-        values = staging.keep(_newer(_on_days(old, days, cfg), new, [cfg.key, cfg.day]), "day_values")
+        same_days = layers.read_days(spark, DAY_VALUES, value_kinds, set(days).__contains__, cfg.day)
+        values = staging.keep(_newer(same_days, new, [cfg.key, cfg.day]), "day_values")
         last = _newer(in_force, _last_values(moved_values, start, cfg), [cfg.key])
         readings = flagged.unionByName(flagged_on(changed)) if changed else flagged
         cleaned = fill_from_openings(readings, _openings(values, cfg), cfg, _busy(values, cfg))

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from fleetgauge.config import DEFAULT, SensorConfig
 from fleetgauge.functions.quality import with_day
 from fleetgauge.session import require_utc
+from fleetgauge.plans.ledger import batches, fold_if_many, ledger, of_batches, record_versions
 from fleetgauge.plans.staging import Staging
 from fleetgauge.sources.headers import file_layouts
 from fleetgauge.sources.landing import BAD_LINE, FILE_SIZE, FILE_TIME, NAMES, VERSION, landing_versions, read_by_name
@@ -28,10 +29,6 @@ from fleetgauge.sources.layers import BRONZE, Layers, packed
 _LOG = logging.getLogger(__name__)
 
 FILES, STREAM = "files", "stream"
-LEDGER = "ingested_files"
-LEDGER_SCHEMA = (
-    f"_source_file string, {FILE_TIME} timestamp, {FILE_SIZE} long, feed string, ingest_batch int, taken_at timestamp"
-)
 REFUSED = "refused_files"
 REFUSED_SCHEMA = (
     f"_source_file string, {FILE_TIME} timestamp, {FILE_SIZE} long, header string, reason string, "
@@ -51,15 +48,6 @@ PROGRESS = "taken_in"
 PROGRESS_SCHEMA = "feed string, ingest_batch int, snapshot string"
 
 
-def of_batches(batches: Sequence[tuple[str, int]]) -> Column:
-    """Rows of the given batches, by a condition that prunes partitions."""
-    wanted = F.lit(False)
-    for feed in sorted({f for f, _ in batches}):
-        numbers = [n for f, n in batches if f == feed]
-        wanted = wanted | ((F.col("feed") == feed) & F.col("ingest_batch").isin(numbers))
-    return wanted
-
-
 def batch_folder(layers: Layers, feed: str, batch: int) -> str:
     return f"{layers.path(BRONZE)}/feed={feed}/ingest_batch={batch}"
 
@@ -85,26 +73,13 @@ def read_batch(spark: SparkSession, layers: Layers, feed: str, batch: int) -> Da
     return spark.read.schema(BATCH_SCHEMA).parquet(batch_folder(layers, feed, batch))
 
 
-def record_versions(versions: DataFrame, layers: Layers, feed: str, batch: int) -> None:
-    layers.append(
-        versions.select(*VERSION)
-        .withColumn("feed", F.lit(feed))
-        .withColumn("ingest_batch", F.lit(batch).cast("int"))
-        .withColumn("taken_at", F.current_timestamp()),
-        LEDGER,
-    )
-
-
 def pending_versions(spark: SparkSession, layers: Layers, landing: str) -> DataFrame:
     """Files in the landing folder whose present version is not in the ledger."""
-    known = layers.read(spark, LEDGER, LEDGER_SCHEMA).select(*VERSION)
-    return landing_versions(spark, landing).join(known, VERSION, "left_anti")
+    return landing_versions(spark, landing).join(ledger(spark, layers).select(*VERSION), VERSION, "left_anti")
 
 
 def next_batch(spark: SparkSession, layers: Layers, feed: str = FILES) -> int:
-    last = (
-        layers.read(spark, LEDGER, LEDGER_SCHEMA).filter(F.col("feed") == feed).agg(F.max("ingest_batch"))
-    )
+    last = batches(spark, layers).filter(F.col("feed") == feed).agg(F.max("ingest_batch"))
     return (last.first()[0] or 0) + 1
 
 
@@ -132,7 +107,8 @@ def take_files(
         _LOG.warning("refused %s: %s", name, reason)
     rows = read_by_name(spark, paths, layouts, cfg)
     write_batch(no_readings(spark, cfg) if rows is None else rows, layers, feed, batch, cfg)
-    record_versions(versions, layers, feed, batch)
+    names = refused.select("_source_file", F.lit(True).alias("refused"))
+    record_versions(versions.join(names, "_source_file", "left"), layers, feed, batch)
 
 
 def no_readings(spark: SparkSession, cfg: SensorConfig = DEFAULT) -> DataFrame:
@@ -174,6 +150,7 @@ def take_pending(
         first = next_batch(spark, layers, feed)
         for number, part in enumerate(parts):
             take_files(spark, layers, work.filter(F.col("part") == part).drop("part"), feed, first + number, cfg)
+    fold_if_many(spark, layers)
     return len(parts)
 
 
@@ -204,9 +181,9 @@ def _bronze_folders(spark: SparkSession, layers: Layers, folders: Sequence[str])
     return reader.parquet(*folders).drop(FILE_TIME, FILE_SIZE)
 
 
-def bronze_of_batches(spark: SparkSession, layers: Layers, batches: Sequence[tuple[str, int]]) -> DataFrame:
+def bronze_of_batches(spark: SparkSession, layers: Layers, wanted: Sequence[tuple[str, int]]) -> DataFrame:
     """Bronze readings of the given batches; no other folder is listed."""
-    return _bronze_folders(spark, layers, [batch_folder(layers, feed, batch) for feed, batch in batches])
+    return _bronze_folders(spark, layers, [batch_folder(layers, feed, batch) for feed, batch in wanted])
 
 
 def bronze_on_days(spark: SparkSession, layers: Layers, days: Iterable[date | None]) -> DataFrame:
@@ -224,44 +201,20 @@ def bronze_on_days(spark: SparkSession, layers: Layers, days: Iterable[date | No
 
 
 def batch_bytes(
-    spark: SparkSession, layers: Layers, batches: Sequence[tuple[str, int]] | None = None
+    spark: SparkSession, layers: Layers, wanted: Sequence[tuple[str, int]] | None = None
 ) -> int:
     """Bytes of the landing files behind the given batches, or behind all of bronze."""
-    ledger = layers.read(spark, LEDGER, LEDGER_SCHEMA)
-    if batches is not None:
-        ledger = ledger.filter(of_batches(batches))
-    return ledger.agg(F.sum(FILE_SIZE)).first()[0] or 0
-
-
-def merge_batches(
-    spark: SparkSession, layers: Layers, batches: Sequence[tuple[str, int]], cfg: SensorConfig = DEFAULT
-) -> int:
-    """Copy many small batches into one new batch of even files, then empty the old ones.
-
-    A run that stops in between leaves rows twice, which dedupe absorbs, so results stay right. Merge
-    only batches that a refresh has already taken in; the new one is marked as taken in too.
-    """
-    rows = layers.read(spark, BRONZE, BRONZE_SCHEMA).filter(of_batches(batches))
-    merged = rows.drop("feed", "ingest_batch")
-    number = next_batch(spark, layers)
-    write_batch(merged, layers, FILES, number, cfg)
-    record_versions(merged.select(*VERSION).distinct(), layers, FILES, number)
-    mark_taken_in(spark, layers, [(FILES, number)])
-    for feed, batch in batches:
-        spark.createDataFrame([], "date date").write.mode("overwrite").parquet(
-            f"{layers.path(BATCH_DAYS)}/feed={feed}/ingest_batch={batch}"
-        )
-        read_batch(spark, layers, feed, batch).limit(0).write.mode("overwrite").partitionBy(cfg.day).parquet(
-            batch_folder(layers, feed, batch)
-        )
-    return number
+    found = batches(spark, layers)
+    if wanted is not None:
+        found = found.filter(of_batches(wanted))
+    return found.agg(F.sum("bytes")).first()[0] or 0
 
 
 def mark_taken_in(
-    spark: SparkSession, layers: Layers, batches: Sequence[tuple[str, int]], snapshot: str | None = None
+    spark: SparkSession, layers: Layers, taken: Sequence[tuple[str, int]], snapshot: str | None = None
 ) -> None:
     """Note that the clean layers include these batches, and which values are in force from now on."""
-    rows = [(feed, batch, snapshot) for feed, batch in batches] or [(None, None, snapshot)]
+    rows = [(feed, batch, snapshot) for feed, batch in taken] or [(None, None, snapshot)]
     marks = spark.createDataFrame(rows, PROGRESS_SCHEMA).withColumn("taken_at", F.current_timestamp())
     layers.append(marks.coalesce(1), PROGRESS)
 
@@ -274,7 +227,7 @@ def snapshot_in_force(spark: SparkSession, layers: Layers) -> str | None:
 
 def new_batches(spark: SparkSession, layers: Layers) -> list[tuple[str, int]]:
     """Ingested batches the clean layers do not include yet."""
-    known = layers.read(spark, LEDGER, LEDGER_SCHEMA).select("feed", "ingest_batch").distinct()
+    known = batches(spark, layers).select("feed", "ingest_batch")
     taken = layers.read(spark, PROGRESS, PROGRESS_SCHEMA)
     left = known.join(taken, ["feed", "ingest_batch"], "left_anti").orderBy("feed", "ingest_batch")
     return [(row["feed"], row["ingest_batch"]) for row in left.collect()]

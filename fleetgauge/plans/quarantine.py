@@ -16,9 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from fleetgauge.config import DEFAULT, SensorConfig
 from fleetgauge.operators.quarantine import split_quarantine
-from fleetgauge.plans.ingest import (
-    BATCH_SCHEMA, LEDGER, LEDGER_SCHEMA, read_batch, refused,
-)
+from fleetgauge.plans.ingest import BATCH_SCHEMA, read_batch
+from fleetgauge.plans.ledger import batches as known_batches, ledger, newest_versions
 from fleetgauge.sources.landing import FILE_SIZE, FILE_TIME, NAMES, VERSION
 from fleetgauge.sources.layers import Layers
 
@@ -35,7 +34,7 @@ def set_aside(
 ) -> list[tuple[str, int]]:
     """Copy the bad lines of the given bronze batches, or of all not looked at yet, to quarantine; returns the batches."""
     if batches is None:
-        known = layers.read(spark, LEDGER, LEDGER_SCHEMA).select("feed", "ingest_batch").distinct()
+        known = known_batches(spark, layers).select("feed", "ingest_batch")
         done = layers.read(spark, SET_ASIDE, SET_ASIDE_SCHEMA)
         left = known.join(done, ["feed", "ingest_batch"], "left_anti").orderBy("feed", "ingest_batch")
         batches = [(row["feed"], row["ingest_batch"]) for row in left.collect()]
@@ -53,14 +52,8 @@ def set_aside(
 
 def versions_in_force(spark: SparkSession, layers: Layers) -> DataFrame:
     """(_source_file, _newest, _newest_size): of each file the version that was read last; refused ones do not count."""
-    ledger = layers.read(spark, LEDGER, LEDGER_SCHEMA)
-    read = ledger.join(refused(spark, layers).select(*VERSION), VERSION, "left_anti")
-    # a version that a merge entered again counts from its first entry
-    versions = read.groupBy(*VERSION).agg(F.min("taken_at").alias("_at"))
-    last = F.max(F.struct(F.col("_at"), F.col(FILE_TIME), F.col(FILE_SIZE)))
-    return versions.groupBy("_source_file").agg(last.alias("_last")).select(
-        "_source_file", F.col(f"_last.{FILE_TIME}").alias("_newest"), F.col(f"_last.{FILE_SIZE}").alias("_newest_size")
-    )
+    read = ledger(spark, layers).where("NOT coalesce(refused, false)")
+    return newest_versions(read).select("_source_file", F.col(FILE_TIME).alias("_newest"), F.col(FILE_SIZE).alias("_newest_size"))
 
 
 def quarantined(spark: SparkSession, layers: Layers) -> DataFrame:

@@ -26,7 +26,8 @@ from fleetgauge.operators.rules import check_rules
 from fleetgauge.operators.summary import daily_summary
 from fleetgauge.plans import reports
 from fleetgauge.plans.build import build_all, refresh
-from fleetgauge.plans.ingest import FILES, ingest_files, read_bronze, record_versions, write_batch
+from fleetgauge.plans.ingest import FILES, ingest_files, read_bronze, write_batch
+from fleetgauge.plans.ledger import record_versions
 from fleetgauge.plans.quarantine import open_quarantine, quarantine_report, set_aside
 from fleetgauge.session import removed_at_exit, shared_folder, utc
 from fleetgauge.sources.events import event_readings, event_text

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -28,6 +29,22 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def remove_file(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, False)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a folder; none if there is no such folder."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return [entry.getPath().getName() for entry in files.listStatus(place) if entry.isDirectory()]
+
+
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass(frozen=True)
 class Layers:
     """Tables at `<base>/<layer>[_<env>]/<schema>/<table>`, as Parquet files.
@@ -67,6 +84,23 @@ class Layers:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(self.path(table))
 
+    def read_days(
+        self, spark: SparkSession, table: str, schema: StructType | str, wanted: Callable[[date | None], bool], by: str = "date"
+    ) -> DataFrame:
+        """Rows of the days that are wanted, from a table partitioned by day.
+
+        The names of the day folders are listed; only the wanted ones are opened, where `read` and a filter would list the files of all.
+        """
+        folders = []
+        for name in folder_names(spark, self.path(table)):
+            if name.startswith(f"{by}="):
+                day = name.removeprefix(f"{by}=")
+                if wanted(None if day == NO_DAY else date.fromisoformat(day)):
+                    folders.append(f"{self.path(table)}/{name}")
+        if not folders:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("basePath", self.path(table)).parquet(*folders)
+
     def expose(self, spark: SparkSession) -> list[str]:
         """Make the tables written so far usable in SQL under their plain names."""
         written = [table for table in LAYER_OF if self.exists(spark, table)]

@@ -13,7 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge.config import DEFAULT, SensorConfig
 from fleetgauge.plans.build import refresh
-from fleetgauge.plans.ingest import LEDGER, LEDGER_SCHEMA, STREAM, pending_versions, take_pending
+from fleetgauge.plans.ingest import STREAM, pending_versions, take_pending
+from fleetgauge.plans.ledger import ledger
 from fleetgauge.sources.landing import VERSION, stream_versions
 from fleetgauge.sources.layers import Layers
 from fleetgauge.streaming.changes import arrow_opens, folder_changes, folder_uri
@@ -52,8 +53,7 @@ def start_feed(
 
     def after_arrival(listed: DataFrame, _: int) -> None:
         session = listed.sparkSession
-        known = layers.read(session, LEDGER, LEDGER_SCHEMA).select(*VERSION)
-        take_in(session, listed.join(known, VERSION, "left_anti"))
+        take_in(session, listed.join(ledger(session, layers).select(*VERSION), VERSION, "left_anti"))
 
     state = f"{layers.base}/state/{layers.schema}"
     if arrow_opens(folder_uri(spark, landing)):

@@ -180,13 +180,12 @@ def test_two_stream_runs_equal_one_full_build(spark, tmp_path):
     run_feed(spark, layers, str(landing), timeout_seconds=300)
     assert tables(spark, layers) == full(spark, tmp_path / "full", landing)
 
-    # A file changed in place is not seen by the stream; the file job picks it up, and only it.
+    # A file changed in place is seen by the stream, and only it is read; nothing is left to the file job.
     write(landing, "data_group_1.csv", lines((1, 2), range(1, 5), seed=5))
-    run_feed(spark, layers, str(landing), timeout_seconds=300)
     before = read_bronze(spark, layers).count()
-    assert ingest_files(spark, layers, str(landing)) == 1
+    run_feed(spark, layers, str(landing), timeout_seconds=300)
     assert read_bronze(spark, layers).count() == before + len(lines((1, 2), range(1, 5), seed=5))
-    refresh(spark, layers)
+    assert ingest_files(spark, layers, str(landing)) == 0 and refresh(spark, layers) == []
     assert tables(spark, layers) == full(spark, tmp_path / "full2", landing)
 
 
@@ -303,3 +302,26 @@ def test_a_hot_device_day_is_split_in_the_anomaly_join(spark, tmp_path):
     finally:
         for name in conf:
             spark.conf.unset(name)
+
+
+def test_a_refresh_of_one_day_opens_only_its_folders(spark, tmp_path, monkeypatch):
+    layers, landing = Layers(str(tmp_path / "lake")), tmp_path / "landing"
+    write(landing, "a.csv", lines(days=range(1, 9)))
+    ingest_files(spark, layers, str(landing))
+    refresh(spark, layers)
+    write(landing, "b.csv", lines(days=range(8, 9), seed=4))
+    ingest_files(spark, layers, str(landing))
+
+    opened, whole = {}, []
+    days, read = Layers.read_days, Layers.read
+
+    def read_days(self, session, table, *rest):
+        found = days(self, session, table, *rest)
+        opened.setdefault(table, set()).update(f.split("date=")[1].split("/")[0] for f in found.inputFiles())
+        return found
+
+    monkeypatch.setattr(Layers, "read_days", read_days)
+    monkeypatch.setattr(Layers, "read", lambda self, session, table, *rest: whole.append(table) or read(self, session, table, *rest))
+    assert [str(d) for d in refresh(spark, layers)] == ["2022-03-08"]
+    assert opened == {t: {"2022-03-08"} for t in (SILVER, ANOMALIES, "day_values")}
+    assert not {SILVER, SUMMARY, ANOMALIES, "day_values", BRONZE} & set(whole)

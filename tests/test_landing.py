@@ -6,9 +6,8 @@ import os
 import pytest
 from landing_files import HEADER, lines, write
 
-from fleetgauge.plans.ingest import (
-    FILES, bronze_by_day, ingest_files, merge_batches, mark_taken_in, new_batches, read_bronze,
-)
+from fleetgauge.plans.compact import merge_batches
+from fleetgauge.plans.ingest import FILES, bronze_by_day, ingest_files, mark_taken_in, new_batches, read_bronze
 from fleetgauge.sources.landing import read_landing
 from fleetgauge.sources.layers import ANOMALIES, BRONZE, SILVER, Layers
 from fleetgauge.streaming.feed import start_feed

@@ -5,7 +5,8 @@ import os
 import pytest
 from landing_files import HEADER, write
 
-from fleetgauge.plans.ingest import FILES, ingest_files, mark_taken_in, merge_batches, new_batches, read_bronze
+from fleetgauge.plans.compact import merge_batches
+from fleetgauge.plans.ingest import FILES, ingest_files, mark_taken_in, new_batches, read_bronze
 from fleetgauge.plans.quarantine import open_quarantine, quarantine_report, quarantined, set_aside
 from fleetgauge.sources.layers import Layers
 from fleetgauge.streaming.feed import start_feed
