@@ -25,9 +25,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from fleetgauge.llm.common import Memo, bounded_sample, sliced, utf8
-from fleetgauge.llm.html_blocks import Block, blocks_of
+from fleetgauge.llm.html_blocks import PLACES, Block, Path, blocks_of, marks_inside_out
 
-PATH, WORDS, FIGURES = 96, 32, 6
+PATH, WORDS, FIGURES = PLACES, 32, 6
 SIZE = PATH + WORDS + FIGURES
 
 # What elements say about their text: names of elements, and words of class, id or role.
@@ -51,7 +51,6 @@ class Labeller:
 
 
 DEFAULT = Labeller()
-_PLACES = Memo(lambda mark: sorted({zlib.crc32(w.encode()) % PATH for w in mark.split()}), 50_000)
 _BUCKETS = Memo(lambda word: zlib.crc32(word.encode()) % WORDS, 200_000)
 _TRIMMED = re.compile(r"[.!?…]$")
 
@@ -62,15 +61,16 @@ def vectors_of(blocks: list[Block]):
 
     out = np.zeros((len(blocks), SIZE), "float32")
     for row, block in zip(out, blocks):
-        for depth, mark in enumerate(block.path):
-            row[_PLACES[mark]] = 1.0
+        if block.path:
+            bits = np.frombuffer(block.path.bits.to_bytes(PATH // 8, "little"), "uint8")
+            row[:PATH] = np.unpackbits(bits, bitorder="little")
         words = block.text.lower().split()
         counts = np.bincount([_BUCKETS[w] for w in words], minlength=WORDS)
         row[PATH : PATH + WORDS] = counts / len(words)
         n = len(block.text)
         row[PATH + WORDS :] = (
             min(np.log1p(n) / 8, 2), min(np.log1p(len(words)) / 6, 2), block.link_chars / n,
-            bool(_TRIMMED.search(block.text)), sum(map(str.isdigit, block.text[:200])) / min(n, 200), 1.0,
+            bool(_TRIMMED.search(block.text)), sum(map(block.text.count, "0123456789")) / n, 1.0,
         )
     return out
 
@@ -195,7 +195,7 @@ def padded(pages: list):
 
 def marked_label(block: Block) -> int | None:
     """1 for article, 0 for the frame around it, by the innermost element that says so; None if none does."""
-    for mark in reversed(block.path):
+    for mark in marks_inside_out(block.path):
         words = mark.split()
         if FRAME_MARKS.intersection(words):
             return 0
@@ -248,7 +248,7 @@ def laid_out(texts: dict[int, list[str]], how: Labeller) -> list[list[Block]]:
         wrapper, leaf, link, most, long = kind
         for _ in range(int(random.integers(1, most + 1))):
             t = text(bool(long) and random.random() < 0.7, 0)
-            yield Block(t, outer + marks(wrapper, leaf, "a" if link and leaf != "a" else ""), len(t) * link, 0)
+            yield Block(t, Path.of(outer + marks(wrapper, leaf, "a" if link and leaf != "a" else "")), len(t) * link, 0)
 
     pages = []
     for _ in range(how.layouts):
@@ -258,7 +258,7 @@ def laid_out(texts: dict[int, list[str]], how: Labeller) -> list[list[Block]]:
         for n in range(int(random.integers(1, 14))):
             leaf = "h1" if n == 0 and random.random() < 0.6 else pick(ARTICLE_LEAVES)
             t = text(leaf[0] != "h" and random.random() < 0.8, 1)
-            page.append(Block(t, inner + marks(leaf), int(len(t) * (random.random() < 0.1) * random.random()), 1))
+            page.append(Block(t, Path.of(inner + marks(leaf)), int(len(t) * (random.random() < 0.1) * random.random()), 1))
             if random.random() < 0.06:
                 page += frame(pick(INSIDE), inner)
         page += [b for _ in range(int(random.integers(0, 5))) for b in frame(pick(FRAMES), outer)]

@@ -1,8 +1,10 @@
 """Personal data: base patterns, and identifiers found by bootstrapped contextual extraction.
 
 The base patterns find e-mail addresses, IPv4 addresses, payment cards and phone numbers in whole texts. They are the seed entities
-of a graph between instances (strings that look like identifiers) and lexical patterns (the word before, the two words
-before, the word after, taken from the whole text around the span; digits count as 0). In each round, a pattern is scored by the share of its distinct
+of a graph between instances and lexical patterns (the word before, the two words before, the word after; digits count as 0).
+An instance is any run of letters, digits and `@._%+/-` with a digit, `@` or `_` in it, and any sequence of numbers or of
+colon-joined groups as a whole: what an identifier may look like is left open, and precision is left to the scores. Context words are
+whole words; one of over 256 code points gives no pattern. In each round, a pattern is scored by the share of its distinct
 instances that are known, an instance by the noisy-or of the good patterns that extract it; instances above a
 threshold become known, with the kind that speaks for them most, and stay so; rounds go on until no instance becomes known. At
 the end, an unseen identifier is reported where a good
@@ -44,9 +46,13 @@ VALID = {
     "card": f"length({_DIGITS}) BETWEEN 16 AND 19 AND luhn_check({_DIGITS})",
     "phone": f"length({_DIGITS}) BETWEEN 8 AND 15",
 }
-# A string that may be an identifier: a run of these characters with a digit in it.
-CANDIDATE = r"(?<![A-Za-z0-9@._%+/-])[A-Za-z@._%+/-]*+[0-9][A-Za-z0-9@._%+/-]*+"
-CONTEXT = 48  # code points on each side from which context words are taken
+# Strings that may be identifiers: runs of these characters with a digit or a joining sign in them, numbers in groups, groups with colons.
+CANDIDATES = {
+    "token": (r"(?<![A-Za-z0-9@._%+/-])[A-Za-z.%+/-]*+[0-9@_][A-Za-z0-9@._%+/-]*+", "{0} rlike '[0-9@_]'"),
+    "numbers": (r"(?<![A-Za-z0-9@._%+/(-])\(?[0-9]++\)?(?:[\x20./-]\(?[0-9]++\)?)++(?![A-Za-z0-9])", "{0} rlike '[0-9][) ./-]'"),
+    "colons": (r"(?<![A-Za-z0-9:])[A-Za-z0-9]++(?:::?[A-Za-z0-9]++){2,}+", "contains({0}, ':')"),
+}
+WORD = 256  # code points that a context word may have
 
 
 @dataclass(frozen=True)
@@ -103,18 +109,18 @@ def _placed(matches: str, between: str, valid: str, kind: str) -> str:
     return f"if(size({matches}) = 0, {empty}, {whole})"
 
 
-CHUNK = 256  # a text is cut into chunks of so many code points, so a context costs the same anywhere in a long text
+CHUNK = 512  # more than a context word; a text is cut into chunks of so many code points, so a context costs the same anywhere in a long text
 
 
 def _around(spans: str, chunks: str) -> str:
-    """Spans with the texts before and after them."""
+    """Spans with the texts before and after them, as far as the longest word, and one code point that tells whether a word goes on."""
     chunk = f"coalesce(get({chunks}, {{0}}), '')"
     before, own, after = (chunk.format(f"{{0}} div {CHUNK} {step}") for step in ("- 1", "", "+ 1"))
     pair = f"concat({before.format('s.start')}, left({own.format('s.start')}, s.start % {CHUNK}))"
-    rest = f"substr(concat({own.format('s.end')}, {after.format('s.end')}), s.end % {CHUNK} + 1, {CONTEXT})"
+    rest = f"substr(concat({own.format('s.end')}, {after.format('s.end')}), s.end % {CHUNK} + 1, {WORD + 1})"
     return (
         f"transform({spans}, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end, 'string', s.string, "
-        f"'left', right({pair}, {CONTEXT}), 'right', {rest}))"
+        f"'left', right({pair}, {WORD + 1}), 'right', {rest}))"
     )
 
 
@@ -126,12 +132,13 @@ def with_base_spans(docs: DataFrame, text: str = "text", candidates: bool = True
         columns[f"_m_{kind}"], columns[f"_b_{kind}"] = map(F.expr, _pieces(source, PATTERNS[kind], NEEDS[kind]))
         placed[f"_s_{kind}"] = F.expr(_placed(f"_m_{kind}", f"_b_{kind}", VALID[kind], f"'{kind}'"))
     if candidates:
-        columns["_m_other"], columns["_b_other"] = map(F.expr, _pieces(source, CANDIDATE, "{0} rlike '[0-9]'"))
-        placed["_s_other"] = F.expr(_placed("_m_other", "_b_other", "length(regexp_replace({0}, '[^0-9]', '')) >= 4", "'other'"))
+        for kind, (pattern, needs) in CANDIDATES.items():
+            columns[f"_m_{kind}"], columns[f"_b_{kind}"] = map(F.expr, _pieces(source, pattern, needs))
+            placed[f"_s_{kind}"] = F.expr(_placed(f"_m_{kind}", f"_b_{kind}", "{0} rlike '[A-Za-z0-9]'", "'other'"))
     found = docs.withColumns(columns).withColumns(placed)
     found = found.withColumn("_spans", F.concat(*(f"_s_{kind}" for kind in KINDS)))
     if candidates:
-        free = "filter(_s_other, o -> NOT exists(_spans, s -> s.start < o.end AND o.start < s.end))"
+        free = f"filter(concat({', '.join(f'_s_{kind}' for kind in CANDIDATES)}), o -> NOT exists(_spans, s -> s.start < o.end AND o.start < s.end))"
         # what ends a sentence is no part of the identifier
         core = "rtrim('._%+/-', o.string)"
         found = found.withColumn("_others", F.expr(
@@ -146,8 +153,13 @@ def with_base_spans(docs: DataFrame, text: str = "text", candidates: bool = True
 
 def _contexts(span: str) -> str:
     """The lexical patterns around a span."""
-    words = f"filter(split(lower(regexp_replace({span}.left, '[0-9]+', '0')), '[ \\\\t\\\\n\\\\x0B\\\\f\\\\r]+'), w -> w <> '')"
-    after = f"filter(split(lower(regexp_replace({span}.right, '[0-9]+', '0')), '[ \\\\t\\\\n\\\\x0B\\\\f\\\\r]+'), w -> w <> '')"
+    # a word that the limit cuts is left out: the first of a full left side, the last of a full right one
+    space = "'[ \\\\t\\\\n\\\\x0B\\\\f\\\\r]+'"
+    plain = f"split(lower(regexp_replace({span}.{{0}}, '[0-9]+', '0')), {space})"
+    cut = f"if(length({span}.{{0}}) > {WORD}, 1, 0)"
+    before, behind = plain.format("left"), plain.format("right")
+    words = f"filter({before}, (w, i) -> w <> '' AND i >= {cut.format('left')})"
+    after = f"filter({behind}, (w, i) -> w <> '' AND i < size({behind}) - {cut.format('right')})"
     return (
         f"filter(array(if(size({words}) >= 1, concat('1 ', element_at({words}, -1)), NULL), "
         f"if(size({words}) >= 2, concat('2 ', element_at({words}, -2), ' ', element_at({words}, -1)), NULL), "
@@ -246,5 +258,8 @@ def redacted(text: str, spans: str) -> str:
 
 def redact_pii(docs: DataFrame, text: str = "text", how: Bootstrap = DEFAULT) -> DataFrame:
     """`docs` with every span of personal data in `text` replaced by its kind in brackets."""
-    found = find_pii(docs, text, how=how)
-    return found.withColumn(text, F.expr(redacted(f"`{text}`", "spans"))).select(*docs.columns)
+    # under names of its own no column can clash with those made here
+    names = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    found = find_pii(docs.toDF(*names.values()), names[text], how=how)
+    found = found.withColumn(names[text], F.expr(redacted(names[text], "spans")))
+    return found.select(*[F.col(own).alias(name) for name, own in names.items()])

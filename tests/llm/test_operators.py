@@ -101,6 +101,29 @@ def test_contexts_reach_over_other_numbers(spark):
     assert [[tuple(s) for s in r.spans] for r in found[-3:]] == [[("email", 18, 27)], [("email", 711, 718)], []]
 
 
+def test_contexts_are_whole_words_and_any_identifier_fills_the_slot(spark):
+    long, same_end = "a" * 200 + "contact-person:", "b" * 200 + "contact-person:"
+    rows = [f"write to {long} user{i}@mail.com now" for i in range(20)] + [f"contact: user{i}@host.org" for i in range(120)]
+    rows += [f"{'c' * 300} user{i}@far.org" for i in range(20)]
+    asked = {
+        f"{same_end} user99123": [], f"{long} user99123": [(216, 225)], f"say {'c' * 300} user77123": [],
+        "contact: bob7": [(9, 13)], "contact: bob@intranet": [(9, 21)], "contact: x_y": [(9, 12)], "contact: ab12:cd34:ef56:7890": [(9, 13), (9, 28)],
+        "contact: 030 1234 5678": [(9, 12), (9, 22)], "contact: (030) 4455-6677": [(9, 24)], "contact: someone": [], "in 2024 at 12:30:45 (1 2)": [],
+        "é" * 600 + " contact: bob7!": [(610, 614)], "contact: ____ @": [],
+    }
+    frame = spark.createDataFrame([(r,) for r in [*rows, *asked]], "text string").repartition(3)
+    found = {r.text: [(s.start, s.end) for s in r.spans] for r in pii.find_pii(frame).collect()}
+    assert {t: found[t] for t in asked} == asked and all(len(found[r]) == 1 for r in rows)
+    assert {s.kind for r in pii.find_pii(frame).collect() for s in r.spans} == {"email"}
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    row = ("mail a@b.cc", "x", "y", "z", "w", 1, 2)
+    kind = "text string, spans string, base_spans string, _hash string, `a b` string, _source int, _added int"
+    frame = spark.createDataFrame([row], kind)
+    assert tuple(pii.redact_pii(frame).first()) == ("mail [EMAIL]", *row[1:]) and pii.redact_pii(frame).columns == frame.columns
+
+
 # near-duplicates
 def plain_fingerprint(text, n=3):
     from xxhash import xxh64_intdigest
@@ -271,6 +294,23 @@ def test_blocks_decode_references_and_skip_raw_elements():
     page = "<head><title>x</title></head><body><script>var t='</p>';</script><p>a &amp;  b<br>c<p>d<!-- e --><b>f</b><div>g"
     assert [b.text for b in html_text.blocks_of(page)] == ["a & b c", "df", "g"]
     assert html_text.blocks_of("") == [] and [b.text for b in html_text.blocks_of("a < b")] == ["a < b"]
+    odd = {
+        "<p>Let <math><mi>x</mi></math> be<p>c": ["Let x be", "c"], "<p>a <svg><text>b</text> c<p>d": ["a b c", "d"], "<p>a<noscript>b</noscript>c": ["abc"],
+        "<p>a<xmp>1 < 2 <b> &amp;</xmp>c": ["a", "1 < 2 <b> &amp;", "c"], "<xmp>open <p>": ["open <p>"], "so<img src=x>me<input>thing<wbr>": ["something"],
+        "<video>no <b>player</b></video> x<object>y</object>": ["no player xy"], "a<textarea>b</textarea><template><p>c</template><iframe>d</iframe>e": ["ae"],
+    }
+    assert {k: [b.text for b in html_text.blocks_of(k)] for k in odd} == odd
+
+
+def test_whole_paths_and_blocks_count():
+    deep = "".join(f"<div class=c{i}>" for i in range(3_000)) + "<p>x" + "".join("</div><p>y" for _ in range(2_999))
+    blocks = html_text.blocks_of(deep)
+    assert len(blocks) == 3_000 and len(list(html_text.marks_inside_out(blocks[0].path))) == 3_001
+    outer, middle = ("<div class=zebra>" + "<div>" * 30 + "<p>x", "<div>" * 15 + "<div class=zebra>" + "<div>" * 15 + "<p>x")
+    a, b = (html_text.vectors_of(html_text.blocks_of(page))[0] for page in (outer, middle))
+    assert (a == b).all() and a[: html_text.PATH].sum() == 3
+    late = html_text.vectors_of([html_text.Block("x" * 900 + "1" * 100, None, 0)])[0]
+    assert late[-2] == pytest.approx(0.1)
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
