@@ -18,10 +18,11 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from itertools import chain
+from sys import getsizeof
 
 from pyspark.sql import DataFrame
 
-from fleetgauge.llm.common import Memo, sliced, utf8
+from fleetgauge.llm.common import LONG, Memo, sliced, utf8
 
 NONE = 1 << 40
 NO = 2**31 - 1
@@ -201,8 +202,9 @@ class ByteBpe:
 
     def learn(self, pieces: set[str]) -> None:
         """Put the ids of new pieces into the cache, the short ones in blocks."""
-        if len(self.memo) + len(pieces) > self.memo.limit:
-            self.memo.clear()
+        kept = [piece for piece in pieces if len(piece) <= LONG]
+        # the ids of a piece have at most four bytes for each of its own
+        self.memo.grow(len(kept), 3 * sum(map(getsizeof, kept)))
         short = []
         for piece in pieces:
             data = piece.encode()

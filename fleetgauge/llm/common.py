@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from sys import getsizeof
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -94,19 +95,38 @@ def sliced(batches: Iterator, most_bytes: int = 4 * 1024**2) -> Iterator:
     pa.default_memory_pool().release_unused()
 
 
+# Longer keys of a cache seldom come again and are not kept.
+LONG = 256
+CACHE_BYTES = 64 * 1024**2
+
+
 class Memo(dict):
-    """A cache of `make(key)` that starts afresh when it holds `limit` keys, so its memory is bounded."""
+    """A cache of `make(key)` that starts afresh when it would hold more than `limit` keys or `most_bytes` bytes."""
 
-    def __init__(self, make, limit: int = 300_000):
+    def __init__(self, make, limit: int = 300_000, most_bytes: int = CACHE_BYTES):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.most_bytes, self.held = make, limit, most_bytes, 0
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        self[key] = value = self.make(key)
+        value = self.make(key)
+        if len(key) <= LONG:
+            self.grow(1, getsizeof(key) + getsizeof(value))
+            self[key] = value
         return value
 
+    def grow(self, keys: int, size: int) -> None:
+        """Room for so many more keys, which with their values have `size` bytes."""
+        if len(self) + keys > self.limit or self.held + size > self.most_bytes:
+            self.clear()
+            self.held = 0
+        self.held += size
+
+
+def plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with columns c0, c1, ..., so that none can clash with names an operator makes; and {name: new name}."""
+    names = {name: f"c{i}" for i, name in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
 
 def utf8(column) -> list[bytes]:
     """The texts of an Arrow column as UTF-8 bytes; null becomes empty."""

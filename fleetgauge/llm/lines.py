@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from fleetgauge.llm.common import staged
+from fleetgauge.llm.common import plain_names, staged
 
 MAX_RATIO = 0.08
 MIN_PAGES = 2
@@ -51,7 +51,8 @@ def drop_boilerplate(
     docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES
 ) -> DataFrame:
     """`docs` with boilerplate lines removed from `text`, and `n_dropped_lines`."""
-    docs = docs.drop("_page", "_drop", "n_dropped_lines")
+    docs, names = plain_names(docs.drop("n_dropped_lines"))
+    host, text = names[host], names[text]
     page = F.xxhash64(F.col(host), F.col(text))
     lines = docs.select(F.col(host).alias("_host"), page.alias("_page"), F.expr(_hashes(f"`{text}`")).alias("_lines"))
     lines = staged(lines.groupBy("_host", "_page").agg(F.first("_lines").alias("_lines")))
@@ -69,4 +70,4 @@ def drop_boilerplate(
     return found.withColumns({
         "n_dropped_lines": F.expr(f"cast(if(_kept IS NULL, 0, size({whole}) - size(_kept)) AS long)"),
         text: F.expr(f"if(_kept IS NULL, `{text}`, array_join(_kept, '\\n'))"),
-    }).select(*docs.columns, "n_dropped_lines")
+    }).select(*[F.col(own).alias(name) for name, own in names.items()], "n_dropped_lines")

@@ -20,7 +20,7 @@ from unicodedata import normalize
 
 from pyspark.sql import DataFrame, functions as F
 
-from fleetgauge.llm.common import sliced, task_count, utf8
+from fleetgauge.llm.common import CACHE_BYTES, LONG, sliced, task_count, utf8
 
 DIMENSIONS, BITS, BUCKETS, SEED = 4, 8, 256, 42
 
@@ -126,6 +126,7 @@ class Words:
         self.tokenizer, self.most_words, self.most_parts = Tokenizer.from_file(path), words, parts
         self.memo: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
+        self.held = 0  # bytes of the words since the caches were cleared
         self.mark = self._ids(self.MARK)
         with open(path) as file:
             model = json.load(file)["model"]
@@ -206,15 +207,28 @@ class Words:
         else:
             split = [data.lower().split() for data in texts]
         new = set().union(*split).difference(self.memo)
-        if len(self.memo) + len(new) > self.most_words:
+        size = sum(map(len, new)) + 100 * len(new)
+        if len(self.memo) + len(new) > self.most_words or self.held + size > CACHE_BYTES // 4:
+            # a word's ids, its part and the part's ids are about as long again
             self.memo.clear()
-            new = set().union(*split)
+            self.parts.clear()
+            new, self.held = set().union(*split), 0
+            size = sum(map(len, new)) + 100 * len(new)
+        self.held += size
+        long = [word for word in new if len(word) > LONG]
         if odd:
             for word in [w for w in new if b"<|" in w or self.MARK in w]:
                 self.memo[word] = np.array(self._ids(word), "<u4").tobytes()
                 new.remove(word)
         self._learn(list(new))
-        return [b"".join(map(self.memo.__getitem__, words)) for words in split]
+        found = [b"".join(map(self.memo.__getitem__, words)) for words in split]
+        if long:  # the caches keep none
+            for word in long:
+                self.held -= len(word) + 100
+                del self.memo[word]
+            for part in [part for part in self.parts if len(part) > LONG - len(self.STOPS)]:
+                del self.parts[part]
+        return found
 
 
 def byte_names() -> list[str]:

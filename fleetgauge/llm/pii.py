@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from fleetgauge.llm.common import dropped, staged
+from fleetgauge.llm.common import dropped, plain_names, staged
 
 KINDS = ("email", "ip", "card", "phone")
 # A match may start where the one before ended, or where no character of its first class stands before it: that
@@ -259,7 +259,7 @@ def redacted(text: str, spans: str) -> str:
 def redact_pii(docs: DataFrame, text: str = "text", how: Bootstrap = DEFAULT) -> DataFrame:
     """`docs` with every span of personal data in `text` replaced by its kind in brackets."""
     # under names of its own no column can clash with those made here
-    names = {name: f"c{i}" for i, name in enumerate(docs.columns)}
-    found = find_pii(docs.toDF(*names.values()), names[text], how=how)
+    plain, names = plain_names(docs)
+    found = find_pii(plain, names[text], how=how)
     found = found.withColumn(names[text], F.expr(redacted(names[text], "spans")))
     return found.select(*[F.col(own).alias(name) for name, own in names.items()])

@@ -25,7 +25,7 @@ from itertools import repeat
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fleetgauge.llm.common import Memo, arrow_rows, sliced, staged, utf8
+from fleetgauge.llm.common import Memo, arrow_rows, plain_names, sliced, staged, utf8
 
 # Frequent function words of four languages, for `DEFAULT`.
 COMMON_WORDS = (
@@ -57,7 +57,7 @@ class QualityRules:
 
 DEFAULT = QualityRules()
 LEARNED = QualityRules(learned_words=32)
-COUNTED = 200_000  # distinct words that a task counts before it passes them on
+COUNTED, COUNTED_BYTES = 200_000, 32 * 1024**2  # distinct words that a task counts before it passes them on
 
 
 def class_of_bytes():
@@ -126,7 +126,7 @@ def frequent_words(docs: DataFrame, n: int, text: str = "text", lang: str = "lan
             of = batch["_word_lang"].type
             for key, data in zip(batch["_word_lang"].to_pylist(), utf8(batch["_text"])):
                 counts.setdefault(key, Counter()).update(filter(None, bare(data.split())))
-            if sum(map(len, counts.values())) >= COUNTED:
+            if sum(map(len, counts.values())) >= COUNTED or sum(len(w) for own in counts.values() for w in own) >= COUNTED_BYTES:
                 yield from passed(of)
         yield from passed(of)
 
@@ -212,14 +212,15 @@ def judge_quality(
     docs: DataFrame, rules: QualityRules = LEARNED, text: str = "text", lang: str = "lang", carry: list[str] | None = None
 ) -> DataFrame:
     """The columns `carry` (all by default) with the base figures, both distances, `base_failed` and `kept`."""
-    added = {*BASE, "_classes", "_words", "_text", "_ref_lang", "_ref_classes", "_ref_words", "_ref_most", "_word_lang", "_common",
-             "char_distance", "word_distance", "base_failed", "kept"}
-    carry = [c for c in (carry or docs.columns) if c not in added]
+    made = [*BASE, "char_distance", "word_distance", "base_failed", "kept"]
+    asked = [c for c in (carry or docs.columns) if c not in made]
+    docs, names = plain_names(docs.select(*dict.fromkeys([*asked, lang, text])))
+    lang, text, carry = names[lang], names[text], [names[c] for c in dict.fromkeys([*asked, lang])]
     word_rule = f"coalesce(word_distance, 0D) <= {rules.max_word_distance}D"
     if rules.learned_words:
         words = staged(frequent_words(docs, rules.learned_words, text, lang), 1000)
         # a small table again, so each text gets its language's words without moving
-        docs = docs.select(*dict.fromkeys([*carry, lang, text])).join(words, F.col(lang).eqNullSafe(words["_word_lang"]), "left")
+        docs = docs.join(words, F.col(lang).eqNullSafe(words["_word_lang"]), "left")
         word_rule = f"coalesce(word_distance <= {rules.max_word_share}D * _ref_most, true)"
     with arrow_rows(docs.sparkSession, 1000):
         narrow = with_profiles(docs, [lang], rules, text)
@@ -238,5 +239,5 @@ def judge_quality(
                 f"AND {word_rule}))"
             ),
         )
-        .drop("_classes", "_words", "_ref_lang", "_ref_classes", "_ref_words", "_ref_most")
+        .select(*[F.col(names[c]).alias(c) for c in asked], *made)
     )

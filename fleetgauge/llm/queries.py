@@ -67,7 +67,7 @@ def op5_substring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
-    judged = quality.judge_quality(table(spark, folder, "documents").select("doc_id", "text", "lang"), quality.DEFAULT, carry=["doc_id", "lang"])
+    judged = quality.judge_quality(table(spark, folder, "documents").select("doc_id", "text", "lang"), carry=["doc_id"])
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept")
 
 
@@ -136,7 +136,6 @@ LLM_QUERIES: dict[str, Query] = {
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-_COMMON = ", ".join(f"('{w}')" for w in quality.DEFAULT.common_words)
 _CLASSES = {
     "lower": "[^a-z]", "upper": "[^A-Z]", "digit": "[^0-9]", "space": r"[^\x20\x09-\x0D]",
     "stop": r"""[^.,;:!?''"()\-]""", "symbol": "[^#*$%&|<>]", "two_byte": r"[^\x{80}-\x{7FF}]", "more_bytes": r"[\x{0}-\x{7FF}]",
@@ -188,10 +187,11 @@ LLM_ORACLE: dict[str, str] = {
         judged AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM base),
         profile AS (SELECT doc_id, lang, text, [{', '.join(f"length(regexp_replace(text, '{p}', '', 'g'))" for p in _CLASSES.values())}] AS c FROM judged),
         classes AS (SELECT doc_id, lang, unnest(list_append(c, length(text) - list_sum(c))) AS n, unnest(range(0, {len(_CLASSES) + 1})) AS place FROM profile),
-        common(word) AS (VALUES {_COMMON}),
-        bare AS (SELECT doc_id, trim({_LOWER.format('word')}, '.,;:!?') AS word FROM placed),
-        words AS (SELECT b.doc_id, j.lang, coalesce(c.word, '') AS place, count(*) AS n
-                  FROM bare b JOIN judged j ON b.doc_id = j.doc_id LEFT JOIN common c ON b.word = c.word GROUP BY ALL),
+        bare AS (SELECT p.doc_id, s.lang, trim({_LOWER.format('word')}, '.,;:!?') AS word FROM placed p JOIN split s ON p.doc_id = s.doc_id),
+        common AS (SELECT lang, word FROM bare WHERE word <> '' GROUP BY lang, word
+                   QUALIFY row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) <= {quality.LEARNED.learned_words}),
+        words AS (SELECT b.doc_id, b.lang, coalesce(c.word, '') AS place, count(*) AS n
+                  FROM bare b LEFT JOIN common c ON b.lang IS NOT DISTINCT FROM c.lang AND b.word = c.word GROUP BY ALL),
         good AS (SELECT doc_id FROM judged WHERE NOT base_failed),
         class_reference AS (SELECT lang, place, sum(n) AS n FROM classes SEMI JOIN good USING (doc_id) GROUP BY lang, place),
         places AS (SELECT DISTINCT lang, place FROM words),
@@ -199,11 +199,15 @@ LLM_ORACLE: dict[str, str] = {
                            FROM places p LEFT JOIN (SELECT * FROM words SEMI JOIN good USING (doc_id)) w
                              ON w.lang IS NOT DISTINCT FROM p.lang AND w.place = p.place GROUP BY p.lang, p.place),
         char_distance AS ({_sql_distance('classes', 'class_reference')}),
-        word_distance AS ({_sql_distance('words', 'word_reference')})
+        word_distance AS ({_sql_distance('words', 'word_reference')}),
+        -- a text without any frequent word has this distance, all of it in the share q of the other words
+        most AS (SELECT lang, sqrt(greatest(0.0, (ln(2 / (1 + q)) + if(q > 0, q * ln(2 * q / (1 + q)), 0) + ln(2) * (1 - q)) / (2 * ln(2)))) AS most
+                 FROM (SELECT lang, coalesce(sum(n) FILTER (place = ''), 0)::DOUBLE / sum(n) AS q FROM word_reference GROUP BY lang HAVING sum(n) > 0))
         SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-               (NOT base_failed AND (n_words < {quality.DEFAULT.min_words} OR (coalesce(c.d, 0) <= {quality.DEFAULT.max_char_distance}
-                AND coalesce(w.d, 0) <= {quality.DEFAULT.max_word_distance}))) AS kept
-        FROM judged j LEFT JOIN char_distance c ON j.doc_id = c.doc_id LEFT JOIN word_distance w ON j.doc_id = w.doc_id""",
+               (NOT base_failed AND (n_words < {quality.LEARNED.min_words} OR (coalesce(c.d, 0) <= {quality.LEARNED.max_char_distance}
+                AND coalesce(w.d <= {quality.LEARNED.max_word_share}::DOUBLE * m.most, true)))) AS kept
+        FROM judged j LEFT JOIN char_distance c ON j.doc_id = c.doc_id LEFT JOIN word_distance w ON j.doc_id = w.doc_id
+        LEFT JOIN most m ON j.lang IS NOT DISTINCT FROM m.lang""",
     "op11_search": rf"""
         WITH words AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format('text')}, '{lexical.TERM}')) AS term FROM documents),
         counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),

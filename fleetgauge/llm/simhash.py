@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fleetgauge.llm.common import sliced, staged, task_count, utf8
+from fleetgauge.llm.common import plain_names, sliced, staged, task_count, utf8
 from fleetgauge.llm.components import connected_components
 
 SEED = 42
@@ -245,9 +245,11 @@ def near_duplicates(
     carry = [c for c in (carry or docs.columns) if c not in ("fingerprint", "component_id")]
     if key not in carry:
         raise ValueError(f"{key} must be carried")
-    prints = staged(with_fingerprints(docs, text, shingle, carry), batch_rows=1000)
-    named = _named(prints, key, max_distance).drop("_root")
-    return prints.join(named, "_fp").withColumn("fingerprint", F.expr("lower(lpad(hex(_fp), 16, '0'))")).drop("_fp")
+    plain, names = plain_names(docs.select(*carry, *[c for c in (text,) if c not in carry]))
+    prints = staged(with_fingerprints(plain, names[text], shingle, [names[c] for c in carry]), batch_rows=1000)
+    named = _named(prints, names[key], max_distance).drop("_root")
+    found = prints.join(named, "_fp").withColumn("fingerprint", F.expr("lower(lpad(hex(_fp), 16, '0'))"))
+    return found.select(*[F.col(names[c]).alias(c) for c in carry], "component_id", "fingerprint")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, max_distance: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -257,7 +259,8 @@ def one_of_each(docs: DataFrame, shingle: int = 3, max_distance: int = 3, key: s
     Rows are chosen by id, fingerprint and hash alone; texts move once, to meet what was chosen. That join is never a
     broadcast, because what is chosen grows with the documents.
     """
-    columns = docs.columns
+    docs, names = plain_names(docs)
+    key, text = names[key], names[text]
     docs = docs.withColumn("_hash", F.xxhash64(text))
     prints = staged(with_fingerprints(docs, text, shingle, [key, "_hash"]), batch_rows=1000)
     named = _named(prints, key, max_distance)
@@ -269,4 +272,4 @@ def one_of_each(docs: DataFrame, shingle: int = 3, max_distance: int = 3, key: s
     same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_chosen"))
     kept = docs.join(chosen.hint("merge"), same, "left_semi")
     first = F.row_number().over(Window.partitionBy(key, "_hash").orderBy(F.lit(0)))
-    return kept.withColumn("_nth", first).where("_nth = 1").select(*columns)
+    return kept.withColumn("_nth", first).where("_nth = 1").select(*[F.col(own).alias(name) for name, own in names.items()])

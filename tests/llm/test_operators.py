@@ -407,3 +407,52 @@ def test_pipeline_keeps_what_its_stages_keep(spark):
             assert r.text == texts[r.doc_id]
     pieces = corpus_pipeline.run(spark, FOLDER).collect()
     assert {r.doc_id for r in pieces} == set(texts) and all(0 <= r.ids_crc32 < 2**32 for r in pieces)
+
+
+# names and memory
+MADE = "_fp _text _key _hash _chosen _nth _kept _page _drop _root _least _source _spans _others _added spans base_spans _curve _row _word_lang c0 c1".split()
+
+
+@pytest.mark.parametrize("name", ["near_duplicates", "one_of_each", "redact_pii", "drop_boilerplate", "judge_quality"])
+def test_columns_of_any_name_pass_through(spark, name):
+    rows = [(i, f"line one {i // 2}\nmail a@b{i}.cc and words", "s", "en", *(f"{c}{i}" for c in MADE)) for i in range(6)]
+    frame = spark.createDataFrame(rows, ["doc_id", "text", "source", "lang", *MADE])
+    operator = {"near_duplicates": simhash.near_duplicates, "one_of_each": simhash.one_of_each, "redact_pii": pii.redact_pii,
+                "drop_boilerplate": lines.drop_boilerplate, "judge_quality": quality.judge_quality}[name]
+    # the result columns spans and base_spans are made by find_pii alone
+    found = {r.doc_id: r for r in operator(frame).collect()}
+    assert found and all(found[i][c] == f"{c}{i}" for i in found for c in MADE)
+
+
+def test_caches_are_bounded_by_bytes(monkeypatch):
+    from fleetgauge.llm import common, packing
+
+    memo = common.Memo(lambda key: key * 2, most_bytes=20_000)
+    for i in range(2_000):
+        assert memo[f"key {i} " + "x" * (i % 400)] == (f"key {i} " + "x" * (i % 400)) * 2
+        assert memo.held <= 20_000 and all(len(k) <= common.LONG for k in memo)
+    pick = random.Random(8)
+    texts = ["".join(chr(pick.randint(0x4E00, 0x9FFF)) for _ in range(1_500)) for _ in range(300)]
+    texts += [" ".join(pick.choice("abcdefgh") * pick.randint(1, 300) + str(pick.randint(0, 9)) for _ in range(200)) for _ in range(50)]
+    path = queries.vocabulary("byte_bpe_multi_50k.tiktoken")
+    coder, small = bpe.ByteBpe(path, queries.split_pattern()), bpe.ByteBpe(path, queries.split_pattern())
+    small.memo.most_bytes = 100_000
+    word_path = queries.vocabulary("word_bpe_49k.json")
+    words, few = packing.Words(word_path), packing.Words(word_path)
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(word_path)
+    for at in range(0, len(texts), 25):
+        part = texts[at : at + 25]
+        assert coder.encode_all(part) == small.encode_all(part)
+        data = [t.encode() for t in part]
+        whole = words.encode_all(data)
+        with monkeypatch.context() as patch:
+            patch.setattr(packing, "CACHE_BYTES", 100_000)
+            assert few.encode_all(data) == whole
+        assert [np.frombuffer(w, "<u4").tolist() for w in whole] == [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+        for cache in (coder.memo, small.memo, words.memo, few.memo, words.parts, few.parts):
+            assert all(len(k) <= common.LONG for k in cache)
+            # unspaced texts leave nothing; later the small caches hold one call's words at most
+            held = sum(len(k) + len(v) for k, v in cache.items())
+            assert held < 200_000 if at < 300 else cache in (coder.memo, words.memo, words.parts) or held < 3 * sum(map(len, data))
