@@ -7,7 +7,7 @@ word by word: all windows around a hit that are themselves shared make up the ma
 lies in such a repeat of which each window also starts in a text with a smaller id.
 
 Steps, all over whole texts:
-1. texts are dealt to chunks by a hash of their id (one shuffle, used three times);
+1. texts are dealt to chunks by a hash of id and text, so that an id of many rows is spread (one shuffle, used three times);
 2. each chunk sends its distinct probes, sorted and packed to about six bytes each, to hash buckets;
 3. each bucket answers each chunk with the probes that hit a block elsewhere;
 4. each chunk extends its hits to windows and sends (window hash, least id);
@@ -16,7 +16,7 @@ A passage that very many texts share costs one row for each chunk, not for each
 chooses where to extend; windows by 64 bits, so among n windows a wrong match has a chance of about n * n / 2^65.
 
 Null text has no words. A row with a null id is neither a reference nor changed. Rows that repeat an id do not count
-against each other, and each is treated for itself. Texts shorter than a window stay whole. An empty table gives an
+against each other, and each is treated for itself; only rows equal in id and text share a chunk for certain. Texts shorter than a window stay whole. An empty table gives an
 empty table. Ids must be whole numbers. Only the named columns are read.
 """
 
@@ -226,7 +226,7 @@ def substring_dedup(
     parts = parts or task_count(docs)
     pieces = 2 * parts
     dealt = docs.select(
-        F.expr(f"pmod(if(`{key}` IS NULL, xxhash64(`{text}`), xxhash64(`{key}`)), {pieces}L)").alias("chunk"),
+        F.expr(f"pmod(xxhash64(`{key}`, `{text}`), {pieces}L)").alias("chunk"),
         F.col(key).cast("long").alias("id"), F.col(text).alias("text"),
     ).repartition(parts, "chunk")
     row = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])

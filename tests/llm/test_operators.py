@@ -250,6 +250,16 @@ def test_substring_dedup_equals_all_windows(docs, empty):
     assert substring.substring_dedup(empty).count() == 0
 
 
+def test_an_id_of_many_rows_is_spread(spark):
+    shared = " ".join(f"s{i}" for i in range(20))
+    rows = [(7, f"own{i} {shared} end{i}") for i in range(300)] + [(None, f"n{i} {shared}") for i in range(100)] + [(9, f"x {shared} y"), (5, "z " + shared[:-4])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = substring.substring_dedup(frame, parts=8).collect()
+    # id 5 has the first nineteen shared words, so id 7 keeps the twentieth; id 9 loses all
+    assert {(r.doc_id, r.n_removed) for r in found} == {(5, 0), (7, 19), (9, 20), (None, 0)}
+    assert len(found) == len(rows)
+
+
 def test_quality_on_odd_rows(docs, empty):
     found = {r.doc_id: r for r in quality.judge_quality(docs).collect()}
     assert found[10].n_words == 0 and found[10].base_failed and not found[10].kept
