@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
@@ -28,6 +29,10 @@ MEASURES = (
 )
 
 
+# The fields of a configuration that name a column.
+COLUMN_FIELDS = ("key", "time", "day", "ingested", "source", "rescued", "target")
+
+
 @dataclass(frozen=True)
 class SensorConfig:
     key: str = "turbine_id"
@@ -53,10 +58,23 @@ class SensorConfig:
 
     @classmethod
     def from_session(cls, spark: SparkSession) -> SensorConfig:
-        """Defaults, overridden by `fleetgauge.*` settings of the session."""
+        """Defaults, overridden by `fleetgauge.*` settings of the session.
+
+        `fleetgauge.column.<field>` names the key, time, day, ingested, source, rescued or target column. `fleetgauge.measures` is a JSON
+        list of the value columns with their bounds: `[{"name": "power_output", "low": 0, "high": null, "high_is_valid": true}]`.
+        """
         base = cls()
+        names = {field: spark.conf.get(f"fleetgauge.column.{field}", getattr(base, field)) for field in COLUMN_FIELDS}
+        given = spark.conf.get("fleetgauge.measures", "")
+        measures = tuple(Measure(**measure) for measure in json.loads(given)) if given else base.measures
+        if names["target"] not in {m.name for m in measures}:
+            raise ValueError(f"the target column {names['target']} is not among the value columns")
+        per_day = spark.conf.get("fleetgauge.readingsPerDay", "")
         return replace(
             base,
+            **names,
+            measures=measures,
+            readings_per_day=int(per_day) if per_day else base.readings_per_day,
             threshold=float(spark.conf.get("fleetgauge.threshold", str(base.threshold))),
             flat_tolerance=float(spark.conf.get("fleetgauge.flatTolerance", str(base.flat_tolerance))),
             busy_day_rows=int(spark.conf.get("fleetgauge.busyDayRows", str(base.busy_day_rows))),

@@ -393,6 +393,11 @@ FROM silver QUALIFY broken <> ''"""),
     "kpis_from_tables": ORACLE["turbine_kpis"],
     "chart_feed_from_tables": ORACLE["chart_feed"],
     "one_turbine_daily": _gold(f"{_ROUNDED_SUMMARY} WHERE turbine_id = 3 ORDER BY date"),
+    "one_turbine_kpis": _gold("""
+SELECT k.turbine_id::INTEGER AS turbine_id, count(s.date) AS days_of_data, coalesce(sum(s.imputed_count), 0)::BIGINT AS total_imputed,
+       (SELECT count(*) FROM anomalies a WHERE a.is_anomaly AND a.turbine_id = k.turbine_id) AS anomaly_count,
+       round(avg(s.avg_power_output), 6) AS mean_daily_power
+FROM (VALUES (3), (999)) k(turbine_id) LEFT JOIN summary s ON s.turbine_id = k.turbine_id GROUP BY k.turbine_id"""),
     "one_turbine_anomalies": _gold(
         'SELECT turbine_id, date, "timestamp", power_output FROM anomalies WHERE is_anomaly AND turbine_id = 3 '
         'ORDER BY "timestamp"'

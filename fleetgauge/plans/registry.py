@@ -41,7 +41,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 HOURLY = replace(DEFAULT, readings_per_day=24)
 FILL_CAP = timedelta(hours=6)
 # Late readings delivered without a time; rows that make a day busy; the device of the one-device reports.
-UNREADABLE, BUSY, ONE = "event_id % 21 = 0", 8, 3
+UNREADABLE, BUSY, ONE, UNKNOWN = "event_id % 21 = 0", 8, 3, 999
 FILLED = [*HOURLY.value_names, *[f"{n}_was_imputed" for n in HOURLY.value_names]]
 
 
@@ -347,6 +347,10 @@ QUERIES: dict[str, Query] = {
         reports.chart_feed_in_one_pass(_silver(s, d), cfg=HOURLY), "avg_power_output"
     ),
     "one_turbine_daily": lambda s, d: _rounded(reports.turbine_daily(_summary(s, d), ONE), "avg_power_output"),
+    "one_turbine_kpis": lambda s, d: _rounded(
+        reports.turbine_kpis(_summary(s, d), _anomalies(s, d), ONE).unionByName(reports.turbine_kpis_in_one_pass(_silver(s, d), UNKNOWN, HOURLY)),
+        "mean_daily_power",
+    ),
     "one_turbine_anomalies": lambda s, d: reports.turbine_anomalies(_anomalies(s, d), ONE),
     "one_turbine_invalid_direction": lambda s, d: reports.invalid_direction_rows(_silver(s, d), ONE),
     # named extensions, off by default

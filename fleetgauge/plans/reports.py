@@ -34,12 +34,17 @@ def turbine_anomalies(anomalies: DataFrame, turbine: int | None = None) -> DataF
 
 
 def turbine_kpis(summary: DataFrame, anomalies: DataFrame, turbine: int | None = None) -> DataFrame:
-    """Days, filled readings, anomalies and the unweighted mean of daily means, per device."""
-    days = _one(summary, turbine).groupBy("turbine_id").agg(
+    """Days, filled readings, anomalies and the unweighted mean of daily means, per device.
+
+    A device asked for by number always has its row, of zeros and no mean if nothing is known of it.
+    """
+    days = _by_device(_one(summary, turbine), turbine).agg(
         F.count(F.lit(1)).alias("days_of_data"),
         F.coalesce(F.sum("imputed_count"), F.lit(0)).alias("total_imputed"),
         F.avg("avg_power_output").alias("mean_daily_power"),
     )
+    if turbine is not None:
+        days = _named(days, turbine, summary.schema["turbine_id"].dataType)
     found = anomaly_counts(_one(anomalies, turbine))
     return days.join(found, "turbine_id", "left").select(
         "turbine_id", "days_of_data", "total_imputed",
@@ -56,12 +61,22 @@ def turbine_kpis_in_one_pass(
         F.count_if(F.col(f"{cfg.target}_was_imputed")).alias("_imputed"),
         F.count_if("is_anomaly").alias("_anomalies"),
     )
-    return days.groupBy(cfg.key).agg(
+    found = _by_device(days, turbine, cfg.key).agg(
         F.count(F.lit(1)).alias("days_of_data"),
-        F.sum("_imputed").alias("total_imputed"),
-        F.sum("_anomalies").alias("anomaly_count"),
+        F.coalesce(F.sum("_imputed"), F.lit(0)).alias("total_imputed"),
+        F.coalesce(F.sum("_anomalies"), F.lit(0)).alias("anomaly_count"),
         F.avg("_mean").alias("mean_daily_power"),
     )
+    return found if turbine is None else _named(found, turbine, silver.schema[cfg.key].dataType, cfg.key)
+
+
+def _by_device(df: DataFrame, turbine: int | None, key: str = "turbine_id") -> GroupedData:
+    """Groups of devices; of one device a single group, which has a result even without rows."""
+    return df.groupBy(key) if turbine is None else df.groupBy()
+
+
+def _named(df: DataFrame, turbine: int, kind: DataType, key: str = "turbine_id") -> DataFrame:
+    return df.select(F.lit(turbine).cast(kind).alias(key), "*")
 
 
 def fleet_quality(silver: DataFrame, cfg: SensorConfig = DEFAULT) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 
 import pytest
 from frames import at, hours, readings, targets
+from pyspark.sql import functions as F
 
 from fleetgauge.operators.anomalies import flag_anomalies
 from fleetgauge.operators.gaps import absent_hours, with_absent_hours
@@ -137,3 +138,11 @@ def test_rules_count_null_as_failure_and_honour_the_allowance(spark):
     rows = {r.rule: r for r in check_rules(df, [Rule("small", "v < 4", 0.5), Rule("present", "v IS NOT NULL")]).collect()}
     assert (rows["small"].checked_rows, rows["small"].failed_rows, rows["small"].passed) == (4, 2, True)
     assert (rows["present"].failed_rows, rows["present"].passed) == (1, False)
+
+
+def test_an_unknown_device_has_a_row_of_zeros(spark):
+    fleet = targets(spark, hours(1, "2022-03-01", [1.0, 2.0])).withColumn("date", F.to_date("timestamp"))
+    want = (999, 0, 0, 0, None)
+    assert tuple(reports.turbine_kpis(daily_summary(fleet), flag_anomalies(fleet), 999).first()) == want
+    assert tuple(reports.turbine_kpis_in_one_pass(fleet, 999).first()) == want
+    assert reports.turbine_kpis_in_one_pass(fleet, 1).collect() == reports.turbine_kpis_in_one_pass(fleet).collect()

@@ -23,6 +23,42 @@ def test_session_settings_override_defaults(spark):
     assert SensorConfig.from_session(spark) == DEFAULT
 
 
+def test_columns_and_bounds_can_be_set(spark):
+    from frames import readings
+
+    from fleetgauge.operators.clean import clean_readings
+
+    set_ = {
+        "column.key": "meter", "column.time": "at", "column.target": "load", "readingsPerDay": "24",
+        "measures": '[{"name": "load", "low": 1, "high": 5, "high_is_valid": false}]',
+    }
+    for name, value in set_.items():
+        spark.conf.set(f"fleetgauge.{name}", value)
+    try:
+        cfg = SensorConfig.from_session(spark)
+        spark.conf.set("fleetgauge.column.target", "other")
+        with pytest.raises(ValueError, match="other"):
+            SensorConfig.from_session(spark)
+    finally:
+        for name in set_:
+            spark.conf.unset(f"fleetgauge.{name}")
+    assert (cfg.key, cfg.time, cfg.value_names, cfg.readings_per_day, cfg.day) == ("meter", "at", ("load",), 24, "date")
+    rows = [(1, f"2024-01-01 0{h}:00:00", p, None, None) for h, p in enumerate((2.0, 5.0, 0.5, 4.9))]
+    df = readings(spark, rows).selectExpr("turbine_id AS meter", "timestamp AS at", "power_output AS load")
+    found = clean_readings(df, cfg).orderBy("at").collect()
+    assert [(r.load, r.load_was_invalid, r.load_was_imputed) for r in found] == [
+        (2.0, False, False), (2.0, True, True), (2.0, True, True), (4.9, False, False),
+    ]
+
+
+def test_generated_feed_can_be_zipf_and_late(spark):
+    rows = generate_readings(spark, 40_000, 50, zipf=True, late_share=0.1).collect()
+    counts = [sum(r.turbine_id == t for r in rows) for t in (1, 2, 4, 50)]
+    assert counts[0] > 1.4 * counts[1] > 2.4 * counts[2] > 10 * counts[3] > 0 and max(r.turbine_id for r in rows) == 50
+    assert 0.09 < sum(r._late for r in rows) / len(rows) < 0.11
+    assert len({(r.turbine_id, r.timestamp) for r in rows}) > 0.97 * len(rows)
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
