@@ -97,7 +97,7 @@ def sliced(batches: Iterator, most_bytes: int = 4 * 1024**2) -> Iterator:
 
 # Longer keys of a cache seldom come again and are not kept.
 LONG = 256
-CACHE_BYTES = 64 * 1024**2
+CACHE_BYTES = 128 * 1024**2
 
 
 class Memo(dict):

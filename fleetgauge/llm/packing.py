@@ -126,7 +126,7 @@ class Words:
         self.tokenizer, self.most_words, self.most_parts = Tokenizer.from_file(path), words, parts
         self.memo: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
-        self.held = 0  # bytes of the words since the caches were cleared
+        self.held = 0  # bytes of the words learned since the parts were cleared
         self.mark = self._ids(self.MARK)
         with open(path) as file:
             model = json.load(file)["model"]
@@ -207,13 +207,15 @@ class Words:
         else:
             split = [data.lower().split() for data in texts]
         new = set().union(*split).difference(self.memo)
-        size = sum(map(len, new)) + 100 * len(new)
-        if len(self.memo) + len(new) > self.most_words or self.held + size > CACHE_BYTES // 4:
-            # a word's ids, its part and the part's ids are about as long again
-            self.memo.clear()
+        size = sum(map(len, new))
+        if self.held + size > CACHE_BYTES // 16:
+            # ids can be four times as long as a word, and its part is kept with its ids too
             self.parts.clear()
-            new, self.held = set().union(*split), 0
-            size = sum(map(len, new)) + 100 * len(new)
+            self.held = 0
+        if len(self.memo) + len(new) > self.most_words or not self.held:
+            self.memo.clear()
+            new = set().union(*split)
+            size = sum(map(len, new))
         self.held += size
         long = [word for word in new if len(word) > LONG]
         if odd:
@@ -224,7 +226,7 @@ class Words:
         found = [b"".join(map(self.memo.__getitem__, words)) for words in split]
         if long:  # the caches keep none
             for word in long:
-                self.held -= len(word) + 100
+                self.held -= len(word)
                 del self.memo[word]
             for part in [part for part in self.parts if len(part) > LONG - len(self.STOPS)]:
                 del self.parts[part]
