@@ -15,7 +15,8 @@ def quarantine_reason(df: DataFrame, cfg: SensorConfig = DEFAULT) -> Column:
     )
     if cfg.rescued in df.columns:
         own = F.array(*[F.lit(name) for name in (*NAMES, BAD_LINE)])
-        unparsed = F.arrays_overlap(F.json_object_keys(cfg.rescued), own)
+        # what is kept there in another form than an object of names counts too
+        unparsed = F.coalesce(F.arrays_overlap(F.json_object_keys(cfg.rescued), own), F.col(cfg.rescued).isNotNull())
         reason = reason.when(unparsed, F.lit("unparsed value"))
     return reason
 
