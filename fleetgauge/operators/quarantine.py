@@ -8,20 +8,27 @@ from fleetgauge.config import DEFAULT, SensorConfig
 from fleetgauge.sources.landing import BAD_LINE, NAMES
 
 
-def quarantine_reason(df: DataFrame, cfg: SensorConfig = DEFAULT) -> Column:
-    """Why a raw row cannot be trusted, or NULL. Values of columns that only the file has are no fault of the row."""
+def quarantine_reason(df: DataFrame, cfg: SensorConfig = DEFAULT, extras_are_faults: bool = True) -> Column:
+    """Why a raw row cannot be trusted, or NULL.
+
+    Any rescued data is a reason; without `extras_are_faults`, values of columns that only the file has are none.
+    """
     reason = F.when(F.col(cfg.key).isNull(), F.lit("no device")).when(
         F.col(cfg.time).isNull(), F.lit("no time")
     )
     if cfg.rescued in df.columns:
-        own = F.array(*[F.lit(name) for name in (*NAMES, BAD_LINE)])
-        # what is kept there in another form than an object of names counts too
-        unparsed = F.coalesce(F.arrays_overlap(F.json_object_keys(cfg.rescued), own), F.col(cfg.rescued).isNotNull())
+        unparsed = F.col(cfg.rescued).isNotNull()
+        if not extras_are_faults:
+            own = F.array(*[F.lit(name) for name in (*NAMES, BAD_LINE)])
+            # what is kept there in another form than an object of names is a fault too
+            unparsed = F.coalesce(F.arrays_overlap(F.json_object_keys(cfg.rescued), own), unparsed)
         reason = reason.when(unparsed, F.lit("unparsed value"))
     return reason
 
 
-def split_quarantine(df: DataFrame, cfg: SensorConfig = DEFAULT) -> tuple[DataFrame, DataFrame]:
+def split_quarantine(
+    df: DataFrame, cfg: SensorConfig = DEFAULT, extras_are_faults: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """(accepted, quarantined); together they are the input, the second with `_reason`."""
-    marked = df.withColumn("_reason", quarantine_reason(df, cfg))
+    marked = df.withColumn("_reason", quarantine_reason(df, cfg, extras_are_faults))
     return marked.filter(F.col("_reason").isNull()).drop("_reason"), marked.filter(F.col("_reason").isNotNull())

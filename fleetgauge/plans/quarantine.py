@@ -1,7 +1,7 @@
 """Bad lines set aside with the file version they came in, and released when the file is corrected.
 
 `set_aside` copies the lines of new bronze batches that cannot be trusted to the quarantine table, batch by batch; running it again replaces the
-same batch. A line is known by its file, the version of the file, and its content; equal lines of a version are one row with their count.
+same batch. Values of columns that only the file has are no fault. A line is known by its file, the version of the file, and its content; equal lines of a version are one row with their count.
 
 Whether a line is still open follows from the ledger: when a newer version of its file has been read, the lines of older versions are released, and
 those that are still bad stand there anew under the new version. So a corrected file empties its quarantine, whatever became of the
@@ -39,7 +39,7 @@ def set_aside(
         left = known.join(done, ["feed", "ingest_batch"], "left_anti").orderBy("feed", "ingest_batch")
         batches = [(row["feed"], row["ingest_batch"]) for row in left.collect()]
     for feed, batch in batches:
-        bad = split_quarantine(read_batch(spark, layers, feed, batch).drop(cfg.day), cfg)[1]
+        bad = split_quarantine(read_batch(spark, layers, feed, batch).drop(cfg.day), cfg, extras_are_faults=False)[1]
         lines = bad.withColumn("line_key", F.xxhash64(*_CONTENT))
         names = [c for c in lines.columns if c != "line_key"]
         counted = lines.groupBy(*names, "line_key").agg(F.count(F.lit(1)).alias("copies"))
