@@ -7,8 +7,11 @@ depth 64 / (d + 1), are compared. From there the trie is joined with itself: nod
 together, differing bits add up, and a pair of nodes beyond the budget is pruned. Pairs of nodes whose leaves are one component
 already are pruned too, because only reachability counts; the tasks give spanning links, never all pairs.
 
-A node with very many fingerprints is cut into buckets of at most `task_rows`, and every pair of buckets is a task of its own, so no
-group meets in one task and no link is lost. Components are found by rounds of joins on written tables.
+A node with very many fingerprints is cut into buckets by its next bits, that is at a deeper level of its trie; every pair of buckets
+whose bits differ within the budget is a task of its own, and other pairs are never made. So a fingerprint is copied once for each
+node in reach at that level (93 of 256 for 8 bits, 697 of 65,536 for 16, the most that are used), not for each bucket. What is
+then still above `task_rows` (much-alike fingerprints) is cut by a hash into parts that all meet. So no group
+meets in one task and no link is lost. Components are found by rounds of joins on written tables.
 
 Null or empty text and texts without words have the fingerprint zero and are linked like any other. A null id never names
 a component unless all ids of it are null. Repeated rows come back as often as they came. Ties cannot arise: the smallest
@@ -25,6 +28,8 @@ from fleetgauge.llm.common import plain_names, sliced, staged, task_count, utf8
 from fleetgauge.llm.components import connected_components
 
 SEED = 42
+# The most bits that cut a crowded node; each node is tested against all masks of so many bits.
+CUT_BITS = 16
 
 
 def fingerprint(data: bytes, shingle: int) -> int:
@@ -91,11 +96,12 @@ def _merge(label, a, b) -> None:
             label[:] = jumped
 
 
-def trie_links(group, bits, depth: int, budget: int, chunk: int = 1 << 18):
+def trie_links(group, bits, depth: int, budget: int, side=None, chunk: int = 1 << 18):
     """Join tries with themselves. `bits` (unsigned, sorted within each group) agree in their first `depth` bits within a group.
 
-    Returns for each place the least place it is linked with through links of at most `budget` bits inside its group. Works on
-    blocks of at most about `chunk` node pairs, the deepest first, so memory is bounded.
+    Returns for each place the least place it is linked with through links of at most `budget` bits inside its group. If `side` is
+    given (0 or 1, groups sorted by it first), a group with both has only its links from one side to the other followed. Works
+    on blocks of at most about `chunk` node pairs, the deepest first, so memory is bounded.
     """
     import numpy as np
 
@@ -107,10 +113,14 @@ def trie_links(group, bits, depth: int, budget: int, chunk: int = 1 << 18):
     start, end = borders[:-1], borders[1:]
     large = end - start > 1
     start, end = start[large], end[large]
+    ahead = np.r_[0, np.cumsum(np.zeros(n, "int64") if side is None else side)]
+    second = end - (ahead[end] - ahead[start])
+    two = (second > start) & (second < end)
     ones: dict[int, object] = {}
     run = _uniform_from(label)
     # a block: depth, first node from-to, second node from-to, differing bits; equal nodes stand for a self-pair
-    stack = [(depth, start, end, start, end, np.zeros(len(start), "int64"))]
+    first = (start, np.where(two, second, end), np.where(two, second, start), end)
+    stack = [(depth, *first, np.zeros(len(start), "int64"))]
     while stack:
         level, a0, a1, b0, b1, used = stack.pop()
         if len(a0) > chunk:
@@ -164,8 +174,11 @@ def _rotated(fp, block, width: int):
     return np.where(shift == 0, fp, fp << shift | fp >> (np.uint64(64) - shift) % np.uint64(64))
 
 
-def near_links(nodes: DataFrame, max_distance: int = 3, task_rows: int = 4096) -> DataFrame:
-    """(u, v): links that connect every two fingerprints (`_fp`, distinct) within `max_distance` bits, directly or not."""
+def dealt_to_tasks(nodes: DataFrame, max_distance: int, task_rows: int) -> DataFrame:
+    """Each fingerprint (`_fp`, distinct) once for each task it takes part in: (`_fp`, `_side`, `_block`, `_value`, `_i`, `_j`).
+
+    A task is a block value and two buckets of it, with side 0 and 1, or one (twice the same number), with side 0.
+    """
     blocks = max_distance + 1
     width = 64 // blocks
     if max_distance > 15:
@@ -173,17 +186,43 @@ def near_links(nodes: DataFrame, max_distance: int = 3, task_rows: int = 4096) -
     placed = nodes.select("_fp", F.explode(F.expr(f"sequence(0, {blocks - 1})")).alias("_block")).withColumn(
         "_value", F.expr(f"shiftrightunsigned(shiftleft(_fp, _block * {width}), {64 - width})")
     )
+    ring = f"shiftleft(_fp, _block * {width}) | shiftrightunsigned(_fp, 64 - _block * {width})"
     crowded = staged(
         placed.groupBy("_block", "_value").count().where(F.col("count") > task_rows)
-        .select("_block", "_value", F.expr(f"cast(ceil(count / {task_rows}) AS int)").alias("_parts"))
+        .withColumn("_bits", F.expr(f"cast(least({min(CUT_BITS, 64 - width)}, ceil(log2(2 * count / {task_rows}))) AS int)"))
+        .select("_block", "_value", "_bits")
+    )
+    cells = placed.join(crowded, ["_block", "_value"], "left").withColumn(
+        "_cell", F.expr(f"shiftrightunsigned(shiftleft({ring}, {width}), 64 - _bits)")
     )
-    dealt = placed.join(crowded, ["_block", "_value"], "left").withColumn(
-        "_part", F.expr("if(_parts IS NULL, 0, pmod(xxhash64(_fp), _parts))")
+    filled = staged(
+        cells.where("_bits IS NOT NULL").groupBy("_block", "_value", "_bits", "_cell").count()
+        .withColumn("_parts", F.expr(f"ceil(count / {task_rows})")).drop("count")
     )
-    # every pair of buckets of a crowded node is a task
-    dealt = dealt.withColumn("_other", F.explode(F.expr("if(_parts IS NULL, array(0L), sequence(0L, _parts - 1L))"))).select(
-        "_fp", "_block", "_value", F.least("_part", "_other").alias("_i"), F.greatest("_part", "_other").alias("_j")
+    # the filled buckets within the budget of each filled bucket, itself included
+    reach = F.expr(f"filter(sequence(0L, shiftleft(1L, _bits) - 1L), m -> bit_count(m) <= {max_distance})")
+    near = filled.withColumn("_mask", F.explode(reach)).select(
+        "_block", "_value", "_cell", "_parts", F.expr("_cell ^ _mask").alias("_near")
     )
+    others = filled.select("_block", "_value", F.col("_cell").alias("_near"), F.col("_parts").alias("_near_parts"))
+    meets = staged(near.join(others, ["_block", "_value", "_near"]))
+    # a bucket's number: its bits and, below them, its part
+    return (
+        cells.join(meets, ["_block", "_value", "_cell"], "left")
+        .withColumn("_own", F.expr("if(_parts IS NULL, 0L, shiftleft(_cell, 40) | pmod(xxhash64(_fp), _parts))"))
+        .withColumn("_part", F.explode(F.expr("if(_parts IS NULL, array(0L), sequence(0L, _near_parts - 1L))")))
+        .withColumn("_other", F.expr("if(_parts IS NULL, 0L, shiftleft(_near, 40) | _part)"))
+        .selectExpr(
+            "_fp", "cast(_own > _other AS long) AS _side", "_block", "_value",
+            "least(_own, _other) AS _i", "greatest(_own, _other) AS _j",
+        )
+    )
+
+
+def near_links(nodes: DataFrame, max_distance: int = 3, task_rows: int = 4096) -> DataFrame:
+    """(u, v): links that connect every two fingerprints (`_fp`, distinct) within `max_distance` bits, directly or not."""
+    width = 64 // (max_distance + 1)
+    dealt = dealt_to_tasks(nodes, max_distance, task_rows)
     keys = ["_block", "_value", "_i", "_j"]
     parts = task_count(nodes, 16 * 1024**2)
     dealt = dealt.repartition(parts, *keys).sortWithinPartitions(*keys)
@@ -191,13 +230,13 @@ def near_links(nodes: DataFrame, max_distance: int = 3, task_rows: int = 4096) -
     def links(columns):
         import numpy as np
 
-        fp, block, *rest = columns
+        fp, side, block, *rest = columns
         fp = fp.view("uint64")
         group = np.cumsum(np.r_[0, np.any([c[1:] != c[:-1] for c in (block, *rest)], axis=0)])
         bits = _rotated(fp, block, width)
-        order = np.lexsort((bits, group))
+        order = np.lexsort((bits, side, group))
         group, bits, fp = group[order], bits[order], fp[order]
-        label = trie_links(group, bits, width, max_distance)
+        label = trie_links(group, bits, width, max_distance, side[order])
         moved = np.flatnonzero(label != np.arange(len(label)))
         return fp[moved].view("int64"), fp[label[moved]].view("int64")
 
@@ -213,7 +252,7 @@ def near_links(nodes: DataFrame, max_distance: int = 3, task_rows: int = 4096) -
             held = columns if held is None else [np.r_[a, b] for a, b in zip(held, columns)]
             if len(held[0]) < 200_000:
                 continue
-            last = np.flatnonzero(np.any([c[1:] != c[:-1] for c in held[1:]], axis=0))
+            last = np.flatnonzero(np.any([c[1:] != c[:-1] for c in held[2:]], axis=0))
             if len(last):  # the last group may go on in the next batch
                 cut = last[-1] + 1
                 u, v = links([c[:cut] for c in held])

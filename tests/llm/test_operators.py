@@ -156,7 +156,7 @@ def test_near_duplicates_equal_all_pairs(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.one_of_each(empty).columns == docs.columns
 
 
-@pytest.mark.parametrize("task_rows", [4096, 20])
+@pytest.mark.parametrize("task_rows", [4096, 20, 3])
 def test_trie_join_finds_every_link(spark, task_rows):
     from fleetgauge.llm.components import connected_components
 
@@ -176,6 +176,16 @@ def test_trie_join_finds_every_link(spark, task_rows):
     assert dict(map(tuple, found)) == {s: min(g) for g in groups.values() if len(g) > 1 for s in g}
 
 
+def test_buckets_out_of_reach_never_meet(spark):
+    """All share one block; eight more bits cut them, so each meets the 93 buckets within three bits, not all 256."""
+    prints = [5 << 48 | int(i) for i in np.random.default_rng(4).choice(2**48, 16_000, replace=False)]
+    nodes = spark.createDataFrame([(p,) for p in prints], "_fp long")
+    dealt = simhash.dealt_to_tasks(nodes, 3, 160).where("_block = 0")
+    n, most = dealt.groupBy("_fp").count().selectExpr("count(*)", "max(count)").first()
+    assert n == 16_000 and most == 93
+    assert dealt.groupBy("_i", "_j").count().selectExpr("max(count)").first()[0] <= 2 * 160
+
+
 # tokens
 def test_bpe_equals_the_library_and_decodes_to_the_text(docs, empty):
     import tiktoken
