@@ -16,7 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from operator import add
-from unicodedata import normalize
+from string import punctuation
+from unicodedata import normalize, ucd_3_2_0
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -107,12 +108,12 @@ class Words:
     """Token ids of whole texts by a tokenizer file that drops white space, lower-cases, and cuts runs of letters, single digits and
     runs of other characters before it merges bytes, with its own ids for the last byte of a run.
 
-    So a word can be encoded apart from its neighbours, and its closing stops apart from the rest of it. Both are kept in
+    So a word can be encoded apart from its neighbours, and its closing run of ASCII punctuation apart from the rest of it. Both are kept in
     bounded caches. New words of letters alone, nearly all, are merged in blocks by the file's merges; all others are
     given to the tokenizer itself, in one call for many, with a mark between them.
     """
 
-    STOPS = b".,;:!?"
+    STOPS = punctuation.encode()
     MARK = b"\x01"
 
     def __init__(self, path: str, words: int = 300_000, parts: int = 600_000):
@@ -168,6 +169,15 @@ class Words:
         text = part.decode()
         return text.isalpha() and text.islower() and normalize("NFC", text).lower() == text
 
+    @staticmethod
+    def _ends_run(core: bytes) -> bool:
+        """Whether the last character is a letter or number, in the oldest and the newest Unicode known here, so that punctuation behind
+        it begins a run of its own."""
+        if not core or core[-1] < 0x80:
+            return core[-1:].isalnum()
+        last = normalize("NFC", core.decode()[-1]).lower()[-1]  # a letter may become one with a mark
+        return last.isalnum() and ucd_3_2_0.category(last)[0] in "LN"
+
     def _learn_parts(self, new: set[bytes]) -> None:
         import numpy as np
 
@@ -190,7 +200,7 @@ class Words:
         stops, parts = self.STOPS, self.parts
         parts[b""] = b""
         cores = [word.rstrip(stops) for word in words]
-        cores = [core if core[-1:].isalnum() else word for word, core in zip(words, cores)]
+        cores = [core if len(core) == len(word) or self._ends_run(core) else word for word, core in zip(words, cores)]
         rests = [word[len(core):] for word, core in zip(words, cores)]
         self._learn_parts(set(cores).union(rests).difference(parts))
         get = parts.__getitem__
@@ -228,7 +238,7 @@ class Words:
             for word in long:
                 self.held -= len(word)
                 del self.memo[word]
-            for part in [part for part in self.parts if len(part) > LONG - len(self.STOPS)]:
+            for part in [part for part in self.parts if len(part) > LONG // 2]:
                 del self.parts[part]
         return found
 

@@ -232,6 +232,25 @@ def test_packing_places_every_id_once(docs, empty):
     assert packing.pack_documents(empty, path).count() == 0
 
 
+def test_words_for_packing_equal_the_library():
+    from tokenizers import Tokenizer
+
+    pick = random.Random(9)
+    letters = ["the", "Straße", "é", "e\u0301", "ΑΣ", "ñ", "İ", "\u0958", "ﬁ", "ไทย", "中文", "한", "²", "Ⅷ", "٣", "7", "10", "\u0345", "\U0001e900", "ჲ", "\u1c89", "\ua7da"]
+    marks = [*"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", "€", "…", "’", "\u0338", "\u200d", "😀", "'s", "'LL", "|>", "***", "$$$", "\xa0", "\x01"]
+    texts = [
+        " ".join("".join(pick.choice(letters if pick.random() < 0.6 else marks) for _ in range(pick.randint(1, 6))) for _ in range(60))
+        for _ in range(1_500)
+    ]
+    texts += ["x" * 300 + "." * 40 + " " + "." * 300 + " y" + "?" * 254, "<|endoftext|>. a<|b ."]
+    path = queries.vocabulary("word_bpe_49k.json")
+    words, library = packing.Words(path), Tokenizer.from_file(path)
+    for at in range(0, len(texts), 100):
+        part = texts[at : at + 100]
+        want = [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+        assert [np.frombuffer(w, "<u4").tolist() for w in words.encode_all([t.encode() for t in part])] == want
+
+
 def test_hilbert_curve_steps_to_neighbours():
     points = np.array([[a, b, c] for a in range(8) for b in range(8) for c in range(8)])
     keys = packing.hilbert_keys(points, 3)
