@@ -392,6 +392,31 @@ def test_url_parts_rules_and_trees(spark):
     assert {r.verdict for r in urls.filter_urls(odd, (), None).collect()} == {"allow"}
 
 
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
+def test_url_parts_and_rules_equal_sql_on_all_pages(spark):
+    """All but the verdict of the trees is plain SQL."""
+    rules = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
+    listed = ", ".join(f"('{rule}', '{rule.split('/', 1)[0]}', '/{rule.split('/', 1)[1]}')" for rule in rules)
+    sql = f"""
+        WITH rules(rule, rule_host, rule_path) AS (VALUES {listed}),
+        rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS tail FROM pages),
+        parts AS (SELECT page_id, lower(regexp_extract(tail, '^[^/?#]*')) AS host,
+            regexp_extract(substr(tail, length(regexp_extract(tail, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM rest)
+        SELECT page_id, host, path, (SELECT arg_max(rule, length(rule)) FROM rules
+            WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS rule FROM parts"""
+    want = connect(FOLDER).execute(sql).fetchall()
+    found = queries.op8_urls(spark, FOLDER).collect()
+    assert sorted(want, key=str) == sorted(((r.page_id, r.host, r.path, r.rule) for r in found), key=str)
+    assert all(r.verdict == rules[r.rule] if r.rule else r.verdict in ("allow", "block") for r in found)
+    assert {r.rule for r in found} - {None}
+
+
+def test_pages_of_an_empty_table(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert urls.filter_urls(pages, queries.RULES, None).count() == 0
+    assert urls.train(urls.labelled_by_rules(pages, queries.RULES)) is None
+
+
 def test_suffix_shares_count_all_labelled_urls(spark):
     rows = [(f"http://www.host{i % 150}.org/{i}", int(i % 150 < 50)) for i in range(600)]
     model = urls.train(spark.createDataFrame(rows, "url string, label int"), urls.Trees(max_labelled=40, rounds=1))
@@ -448,6 +473,14 @@ def test_pipeline_keeps_what_its_stages_keep(spark):
     assert {r.doc_id for r in pieces} == set(texts) and all(0 <= r.ids_crc32 < 2**32 for r in pieces)
 
 
+def test_pipeline_of_no_documents(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert found.collect() == [] and found.columns[0] == "doc_id"
+
+
 # names and memory
 MADE = "_fp _text _key _hash _chosen _nth _kept _page _drop _root _least _source _spans _others _added spans base_spans _curve _row _word_lang c0 c1".split()
 
