@@ -415,6 +415,8 @@ def test_pages_of_an_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert urls.filter_urls(pages, queries.RULES, None).count() == 0
     assert urls.train(urls.labelled_by_rules(pages, queries.RULES)) is None
+    texts = html_text.extract_text(pages, html_text.BiLstm(8, 4, 1), ["page_id", "url"])
+    assert texts.collect() == [] and {"page_id", "url", "text"} <= set(texts.columns)
 
 
 def test_suffix_shares_count_all_labelled_urls(spark):
