@@ -339,6 +339,20 @@ UNION ALL SELECT * EXCLUDE (event_id) REPLACE (
                      CASE WHEN event_id % 307 = 0 THEN '"turbine_id":"T-7"' END,
                      CASE WHEN event_id % 223 = 0 THEN '"power_output":"n/a"' END, '"gear_temp":"80"') || '}' AS _rescued_data),
   true FROM typed WHERE event_id % 7 = 0"""),
+    "landing_files": _sql([_READINGS, _NUMBERED], """
+SELECT "timestamp", turbine_id, power_output, 'delivery_' || (event_id % 3)::VARCHAR AS delivery, true AS has_size, true AS taken_after_written
+FROM typed"""),
+    "stream_feed": _sql([_READINGS, _NUMBERED], """
+SELECT * EXCLUDE (event_id), true AS has_file FROM typed
+UNION ALL SELECT * EXCLUDE (event_id), true FROM typed WHERE event_id % 3 = 0
+UNION ALL SELECT * EXCLUDE (event_id) REPLACE (coalesce(left(_rescued_data, -1) || ',', '{') || '"gear_temp":"80"}' AS _rescued_data), true
+  FROM typed WHERE event_id % 7 = 0"""),
+    "bronze_compacted": _sql([_READINGS], "SELECT * EXCLUDE (event_id), 1::BIGINT AS batches FROM readings"),
+    "layer_routing": _silver("""
+SELECT l || e.env || '/turbine_data/' || t AS place, turbine_id, date, count(*) FILTER (l = 'silver') + (l = 'gold')::INTEGER AS "rows"
+FROM silver, (VALUES ('', 1), ('_dev', 2)) e(env, every),
+     (VALUES ('silver', 'silver_turbine_readings'), ('gold', 'daily_turbine_summary')) x(l, t)
+WHERE turbine_id % every = 0 GROUP BY l, e.env, t, turbine_id, date"""),
     "device_steps": _sql([_READINGS, _GRIDS], "SELECT * FROM steps"),
     "absent_spans": _sql([_READINGS, _GRIDS], """
 SELECT turbine_id, t + to_seconds(step_seconds) AS first_absent, t + to_seconds(absent * step_seconds) AS last_absent, step_seconds, absent

@@ -26,13 +26,15 @@ from fleetgauge.operators.rules import check_rules
 from fleetgauge.operators.summary import daily_summary
 from fleetgauge.plans import reports
 from fleetgauge.plans.build import build_all, refresh
+from fleetgauge.plans.compact import compact, live_batches
 from fleetgauge.plans.ingest import FILES, ingest_files, read_bronze, write_batch
 from fleetgauge.plans.ledger import record_versions
 from fleetgauge.plans.quarantine import open_quarantine, quarantine_report, set_aside
 from fleetgauge.session import removed_at_exit, shared_folder, utc
 from fleetgauge.sources.events import event_readings, event_text
 from fleetgauge.sources.landing import FILE_SIZE, FILE_TIME, read_landing, typed_columns
-from fleetgauge.sources.layers import ANOMALIES, SILVER, SUMMARY, Layers
+from fleetgauge.sources.layers import ANOMALIES, SILVER, SUMMARY, Layers, packed
+from fleetgauge.streaming.feed import run_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,6 +117,18 @@ def landing_scan(spark: SparkSession, folder: str) -> DataFrame:
     return _scanned(read_landing(spark, landing, HOURLY))
 
 
+def landing_files(spark: SparkSession, folder: str) -> DataFrame:
+    """What each reading carries of its file: the folder it lay in, a size, a time before the ingestion."""
+    landing = _scratch(spark, "landing")
+    folders = [f"{landing}/delivery_{n}" for n in range(3)]
+    for n, name in enumerate(folders):
+        event_text(spark, folder, f"event_id % 3 = {n}").drop("_line").write.option("header", "true").csv(name)
+    return _plain_times(read_landing(spark, folders, HOURLY).select(
+        "timestamp", "turbine_id", "power_output", F.regexp_extract("_source_file", "/(delivery_[0-9])/[^/]+[.]csv$", 1).alias("delivery"),
+        (F.col(FILE_SIZE) > 0).alias("has_size"), (F.col("_ingested_at") >= F.col(FILE_TIME)).alias("taken_after_written"),
+    ))
+
+
 def ledger_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze after two ingests: events in two nested folders, one of them replaced in between; files with other columns,
     or with the same in another order; and files refused for holding none of the schema's columns. The replaced files' rows are in
@@ -136,6 +150,50 @@ def ledger_ingest(spark: SparkSession, folder: str) -> DataFrame:
         return _scanned(read_bronze(spark, layers))
 
 
+def stream_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Bronze after two runs of the stream; in between one folder is replaced and files with another column arrive."""
+    landing, layers = _scratch(spark, "landing"), Layers(_scratch(spark, "stream"))
+    with utc(spark):
+        def deliver(rows: str, name: str, *columns: str) -> None:
+            text = event_text(spark, folder, rows).drop("_line")
+            text.selectExpr(*text.columns, *columns).write.mode("overwrite").option("header", "true").csv(f"{landing}/{name}")
+
+        deliver("event_id % 3 <> 0", "first/files")
+        deliver("event_id % 3 = 0", "second")
+        run_feed(spark, layers, landing, HOURLY, clean=False)
+        deliver("event_id % 3 = 0", "second")
+        deliver("event_id % 7 = 0", "wide", "'80' AS gear_temp")
+        run_feed(spark, layers, landing, HOURLY, clean=False)
+        return _scanned(read_bronze(spark, layers))
+
+
+def bronze_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Bronze after six small batches, all taken in, were merged, with the number of batches that are left."""
+    layers = Layers(_scratch(spark, "compact"))
+    with utc(spark):
+        for n in range(6):
+            _deliver(spark, layers, event_readings(spark, folder).where(f"event_id % 6 = {n}"), n + 1)
+        refresh(spark, layers, HOURLY)
+        compact(spark, layers, cfg=HOURLY)
+        left = live_batches(spark, layers).count()
+        return _plain_times(read_bronze(spark, layers)).drop("_rescued_data").withColumn("batches", F.lit(left).cast("long"))
+
+
+def layer_routing(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean and summary tables of two environments below one base: the production one of all devices, the other of the even ones."""
+    base, found = _scratch(spark, "routing"), None
+    for env, devices in (("", "true"), ("dev", "turbine_id % 2 = 0")):
+        layers = Layers(base, env)
+        silver = _silver(spark, folder).where(devices)
+        layers.overwrite(packed(silver, "date"), SILVER, by=["date"])
+        layers.overwrite(packed(daily_summary(layers.read(spark, SILVER), HOURLY), "date"), SUMMARY, by=["date"])
+        for table in (SILVER, SUMMARY):
+            place = F.regexp_extract("_metadata.file_path", "/((silver|gold)[^/]*/[^/]+/[^/]+)/date=", 1)
+            rows = layers.read(spark, table).select(place.alias("place"), "turbine_id", "date")
+            found = rows if found is None else found.unionByName(rows)
+    return found.groupBy("place", "turbine_id", "date").agg(F.count("*").alias("rows"))
+
+
 def _typed(spark: SparkSession, folder: str) -> DataFrame:
     typed = event_text(spark, folder).select(*typed_columns(HOURLY))
     return typed.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
@@ -306,6 +364,7 @@ QUERIES: dict[str, Query] = {
     # sources
     "rescued_values": _typed,
     "landing_scan": landing_scan,
+    "landing_files": landing_files,
     # cleaning
     "dedupe": lambda s, d: dedupe_readings(event_readings(s, d), HOURLY),
     "flag_missing_invalid": _flagged,
@@ -321,6 +380,9 @@ QUERIES: dict[str, Query] = {
     "incremental_refresh": incremental_refresh,
     # the jobs' own paths over written tables
     "ledger_ingest": ledger_ingest,
+    "stream_feed": stream_feed,
+    "bronze_compacted": bronze_compacted,
+    "layer_routing": layer_routing,
     "silver_clean_default": lambda s, d: clean_readings(event_readings(s, d), DEFAULT),
     "forward_fill_busy_days": forward_fill_busy_days,
     "silver_full_build": silver_full_build,
