@@ -2,11 +2,12 @@
 
 Each of m random projections sorts the vectors of an index part by their projected value. A query looks at windows around its own
 projected values. At radius R a window reaches `width` * R to both sides; a vector that lies in at least `min_collisions` of the m
-windows is a candidate, and its cosine is computed on the original vectors. The radius grows by the factor `growth` (virtual
-rehashing: the same sorted arrays serve all radii; a window is a range of ranks in them) until the k-th best is within R. With
+windows is a candidate; those whose single-precision cosine can be among the best k are verified on the original vectors. The radius grows
+(virtual rehashing: the same sorted arrays serve all radii; a window is a range of ranks in them) by the factor `growth`, or
+once k are found to `slack` times the k-th best distance if that is less, until the k-th best is within R. With
 unit vectors, projected differences are normal with the distance as deviation, so a vector at distance R collides in each window
-with probability 0.683 for width 1, nearer ones more often; at a threshold of 40 in 64, one in eight at R itself is missed, and
-fewer the nearer it is. There is no cap on candidates.
+with probability 0.683 for width 1, nearer ones more often; at a threshold of 40 in 64, one in eight at R itself is missed, one in
+twenty at R / 1.06, and fewer the nearer it is. There is no cap on candidates.
 
 Index parts hold at most about `part_rows` vectors and queries come in blocks of at most about `block_rows`; each block meets each part in a
 task of its own, and the best k of each part are merged. Equal vectors of a part are one point with its k + 1 least ids, which is
@@ -35,7 +36,8 @@ class Index:
     min_collisions: int = 40
     width: float = 1.0
     first_radius: float = 0.6
-    growth: float = 1.1
+    growth: float = 1.5
+    slack: float = 1.06
     part_rows: int = 16_384
     block_rows: int = 1_024
     seed: int = 42
@@ -83,7 +85,11 @@ class Part:
         self.ids = [ids[a : min(b, a + k + 1)] for a, b in zip(first[:-1], first[1:])]
         self.sizes = np.diff(first)
         self.lengths = _lengths(self.vectors)
-        projected = (self.vectors / self.lengths[:, None]) @ directions_of(vectors.shape[1], how)
+        units = self.vectors / self.lengths[:, None]
+        projected = units @ directions_of(vectors.shape[1], how)
+        self.units = units.astype("float32")
+        # a bound on the rounding of a single-precision cosine, some four times over
+        self.rounding = 4 * (vectors.shape[1] + 2) * float(np.finfo("float32").eps)
         order = np.argsort(projected, axis=0, kind="stable")
         self.sorted = np.take_along_axis(projected, order, 0).T.copy()
         n = len(self.vectors)
@@ -98,6 +104,7 @@ class Part:
         how, n, kind = self.how, len(self.vectors), self.ranks.dtype
         length = float(_lengths(query[None])[0])
         at = (query / length) @ directions_of(len(query), how)
+        unit = (query / length).astype("float32")
         seen = np.zeros(n, bool)
         best, radius = [], how.first_radius
         while True:
@@ -112,17 +119,19 @@ class Part:
                 found = np.flatnonzero((inside.view("uint8").sum(0, dtype="uint8") >= how.min_collisions) & ~seen)
             if len(found):
                 seen[found] = True
-                score = cosines(self.vectors[found], self.lengths[found], query, length)
                 if len(found) > self.k + 1:  # others cannot be among the best k, but ties may
-                    edge = np.partition(score, -(self.k + 1))[-(self.k + 1)]
-                    found, score = found[score >= edge], score[score >= edge]
+                    rough = self.units[found] @ unit
+                    edge = np.partition(rough, -(self.k + 1))[-(self.k + 1)]
+                    found = found[rough >= edge - self.rounding]
+                score = cosines(self.vectors[found], self.lengths[found], query, length)
                 for point, s in zip(found.tolist(), score.tolist()):
                     best += [(-s, int(i)) for i in self.ids[point] if i != query_id]
                 best = sorted(best)[: self.k]
             # on unit vectors the squared distance is 2 - 2 cosine
-            if len(best) == self.k and 2 + 2 * best[-1][0] <= radius * radius or seen.all():
+            furthest = max(0.0, 2 + 2 * best[-1][0]) ** 0.5 if len(best) == self.k else float("inf")
+            if furthest <= radius or seen.all():
                 return best
-            radius *= how.growth
+            radius = min(how.slack * furthest, how.growth * radius)
 
 
 _DIRECTIONS: dict = {}
