@@ -39,7 +39,7 @@ class Index:
     growth: float = 1.5
     slack: float = 1.06
     part_rows: int = 16_384
-    block_rows: int = 1_024
+    block_rows: int = 4_096
     seed: int = 42
 
 
