@@ -6,7 +6,8 @@ in place shows up with a new time or size and is read again. The copies this lea
 
 Columns are found by the names in each file's header. A file whose header names no column of the schema, or one twice,
 is refused: it goes to the `refused_files` table with its reason and to the ledger, and the other files of its batch are
-read. A corrected file is a new version and is read.
+read. A file that cannot be read to its end is refused as a whole, once the batch has failed over it. A corrected file is a new
+version and is read.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from fleetgauge.functions.quality import with_day
 from fleetgauge.session import require_utc
 from fleetgauge.plans.ledger import batches, fold_if_many, ledger, of_batches, record_versions
 from fleetgauge.plans.staging import Staging
-from fleetgauge.sources.headers import file_layouts
+from fleetgauge.sources.headers import damaged_files, file_layouts
 from fleetgauge.sources.landing import BAD_LINE, FILE_SIZE, FILE_TIME, NAMES, VERSION, landing_versions, read_by_name
 from fleetgauge.sources.layers import BRONZE, Layers, packed
 
@@ -30,6 +31,8 @@ _LOG = logging.getLogger(__name__)
 
 FILES, STREAM = "files", "stream"
 REFUSED = "refused_files"
+# What Spark calls a failure while it reads a file, and the reason such a file is refused for.
+UNREAD, DAMAGED = "FAILED_READ_FILE", "cannot be read to its end"
 REFUSED_SCHEMA = (
     f"_source_file string, {FILE_TIME} timestamp, {FILE_SIZE} long, header string, reason string, "
     "feed string, ingest_batch int"
@@ -95,6 +98,20 @@ def take_files(
     if not paths:
         return
     layouts, found = file_layouts(spark, paths, NAMES, [BAD_LINE])
+
+    def write_rows() -> None:
+        rows = read_by_name(spark, paths, layouts, cfg)
+        write_batch(no_readings(spark, cfg) if rows is None else rows, layers, feed, batch, cfg)
+
+    try:
+        write_rows()
+    except Exception as failure:
+        damaged = damaged_files(spark, list(layouts)) if UNREAD in str(failure) else []
+        if not damaged:
+            raise
+        for name, damage in damaged:
+            found.append((name, ",".join(layouts.pop(name).names), f"{DAMAGED}: {damage}"))
+        write_rows()
     refused = spark.createDataFrame(found, "_source_file string, header string, reason string")
     (
         versions.drop("path").join(refused, "_source_file")
@@ -105,8 +122,6 @@ def take_files(
     )
     for name, _, reason in found:
         _LOG.warning("refused %s: %s", name, reason)
-    rows = read_by_name(spark, paths, layouts, cfg)
-    write_batch(no_readings(spark, cfg) if rows is None else rows, layers, feed, batch, cfg)
     names = refused.select("_source_file", F.lit(True).alias("refused"))
     record_versions(versions.join(names, "_source_file", "left"), layers, feed, batch)
 

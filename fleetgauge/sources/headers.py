@@ -116,6 +116,34 @@ def file_heads(files: DataFrame, head_bytes: int = HEAD_BYTES) -> DataFrame:
     return files.select("_source_file").mapInArrow(heads, HEAD_SCHEMA)
 
 
+def damaged_files(spark: SparkSession, names: Sequence[str]) -> list[tuple[str, str]]:
+    """[(file, damage)]: the files that Arrow cannot read to their end, such as a compressed file that was cut off.
+
+    Every file is streamed once, by all tasks together and in constant memory. The names pass through the driver, as those of a batch do.
+    """
+
+    def ends(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            rows = []
+            for uri in batch["_source_file"].to_pylist():
+                try:
+                    system, place = fs.FileSystem.from_uri(uri)
+                    with system.open_input_stream(place, compression="detect", buffer_size=0) as file:
+                        while file.read(1024**2):
+                            pass
+                except (OSError, ValueError, NotImplementedError) as problem:
+                    rows.append((uri, str(problem).splitlines()[0][:200] if str(problem) else type(problem).__name__))
+            columns = [pa.array(c, pa.string()) for c in (zip(*rows) if rows else ([], []))]
+            yield pa.RecordBatch.from_arrays(columns, names=["_source_file", "damage"])
+
+    tasks = min(len(names), 4 * spark.sparkContext.defaultParallelism)
+    files = spark.createDataFrame([(name,) for name in names], "_source_file string").repartition(max(1, tasks))
+    return [tuple(row) for row in files.mapInArrow(ends, "_source_file string, damage string").collect()]
+
+
 def file_layouts(
     spark: SparkSession, paths: dict[str, str], fields: Sequence[str], reserved: Sequence[str] = ()
 ) -> tuple[dict[str, Layout], list[tuple[str, str | None, str]]]:

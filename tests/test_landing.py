@@ -7,7 +7,7 @@ import pytest
 from landing_files import HEADER, lines, write
 
 from fleetgauge.plans.compact import merge_batches
-from fleetgauge.plans.ingest import FILES, bronze_by_day, ingest_files, mark_taken_in, new_batches, read_bronze
+from fleetgauge.plans.ingest import FILES, bronze_by_day, ingest_files, mark_taken_in, new_batches, read_bronze, refused
 from fleetgauge.sources.landing import read_landing
 from fleetgauge.sources.layers import ANOMALIES, BRONZE, SILVER, Layers
 from fleetgauge.streaming.feed import start_feed
@@ -152,7 +152,6 @@ def test_batch_and_stream_read_every_file_whatever_its_name(spark, tmp_path):
 
 
 def test_columns_are_found_by_name(spark, tmp_path):
-    from fleetgauge.plans.ingest import refused
 
     folder = tmp_path / "landing"
     write(folder, "good.csv", ["2022-03-01 00:00:00,7,1.0,1,1.0"])
@@ -249,6 +248,43 @@ def test_only_refused_files_leave_an_empty_batch(spark, tmp_path, layers):
     assert ingest_files(spark, layers, str(tmp_path / "landing")) == 0
 
 
+def test_a_file_that_was_cut_off_does_not_stop_its_batch(spark, tmp_path, layers):
+    import gzip
+
+    landing = tmp_path / "landing"
+    write(landing, "good.csv", lines([7]))
+    write(landing, "shifted.csv", ["3,2022-03-01 00:00:00"], "turbine_id,timestamp")
+    packed = gzip.compress("\n".join([HEADER, *lines([8], days=range(1, 31))]).encode())
+    (landing / "cut.csv.gz").write_bytes(packed[: len(packed) // 2])
+    (landing / "whole.csv.gz").write_bytes(gzip.compress("\n".join([HEADER, *lines([9])]).encode()))
+
+    def counts():
+        return {r.turbine_id: r["count"] for r in read_bronze(spark, layers).groupBy("turbine_id").count().collect()}
+
+    assert ingest_files(spark, layers, str(landing)) == 1
+    assert counts() == {7: 121, 3: 1, 9: 121}
+    row = refused(spark, layers).first()
+    assert row["_source_file"].endswith("/cut.csv.gz") and row.header == HEADER and row.reason.startswith("cannot be read to its end: ")
+    assert ingest_files(spark, layers, str(landing)) == 0
+    (landing / "cut.csv.gz").write_bytes(packed)
+    assert ingest_files(spark, layers, str(landing)) == 1
+    assert counts() == {7: 121, 3: 1, 9: 121, 8: 721}
+
+
+def test_a_failure_without_a_damaged_file_is_raised(spark, tmp_path, layers, monkeypatch):
+    from fleetgauge.plans import ingest
+
+    def fail(*_):
+        raise OSError("no space left; FAILED_READ_FILE")
+
+    write(tmp_path / "landing", "good.csv", lines([7]))
+    monkeypatch.setattr(ingest, "write_batch", fail)
+    with pytest.raises(OSError, match="no space"):
+        ingest_files(spark, layers, str(tmp_path / "landing"))
+    monkeypatch.undo()
+    assert ingest_files(spark, layers, str(tmp_path / "landing")) == 1
+
+
 def test_the_landing_folder_is_listed_once_a_run(spark, tmp_path, layers, monkeypatch):
     from fleetgauge.plans import ingest
 
