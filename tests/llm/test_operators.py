@@ -75,6 +75,96 @@ def test_base_spans_equal_plain_patterns(spark, docs, empty):
     assert pii.find_pii(docs).count() == docs.count() and pii.find_pii(empty).count() == 0
 
 
+def plain_contexts(text, start, end):
+    """The patterns around a span: words of at most 256 code points that lie within as many."""
+    def shape(word):
+        return re.sub("[0-9]+", "0", word).lower()
+
+    left = [m for m in re.finditer(r"[^ \t\n\x0B\f\r]+", text[:start]) if m.start() >= start - 256]
+    right = [m for m in re.finditer(r"[^ \t\n\x0B\f\r]+", text[end : end + 600]) if m.end() <= 256]
+    left, right = [shape(m.group()) for m in left], [shape(m.group()) for m in right]
+    return [f"1 {w}" for w in left[-1:]] + [f"2 {v} {w}" for v, w in zip(left[-2:-1], left[-1:])] + [f"+ {w}" for w in right[:1]]
+
+
+def plain_others(text, base):
+    """Strings that may be identifiers and touch no base span."""
+    for pattern, _ in pii.CANDIDATES.values():
+        for m in re.finditer(pattern, text):
+            if re.search("[A-Za-z0-9]", m.group()) and not any(a < m.end() and m.start() < b for _, a, b in base):
+                yield m.start(), m.start() + len(m.group().rstrip("._%+/-"))
+
+
+def plain_spans(texts, how):
+    """All spans of each text: rounds over sets and dictionaries, with nothing pruned, joined or written."""
+    base = [seeds(t) for t in texts]
+    others = [list(plain_others(t or "", b)) for t, b in zip(texts, base)]
+    kinds = {}
+    for t, b, o in zip(texts, base, others):
+        for kind, a, z in [*b, *(("other", *place) for place in o)]:
+            for pattern in plain_contexts(t, a, z):
+                pair = kinds.setdefault(pattern, {})
+                pair[t[a:z]] = min(kind, pair.get(t[a:z], kind))
+    graph = {p: strings for p, strings in kinds.items() if len(strings) >= how.min_known and "other" in strings.values()}
+    known = {(s, k) for strings in graph.values() for s, k in strings.items() if k != "other"}
+    learned = {}
+    while True:
+        good = {}
+        for p, strings in graph.items():
+            for kind in pii.KINDS:
+                k = sum((s, kind) in known or learned.get(s) == kind for s in strings)
+                if k >= how.min_known and k >= how.min_share * len(strings):
+                    good[p, kind] = min(0.99, k / len(strings))
+        missed = {}
+        for (p, kind), share in good.items():
+            for s, k in graph[p].items():
+                if k == "other":
+                    missed[s, kind] = missed.get((s, kind), 1.0) * (1 - share)
+        new = {}
+        for (s, kind), miss in missed.items():
+            if 1 - miss >= how.min_score and s not in learned:
+                new[s] = min(new.get(s, (9, "")), (miss, kind))
+        if not new:
+            break
+        learned |= {s: kind for s, (_, kind) in new.items()}
+    telling = {p for p, _ in good}
+    found = []
+    for t, b, o in zip(texts, base, others):
+        added = {(learned[t[a:z]], a, z) for a, z in o if t[a:z] in learned and telling & set(plain_contexts(t, a, z))}
+        found.append(sorted(b + list(added), key=lambda x: (pii.KINDS.index(x[0]), *x[1:])))
+    return found
+
+
+@pytest.mark.parametrize("how", [pii.DEFAULT, pii.Bootstrap(3, 0.5, 0.6)])
+@pytest.mark.parametrize("source", ["generated", "documents"])
+def test_added_spans_equal_plain_rounds(spark, source, how):
+    if source == "generated":
+        pick = random.Random(5)
+        heads = ["contact:", "login", "ref. no", "Kunde 12", "call", "see"]
+        pools = [[f"{w}{g}{i}" if i % 3 else f"{w}-{g}/{i:03d}." for i in range(25)] for g, w in enumerate(["usr", "x_", "AB", "k@", "0", "q:7:"])]
+        base = [lambda i: f"user{i}@mail.com", lambda i: f"10.0.{i % 250}.{i // 250}", lambda i: f"+49 30 {100000 + i}"]
+        texts = []
+        for i in range(1_200):
+            part = []
+            for _ in range(pick.randint(1, 3)):
+                g = pick.randrange(6)
+                # a head tells seeds of its kind, identifiers of its own group, and those of the next
+                draw = pick.random()
+                what = base[g % 3](pick.randrange(400)) if draw < 0.85 - 0.1 * g else pick.choice(pools[g if draw < 0.95 else (g + 1) % 6])
+                part += [pick.choice(["a", "the", "12", "e\u0301t\u00e9", "\U0001F600"]), heads[g], what, pick.choice(["now", "or", "2024", ";"])]
+            texts.append(pick.choice([" ", "  ", "\n"]).join(part))
+        texts += [None, "", texts[0], texts[1], "w" * 300 + " usr01 " + "v" * 300]
+    else:
+        if not os.path.isdir(FOLDER):
+            pytest.skip("test tables not present")
+        texts = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect()]
+    want = plain_spans(texts, how)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = pii.find_pii(frame, carry=["doc_id"], how=how).orderBy("doc_id").collect()
+    assert [[tuple(s) for s in r.spans] for r in found] == want
+    if source == "generated":
+        assert sum(map(len, want)) > sum(len(seeds(t)) for t in texts) + 20
+
+
 def test_contexts_find_unseen_identifiers_and_redaction_replaces_spans(spark):
     rows = [(i, f"please write to contact: user{i}@mail.com now") for i in range(20)] + [(50, "my contact: user9912345 é"), (51, "the year 2024 is clean")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
