@@ -10,7 +10,7 @@ with probability 0.683 for width 1, nearer ones more often; at a threshold of 40
 twenty at R / 1.06, and fewer the nearer it is. There is no cap on candidates.
 
 Index parts hold at most about `part_rows` vectors and queries come in blocks of at most about `block_rows`; each block meets each part in a
-task of its own, and the best k of each part are merged. Equal vectors of a part are one point with its k + 1 least ids, which is
+task of its own, and the best k of each part are merged. Vectors of a part that are equal up to a power of two are one point with its k + 1 least ids, which is
 exact, since further copies can be nobody's neighbour before these; a third of all rows being one vector costs nothing.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part, neither do rows without id.
@@ -71,6 +71,16 @@ def _lengths(vectors):
     return np.sqrt(total)
 
 
+def scaled(vectors):
+    """Each vector times the power of two that brings its greatest component between 0.5 and 1: cosines stay the same to the last bit,
+    and no square overflows or vanishes."""
+    import numpy as np
+
+    if not vectors.size:
+        return vectors
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(1))[1][:, None])
+
+
 class Part:
     """The sorted projections of one index part, and each vector's rank in them."""
 
@@ -181,7 +191,7 @@ def nearest_neighbours(
         out: tuple[list, ...] = ([], [], [])
         if len(ours) and len(theirs):
             def matrix(table, name):
-                return np.asarray(table[name].combine_chunks().flatten()).reshape(len(table), -1)
+                return scaled(np.asarray(table[name].combine_chunks().flatten()).reshape(len(table), -1))
 
             part = Part(np.asarray(ours["id"]), matrix(ours, "vector"), k, how)
             for name, query in zip(theirs["query_id"].to_pylist(), matrix(theirs, "query")):

@@ -540,6 +540,10 @@ def test_neighbours_recall_ties_and_odd_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
     assert [tuple(r)[:3] for r in neighbours.nearest_neighbours(few, "id % 50 = 0").collect()] == [(0, 1, 1)]
     assert neighbours.nearest_neighbours(few.limit(0), "id % 50 = 0").count() == 0
+    far = spark.createDataFrame([(0, [1e-200, 0.0]), (1, [1e200, 1e200]), (2, [0.0, 5e-324]), (3, [-2.0, 0.0])], "vec_id long, embedding array<double>")
+    assert [(r.id, round(r.score, 9)) for r in neighbours.nearest_neighbours(far, "id % 50 = 0").collect()] == [(1, 0.707106781), (2, 0.0), (3, -1.0)]
+    assert np.array_equal(neighbours.cosines(data, neighbours._lengths(data), data[3], neighbours._lengths(data[3:4])[0]), neighbours.cosines(
+        *(v := neighbours.scaled(data), neighbours._lengths(v)), v[3], neighbours._lengths(v[3:4])[0]))
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
